@@ -32,34 +32,38 @@ TOKEN_PATTERN = (
 TAG_PATTERN = r"^</?([A-Za-z][^\s/>]*)"
 RAW_END = r"(?i)</(?:script|style)\s*>$"
 ATTRIBUTE_PATTERN = r"""[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
-NUMBERED_REFERENCE = r"(?i)^&#(?:[0-9]{1,7}|x[0-9a-f]{1,6});"
-ELEMENT_KINDS = ("open", "void", "raw")
+REFERENCE = r"^&([A-Za-z]{2,8}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+
+
+def _entity_names() -> Column:
+    pairs = "\n".join(f"{name}\t{char}" for name, char in params.ENTITIES.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("\t"))
 
 
 def decode_entities(text: Column) -> Column:
     """Decode complete character references; cut-off ones stay as they are."""
 
-    def decoded(t):
-        named = t
-        for name, char in params.ENTITIES.items():
-            named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
-        numbered = bind(named, lambda n: F.when(n.contains("&#"), _decode_numbered(n)).otherwise(n))
-        return F.replace(numbered, F.lit("&amp;"), F.lit("&"))
-
-    return bind(text, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
+    def numbered(digits, base):
+        code = F.conv(digits, base, 10).try_cast("bigint")
+        usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def piece(p):
+        def decoded(name):
+            char = (
+                F.when(name.rlike("^#[xX]"), numbered(cut(name, 3, 6), 16))
+                .when(name.startswith("#"), numbered(cut(name, 2, 7), 10))
+                .otherwise(F.try_element_at(_entity_names(), name))
+            )
+            rest = F.substring(p, F.length(name) + 3, F.length(p))
+            return F.coalesce(F.concat(char, rest), p)
 
+        return bind(F.regexp_extract(p, REFERENCE, 1), decoded)
 
-def _decode_numbered(text: Column) -> Column:
-    def piece(p: Column) -> Column:
-        ref = F.regexp_extract(p, NUMBERED_REFERENCE, 0)
-        digits = F.regexp_extract(p, r"(?i)^&#x?([0-9a-f]+);", 1)
-        is_hex = F.lower(cut(p, 3, 1)) == "x"
-        code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
-        usable = (ref != "") & code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(usable, F.concat(char, F.regexp_replace(p, NUMBERED_REFERENCE, ""))).otherwise(p)
+    def pieces(t):
+        return F.array_join(F.transform(F.split(t, "(?=&)"), piece), "")
 
-    return F.array_join(F.transform(F.split(text, "(?=&#)"), piece), "")
+    return bind(text, lambda t: F.when(t.contains("&"), pieces(t)).otherwise(t))
 
 
 def tokenize(html: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -152,19 +153,16 @@ def join_sections(sections: Column | Sequence[Column]) -> Column:
     return F.array_join(sections, SECTION_BREAK)
 
 
-def request(domain: Column, context: Column, emails: Column, profiles: Column) -> Column:
-    """Text of one extraction request: what was detected, the context, and the wanted answer."""
-    member = '"name": "Full Name", "role": "Role / Title", "linkedin_url": "profile URL or null"'
-    answer = (
-        '", "company_name": "Company Name", "company_overview": "Two-sentence summary.", '
-        '"target_audience_icp": "Target audience description.", "contact_points": ["contact@domain.com"], '
-        f'"key_leadership": [{{{member}}}], "data_confidence_score": 0.85, '
-        '"confidence_reasoning": "Reasoning for score."}'
-    )
-    return F.concat(
-        F.lit("Domain: "), domain,
-        F.lit("\n\nDetected emails: "), listing(emails),
-        F.lit("\nDetected profiles: "), listing(profiles),
-        F.lit("\n\nContent:\n"), context,
-        F.lit('\n\nAnswer as JSON:\n{"domain": "'), domain, F.lit(answer),
-    )
+def request(
+    domain: Column, context: Column, emails: Column, profiles: Column, template: str = params.REQUEST_TEMPLATE
+) -> Column:
+    """Text of one extraction request. The fields are put between the literal parts of the template, so
+    braces in a page's text mean nothing."""
+    fields = {
+        "{domain}": domain,
+        "{context}": context,
+        "{emails}": listing(emails),
+        "{profiles}": listing(profiles),
+    }
+    pieces = re.split("(" + "|".join(map(re.escape, fields)) + ")", template)
+    return F.concat(*[fields[p] if p in fields else F.lit(p) for p in pieces if p])

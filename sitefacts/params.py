@@ -82,7 +82,7 @@ DEFAULT_RATE = ("0.15", "0.60")
 
 # Named character references that are decoded (only in their complete form, with the semicolon).
 ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©", "reg": "®",
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©", "reg": "®",
     "trade": "™", "hellip": "…", "mdash": "—", "ndash": "–", "lsquo": "‘",
     "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•", "middot": "·",
     "laquo": "«", "raquo": "»", "euro": "€", "pound": "£", "sect": "§",
@@ -98,6 +98,35 @@ PARSE_ERROR_REASON = "JSON parse error on LLM response."
 SALVAGED_OVERVIEW = "Overview unavailable."
 SALVAGED_AUDIENCE = "Unknown target audience."
 
+# Layout of one extraction request.
+REQUEST_TEMPLATE = """Extract structured company intelligence for domain: '{domain}'
+
+### Detected DOM Heuristics:
+- Emails: {emails}
+- LinkedIn URLs: {profiles}
+
+### Cleaned Website Content:
+{context}
+
+### Expected JSON Format:
+{
+  "domain": "{domain}",
+  "company_name": "Company Name",
+  "company_overview": "Two-sentence summary.",
+  "target_audience_icp": "Target audience description.",
+  "contact_points": ["contact@domain.com"],
+  "key_leadership": [
+    {
+      "name": "Full Name",
+      "role": "Role / Title",
+      "linkedin_url": "https://www.linkedin.com/in/username or null"
+    }
+  ],
+  "data_confidence_score": 0.85,
+  "confidence_reasoning": "Reasoning for score."
+}
+"""
+
 # Limits.
 MAX_SUBPAGES = 3
 MARKDOWN_BUDGET = 12000
