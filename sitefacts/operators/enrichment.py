@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitefacts import params
@@ -56,13 +56,21 @@ def found_profiles(profiles: DataFrame, hits: DataFrame, key: str, require_name_
 
 
 def enrich_leaders(
-    profiles: DataFrame, hits: DataFrame, key: str, search: bool = True, require_name_match: bool = False
+    profiles: DataFrame,
+    hits: DataFrame,
+    key: str,
+    search: bool = True,
+    require_name_match: bool = False,
+    eligible: Column | None = None,
 ) -> DataFrame:
     """Fill missing leader URLs, or add one leader where there was none; order and others stay.
 
-    Adds ``search_fallback_triggered``, set whenever a search was due. Scores are not revised.
+    Adds ``search_fallback_triggered``, set whenever a search was due. Scores are not revised. Profiles
+    that are not ``eligible`` (all are by default) pass unchanged.
     """
-    due = F.lit(search) & R.needs_search(F.col("key_leadership"))
+    due = R.needs_search(F.col("key_leadership"))
+    if eligible is not None:
+        due = due & eligible
     if not search:
         return profiles.withColumn("search_fallback_triggered", F.lit(False))
 
@@ -82,6 +90,6 @@ def enrich_leaders(
         .when(newcomer.isNotNull(), added)
         .otherwise(F.col("key_leadership"))
     )
-    found = found_profiles(profiles, hits, key, require_name_match)
+    found = found_profiles(profiles.where(due), hits, key, require_name_match)
     joined = profiles.join(found, key, "left").withColumn("search_fallback_triggered", due)
     return joined.withColumn("key_leadership", enriched).select(*profiles.columns, "search_fallback_triggered")

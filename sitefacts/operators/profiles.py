@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from sitefacts import params, schemas
 from sitefacts.functions import answers as A
-from sitefacts.functions import markdown as M
-from sitefacts.functions import html as H
-from sitefacts.functions.common import bind, empty_array, strip
+from sitefacts.functions.common import empty_array, strip
 from sitefacts.functions.urls import name_from_domain
 from sitefacts.plans.skew import salted_join
 
@@ -111,15 +109,6 @@ def extractive_profiles(sites: DataFrame) -> DataFrame:
     return base.withColumn("data_confidence_score", filled.cast("double"))
 
 
-def main_text_of(pages: DataFrame) -> Column:
-    """Prose of a pruned page without looking at other pages."""
-    return bind(M.blocks(F.col("kept")), lambda b: M.main_text(b))
-
-
-def page_titles(html: str = "html") -> Column:
-    return H.title(F.col(html))
-
-
 def flat_leaders(leaders: Column) -> Column:
     """``name (role) [url]`` per leader, joined by semicolons."""
     one = lambda m: F.concat(

@@ -33,3 +33,30 @@ def start_totals(
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     return writer.options(**options).trigger(availableNow=True).start()
+
+
+def final_totals(usage: DataFrame, folder: str) -> DataFrame:
+    """Totals once everything available has been read.
+
+    Each micro-batch writes the rows it changed to a folder of its own number, so a batch that runs again
+    after a failure replaces its rows instead of repeating them. The last state of every row counts.
+    """
+
+    def write_batch(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{folder}/state/batch={batch}")
+
+    totals = running_totals(usage)
+    query = (
+        totals.writeStream.outputMode("update")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .foreachBatch(write_batch)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    state = usage.sparkSession.read.schema(
+        "batch int, domain string, model_name string, prompt_tokens bigint, completion_tokens bigint, "
+        f"total_tokens bigint, cost_usd {TOTAL_COST}"
+    ).parquet(f"{folder}/state")
+    last = F.max_by(F.struct(*TOTALS, "cost_usd"), "batch").alias("t")
+    return state.groupBy("domain", "model_name").agg(last).select("domain", "model_name", "t.*")
