@@ -47,3 +47,20 @@ def cut(text: Column, start: Column | int, length: Column | int) -> Column:
     """``substring`` that accepts columns and integers alike."""
     as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
     return F.substring(text, as_col(start), as_col(length))
+
+
+_BUILT: dict = {}
+
+
+def on_columns(build: Callable[..., Column], *names: str, **options) -> Column:
+    """``build`` applied to named columns, built once per session.
+
+    The larger expressions consist of thousands of nodes, and making each is a call into the JVM. As they
+    refer to columns by name only, one copy serves every DataFrame.
+    """
+    from pyspark import SparkContext
+
+    key = (build, names, tuple(sorted(options.items())), id(SparkContext._jvm))
+    if key not in _BUILT:
+        _BUILT[key] = build(*[F.col(n) for n in names], **options)
+    return _BUILT[key]

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from sitefacts.functions import contacts as C
 from sitefacts.functions import html as H
+from sitefacts.functions.common import on_columns
 
 KINDS = ("emails", "profiles", "companies")
 
 
 def with_contacts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``emails``, ``profiles`` and ``companies``: distinct and sorted per page."""
-    tokens = pages.withColumn("tokens", H.tokenize(F.col(html)))
-    sources = tokens.withColumn("hrefs", H.hrefs(F.col("tokens"))).withColumn(
-        "text", H.visible_text(F.col("tokens"))
+    tokens = pages.withColumn("tokens", on_columns(H.tokenize, html))
+    sources = tokens.withColumn("hrefs", on_columns(H.hrefs, "tokens")).withColumn(
+        "text", on_columns(H.visible_text, "tokens")
     )
     hrefs, markup = F.col("hrefs"), F.col(html)
     return (
@@ -38,8 +39,8 @@ def contact_values(pages: DataFrame, key: Sequence[str], html: str = "html") ->
 
 
 def mailto_emails(pages: DataFrame, key: Sequence[str], html: str = "html") -> DataFrame:
-    hrefs = H.hrefs(H.tokenize(F.col(html)))
-    return pages.select(*key, F.explode(C.mailto_addresses(hrefs)).alias("email"))
+    tokens = pages.withColumn("tokens", on_columns(H.tokenize, html))
+    return tokens.select(*key, F.explode(C.mailto_addresses(on_columns(H.hrefs, "tokens"))).alias("email"))
 
 
 def text_emails(texts: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from sitefacts import params
 from sitefacts.functions import html as H
 from sitefacts.functions import urls as U
+from sitefacts.functions.common import on_columns
 from sitefacts.operators.pages import parse_pages
 from sitefacts.plans.skew import salted_join
 
 
 def page_anchors(pages: DataFrame, key: Sequence[str], html: str = "html", separator: str = "") -> DataFrame:
     """One row per anchor with an href: ``(key, pos, href, text)``."""
-    anchors = H.anchors(F.col("tokens"), F.col("spans"), separator)
+    anchors = on_columns(H.anchors, "tokens", "spans", separator=separator)
     found = parse_pages(pages, html).select(*key, F.explode(anchors).alias("a"))
     return found.select(*key, "a.pos", "a.href", "a.text")
 
@@ -55,7 +56,7 @@ def with_ranked_links(
         return F.struct(anchor["pos"].alias("pos"), anchor["text"].alias("text"), link.alias("link"))
 
     followable = F.filter(
-        H.anchors(F.col("tokens"), F.col("spans")), lambda a: U.is_followable(a["href"])
+        on_columns(H.anchors, "tokens", "spans", separator=""), lambda a: U.is_followable(a["href"])
     )
     internal = F.filter(
         F.transform(followable, scored),

@@ -11,6 +11,7 @@ from sitefacts import params
 from sitefacts.functions import html as H
 from sitefacts.functions import markdown as M
 from sitefacts.functions import urls as U
+from sitefacts.functions.common import on_columns
 from sitefacts.operators.pages import prune_pages
 from sitefacts.plans.skew import salted_join
 
@@ -20,14 +21,14 @@ def content_pages(pages: DataFrame, html: str = "html", **rules) -> DataFrame:
     return (
         prune_pages(pages, html, **rules)
         .drop("tokens", "spans")
-        .withColumn("kept_spans", H.element_spans(F.col("kept")))
-        .withColumn("blocks", M.blocks(F.col("kept")))
+        .withColumn("kept_spans", on_columns(H.element_spans, "kept"))
+        .withColumn("blocks", on_columns(M.blocks, "kept"))
     )
 
 
 def markdown_lines(pages: DataFrame, key: Sequence[str], html: str = "html", **rules) -> DataFrame:
     """One row per Markdown line: ``(key, pos, line)``; positions count the kept tokens."""
-    pruned = prune_pages(pages, html, **rules).withColumn("kept_spans", H.element_spans(F.col("kept")))
+    pruned = prune_pages(pages, html, **rules).withColumn("kept_spans", on_columns(H.element_spans, "kept"))
     line_spans = F.filter("kept_spans", lambda s: M.is_line(F.col("kept"), s))
     lines = F.transform(
         line_spans, lambda s: F.struct(H.span_start(s).alias("pos"), M.line(F.col("kept"), s).alias("line"))
@@ -39,7 +40,7 @@ def markdown_lines(pages: DataFrame, key: Sequence[str], html: str = "html", **r
 def page_blocks(pages: DataFrame, key: Sequence[str], url: str = "url", html: str = "html", **rules) -> DataFrame:
     """Running-text blocks of every page, still in its row: ``(key, host, blocks)``."""
     pruned = prune_pages(pages, html, **rules)
-    return pruned.select(*key, U.host(F.col(url)).alias("host"), M.blocks(F.col("kept")).alias("blocks"))
+    return pruned.select(*key, U.host(F.col(url)).alias("host"), on_columns(M.blocks, "kept").alias("blocks"))
 
 
 def block_keys(blocks: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -74,7 +75,7 @@ def main_texts(pages: DataFrame, key: Sequence[str], url: str = "url", html: str
     blocks = page_blocks(pages, key, url, html, **rules)
     repeated = repeated_on_page(block_keys(blocks, key), key)
     return blocks.join(repeated, list(key), "left").select(
-        *key, "host", M.main_text(F.col("blocks"), F.col("repeated")).alias("main_text")
+        *key, "host", on_columns(M.main_text, "blocks", "repeated").alias("main_text")
     )
 
 
@@ -90,10 +91,10 @@ def page_markdown(
     content = content_pages(pages, html, **rules).withColumn("host", U.host(F.col(url)))
     columns = [c for c in pages.columns if c != html]
     rendered = content.select(
-        *columns, "host", "blocks", M.outline(F.col("kept"), F.col("kept_spans"), budget).alias("outline")
+        *columns, "host", "blocks", on_columns(M.outline, "kept", "kept_spans", budget=budget).alias("outline")
     )
     repeated = repeated_on_page(block_keys(page_blocks(pages, key, url, html, **rules), key), key)
-    main = M.main_text(F.col("blocks"), F.col("repeated"))
+    main = on_columns(M.main_text, "blocks", "repeated")
     return rendered.join(repeated, list(key), "left").select(
         *columns, M.choose(main, F.col("outline"), budget).alias("markdown")
     )

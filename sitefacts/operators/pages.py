@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sitefacts import params
 from sitefacts.functions import html as H
 from sitefacts.functions import urls as U
+from sitefacts.functions.common import on_columns
 
 
 def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -17,14 +18,14 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     has_html = F.col(html).isNotNull() & (F.col(html) != "")
     return (
         pages.where(has_html)
-        .withColumn("tokens", H.tokenize(F.col(html)))
-        .withColumn("spans", H.element_spans(F.col("tokens")))
+        .withColumn("tokens", on_columns(H.tokenize, html))
+        .withColumn("spans", on_columns(H.element_spans, "tokens"))
     )
 
 
 def html_tokens(pages: DataFrame, key: Sequence[str], html: str = "html") -> DataFrame:
     """One row per token: ``(key, pos, kind, tag, tok)``."""
-    tokens = pages.select(*key, F.posexplode(H.tokenize(F.col(html))).alias("pos", "t"))
+    tokens = pages.select(*key, F.posexplode(on_columns(H.tokenize, html)).alias("pos", "t"))
     return tokens.select(*key, "pos", "t.kind", "t.tag", "t.tok")
 
 
@@ -78,9 +79,11 @@ def prune_pages(
     noise_words: Sequence[str] = params.NOISE_WORDS,
 ) -> DataFrame:
     """Add ``kept``: the tokens of content elements."""
-    dropped = H.dropped_spans(F.col("tokens"), F.col("spans"), strip_tags, noise_words)
+    dropped = on_columns(
+        H.dropped_spans, "tokens", "spans", strip_tags=tuple(strip_tags), noise_words=tuple(noise_words)
+    )
     parsed = parse_pages(pages, html).withColumn("dropped", dropped)
-    return parsed.withColumn("kept", H.kept_tokens(F.col("tokens"), F.col("dropped"))).drop("dropped")
+    return parsed.withColumn("kept", on_columns(H.kept_tokens, "tokens", "dropped")).drop("dropped")
 
 
 def pruned_html(pages: DataFrame, html: str = "html", **rules) -> DataFrame:
@@ -88,7 +91,7 @@ def pruned_html(pages: DataFrame, html: str = "html", **rules) -> DataFrame:
     keep = [c for c in pages.columns if c != html]
     blank = F.col(html).isNull() | (F.trim(html) == "")
     pruned = prune_pages(pages.where(~blank), html, **rules).select(
-        *keep, H.render(F.col("kept")).alias("pruned"), F.length(html).alias("raw_chars")
+        *keep, on_columns(H.render, "kept").alias("pruned"), F.length(html).alias("raw_chars")
     )
     empty = pages.where(blank).select(*keep, F.lit("").alias("pruned"), F.length(html).alias("raw_chars"))
     return pruned.unionByName(empty).withColumn("pruned_chars", F.length("pruned"))
@@ -107,7 +110,8 @@ def prune_ratio_by_host(pruned: DataFrame, url: str = "url") -> DataFrame:
 
 def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``text``: the visible text of the whole page."""
-    return pages.withColumn("text", H.visible_text(H.tokenize(F.col(html))))
+    tokens = pages.withColumn("tokens", on_columns(H.tokenize, html))
+    return tokens.withColumn("text", on_columns(H.visible_text, "tokens")).drop("tokens")
 
 
 def element_texts(
@@ -129,6 +133,6 @@ def element_texts(
 
 def challenge_flags(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``title`` and ``is_challenge``."""
-    return pages.withColumn("title", H.title(F.col(html))).withColumn(
-        "is_challenge", H.is_challenge(F.col(html))
+    return pages.withColumn("title", on_columns(H.title, html)).withColumn(
+        "is_challenge", on_columns(H.is_challenge, html)
     )

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from sitefacts import params
 from sitefacts.functions import html as H
 from sitefacts.functions import markdown as M
-from sitefacts.functions.common import bind
+from sitefacts.functions.common import bind, on_columns
 from sitefacts.operators import captures as captures_
 from sitefacts.operators import contacts, costs, enrichment, links, markdown, profiles, responses
 from sitefacts.operators.pages import prune_pages
+from sitefacts.plans.scratch import staged
 from sitefacts.plans.skew import salted_join
 from sitefacts.sources.seeds import normalized_seeds
 
@@ -35,16 +36,17 @@ def chosen_pages(
 ) -> DataFrame:
     """Reachable homepages (rank 0) and the usable captures of their best links (rank 1 and up).
 
-    A site has at most ``limit`` + 1 rows here, whatever was captured of it.
+    A site has at most ``limit`` + 1 rows here, whatever was captured of it. The homepages are read twice,
+    for their links and for themselves, and the result by every step that follows, so both are written out.
     """
-    home = homepages(seeds, pages, key).where(captures_.is_reachable()).withColumn("rank", F.lit(0))
-    best = links.top_links(home, ["domain"], base="final_url", limit=limit)
     keys = page_keys(pages, key)
+    home = staged(homepages(seeds, pages, key).where(captures_.is_reachable()), "homepages")
+    best = links.top_links(home, ["domain"], base="final_url", limit=limit)
     wanted = salted_join(
         best.select("domain", "rank", F.col("link").alias("url")), keys, ["url"], ["domain"], how="inner"
     )
     sub = pages.join(wanted.drop("url"), list(key)).where(captures_.is_usable())
-    return home.unionByName(sub)
+    return staged(home.withColumn("rank", F.lit(0)).unionByName(sub), "chosen-pages")
 
 
 def site_requests(chosen: DataFrame, budget: int = params.SITE_PAGE_BUDGET) -> DataFrame:
@@ -90,9 +92,9 @@ def answered_profiles(
 
 def rule_profiles(chosen: DataFrame) -> DataFrame:
     """Profiles by rule from the chosen pages: title and prose of the homepage, contacts of all."""
-    prose = bind(M.blocks(F.col("kept")), lambda b: M.main_text(b))
+    prose = bind(on_columns(M.blocks, "kept"), lambda b: M.main_text(b))
     home = prune_pages(chosen.where("rank = 0")).select(
-        "domain", H.title(F.col("html")).alias("title"), prose.alias("main_text")
+        "domain", on_columns(H.title, "html").alias("title"), prose.alias("main_text")
     )
     found = contacts.site_contacts(chosen, "domain").select("domain", "emails")
     return profiles.extractive_profiles(home.join(found, "domain", "left"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -16,3 +16,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     root = shared or tempfile.mkdtemp(prefix="sitefacts-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several steps read and go on from the copy.
+
+    The steps then share one computation, and a lost executor costs a re-read of the copy instead of the
+    work behind it.
+    """
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
