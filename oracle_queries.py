@@ -1 +1,923 @@
-def all_queries(): return {}
+"""DuckDB counterparts of the registered queries, written on their own terms: element matching is a
+recursive query over the tags, everything else joins and window functions."""
+
+from __future__ import annotations
+
+from derived_tables import DUCKDB_LISTS, TABLES, query
+from sitefacts import params
+
+WEIGHTS = {**params.LINK_WEIGHTS, "the": 3, "and": 2, "for": 1}
+NOISE = (*params.NOISE_WORDS, "ad")
+
+
+def lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def names(words) -> str:
+    return "(" + ", ".join(lit(w) for w in words) + ")"
+
+
+def either(words) -> str:
+    return "(" + "|".join(w.replace(".", "\\.") for w in words) + ")"
+
+
+TOKEN = lit(
+    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    r"""|<[a-z](?:[^>=]+|=\s*"[^"]*"|=\s*'[^']*'|=)*>|<[a-z/!?][^>]*>|(?:[^<]|<[^a-z/!?<])+|<"""
+)
+ATTRIBUTE = lit(r"""[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?""")
+VALUE = lit(r"""(?s)^[^=]*=\s*["']?(.*?)["']?$""")
+SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)"
+EMAIL = r"[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+FENCE = "repeat(chr(96), 3)"
+
+
+def strip(x: str) -> str:
+    return f"trim({x}, {SPACE})"
+
+
+def decode(x: str) -> str:
+    for name, char in params.ENTITIES.items():
+        if name != "amp":
+            x = f"replace({x}, '&{name};', {lit(char)})"
+    return f"replace({x}, '&amp;', '&')"
+
+
+def items(tok: str) -> str:
+    return f"regexp_extract_all(regexp_replace({tok}, '^<[^\\s/>]+', ''), {ATTRIBUTE})"
+
+
+def item_name(a: str) -> str:
+    return f"lower(regexp_extract({a}, '^[^\\s=]+'))"
+
+
+def attr(tok: str, name: str) -> str:
+    last = f"list_filter({items(tok)}, lambda a: {item_name('a')} = '{name}')[-1]"
+    return decode(f"(case when {last} is not null then regexp_extract({last}, {VALUE}, 1) end)")
+
+
+def host(url: str) -> str:
+    return f"lower(regexp_extract({url}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
+
+
+def path(url: str) -> str:
+    return f"regexp_extract({url}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+
+
+def noise(words) -> str:
+    w = lit(either(words))
+    return (
+        f"(regexp_matches(lower(coalesce({attr('tok', 'class')}, '')), {w})"
+        f" or regexp_matches(lower(coalesce({attr('tok', 'id')}, '')), {w})"
+        f" or coalesce({attr('tok', 'aria-hidden')}, '') = 'true'"
+        f" or regexp_matches(replace(lower(coalesce({attr('tok', 'style')}, '')), ' ', ''),"
+        " 'display:none|visibility:hidden'))"
+    )
+
+
+def score(url: str, text: str, weights) -> str:
+    terms = [
+        f"case when contains(lower({side}), {lit(w)}) then {n} else 0 end"
+        for w, n in weights.items()
+        for side in (url, text)
+    ]
+    return "(" + " + ".join(terms) + ")"
+
+
+def name_of(domain: str) -> str:
+    first = f"split_part({domain}, '.', 1)"
+    return f"(upper(left({first}, 1)) || lower(substr({first}, 2)))"
+
+
+CTES: dict[str, tuple[str, str]] = {}
+
+
+def cte(name: str, deps: str, sql: str) -> None:
+    CTES[name] = (deps, sql)
+
+
+for _name, (_sources, _) in TABLES.items():
+    cte(_name, " ".join(s for s in _sources if s in TABLES), query(_name, DUCKDB_LISTS))
+
+# --- HTML ---------------------------------------------------------------------------------------------
+
+cte(
+    "all_pages",
+    "site_pages",
+    "select 'p' || page_id as page, url, html from pages"
+    " union all select 's' || site_id || '-' || n, final_url, html from site_pages",
+)
+cte(
+    "toks",
+    "all_pages",
+    f"""
+select page, url, pos, tok, tag, case
+  when tag = '' then case when starts_with(tok, '<!--') then 'comment'
+                          when starts_with(tok, '<!') or starts_with(tok, '<?') then 'decl' else 'text' end
+  when starts_with(tok, '</') then 'close'
+  when tag in ('script', 'style') and regexp_matches(tok, '(?i)</(script|style)\\s*>$') then 'raw'
+  when tag in {names(params.VOID_TAGS)} or ends_with(tok, '/>') then 'void' else 'open' end as kind
+from (select page, url, i - 1 as pos, l[i] as tok, lower(regexp_extract(l[i], '^</?([A-Za-z][^\\s/>]*)', 1)) as tag
+      from (select page, url, regexp_extract_all(html, {TOKEN}) as l from all_pages where html <> ''),
+           unnest(range(1, len(l) + 1)) u(i))""",
+)
+cte(
+    "marks",
+    "toks",
+    "select page, pos, kind, tag, row_number() over (partition by page order by pos) as idx"
+    " from toks where kind in ('open', 'close')",
+)
+cte(
+    "walk",
+    "marks toks",
+    """
+select page, 0::bigint as idx, -1::bigint as spot, []::varchar[] as tags, []::bigint[] as starts, []::bigint[] as ended
+from (select distinct page from toks)
+union all
+select page, idx, pos,
+  case when kind = 'open' then list_append(tags, tag) when k > 0 then tags[:k - 1] else tags end,
+  case when kind = 'open' then list_append(starts, pos) when k > 0 then starts[:k - 1] else starts end,
+  case when kind = 'close' and k > 0 then starts[k:] else [] end
+from (select m.page, m.idx, m.pos, m.kind, m.tag, w.tags, w.starts,
+        case when list_contains(w.tags, m.tag) then len(w.tags) - list_position(list_reverse(w.tags), m.tag) + 1
+             else 0 end as k
+      from walk w join marks m on m.page = w.page and m.idx = w.idx + 1)""",
+)
+cte(
+    "spans",
+    "walk toks",
+    """
+select s.page, t.url, s.start, s.stop, t.tag, t.tok, t.kind from (
+  select page, e as start, case when e = ended[1] then spot else spot - 1 end as stop from walk, unnest(ended) u(e)
+  union all
+  select w.page, e, l.last from (select *, max(idx) over (partition by page) as top from walk) w
+    join (select page, max(pos) as last from toks group by page) l on l.page = w.page, unnest(starts) u(e)
+    where w.idx = w.top
+  union all
+  select page, pos, pos from toks where kind in ('void', 'raw')) s
+join toks t on t.page = s.page and t.pos = s.start""",
+)
+cte("dropped", "spans", f"select page, start, stop from spans where tag in {names(params.STRIP_TAGS)} or {noise(NOISE)}")
+cte(
+    "dropped_default",
+    "spans",
+    f"select page, start, stop from spans where tag in {names(params.STRIP_TAGS)} or {noise(params.NOISE_WORDS)}",
+)
+
+
+def define_kept(suffix: str) -> None:
+    """Kept tokens, Markdown lines and text blocks under one set of noise rules."""
+    cte(
+        f"kept{suffix}",
+        f"toks dropped{suffix}",
+        f"""
+select t.*, row_number() over (partition by page order by pos) - 1 as kpos from toks t
+where kind <> 'comment' and not exists (
+  select 1 from dropped{suffix} d where d.page = t.page and t.pos between d.start and d.stop)""",
+    )
+    cte(
+        f"kept_spans{suffix}",
+        f"spans kept{suffix}",
+        f"select s.*, k.kpos from spans s join kept{suffix} k on k.page = s.page and k.pos = s.start",
+    )
+    piece = strip(decode("t.tok"))
+    cte(
+        f"md_lines{suffix}",
+        f"kept_spans{suffix} kept{suffix}",
+        f"""
+select page, kpos as pos, case tag
+  when 'h1' then chr(10) || '# ' || text || chr(10) when 'h2' then chr(10) || '## ' || text || chr(10)
+  when 'h3' then chr(10) || '### ' || text || chr(10) when 'h4' then chr(10) || '### ' || text || chr(10)
+  when 'li' then '- ' || text
+  when 'a' then case when href <> '' and not starts_with(href, '#') then '[' || text || '](' || href || ')' else text end
+  else text || chr(10) end as line
+from (select s.page, s.kpos, s.tag, coalesce({attr("s.tok", "href")}, '') as href,
+             string_agg({piece}, ' ' order by t.pos) as text
+      from kept_spans{suffix} s join kept{suffix} t
+        on t.page = s.page and t.pos between s.start and s.stop and t.kind = 'text' and {piece} <> ''
+      where s.tag in {names(params.LINE_TAGS)} group by s.page, s.kpos, s.tag, s.tok)
+where length(text) >= 2""",
+    )
+    flat = f"regexp_replace({decode('tok')}, '[\\s\\p{{Z}}]+', ' ', 'g')"
+    cte(
+        f"block_toks{suffix}",
+        f"kept{suffix}",
+        f"""
+select page, url, pos, kind, tag, case when kind = 'text' then {flat} when tag = 'br' then ' ' else '' end as piece,
+  sum(case when tag in {names(params.BLOCK_TAGS)} then 1 else 0 end) over (partition by page order by pos) as block
+from kept{suffix}""",
+    )
+    cte(
+        f"blocks{suffix}",
+        f"block_toks{suffix} spans",
+        f"""
+select b.page, b.url, b.block, b.text, coalesce(l.chars, 0) as link_chars
+from (select page, url, block, trim(regexp_replace(string_agg(piece, '' order by pos), ' +', ' ', 'g')) as text
+      from block_toks{suffix} group by page, url, block) b
+left join (select t.page, t.block, sum(length(t.piece)) as chars
+      from spans s join block_toks{suffix} o on o.page = s.page and o.pos = s.start
+      join block_toks{suffix} c on c.page = s.page and c.pos = s.stop and c.block = o.block and c.kind = 'close'
+      join block_toks{suffix} t on t.page = s.page and t.pos between s.start and s.stop
+      where s.tag = 'a' group by t.page, t.block) l
+on l.page = b.page and l.block = b.block where b.text <> ''""",
+    )
+    cte(
+        f"prose{suffix}",
+        f"blocks{suffix}",
+        f"select *, {host('url')} as host from blocks{suffix}"
+        f" where length(text) >= {params.MIN_BLOCK_CHARS} and link_chars <= length(text) * {params.MAX_LINK_SHARE}",
+    )
+
+
+define_kept("")
+define_kept("_default")
+
+
+def main_text_sql(prose: str) -> str:
+    """Main text per page of ``prose``, without blocks that repeat on the host."""
+    return f"""
+select p.page, string_agg(p.text, chr(10) || chr(10) order by p.block) as main_text from {prose} p
+where (p.host, p.text) not in (
+  select (host, text) from {prose} group by host, text having count(distinct page) >= {params.REPEATED_BLOCK_PAGES})
+group by p.page"""
+
+
+def markdown_of(main: str, outline: str, budget: int) -> str:
+    squeezed = strip(f"regexp_replace(coalesce({outline}, ''), '\\n{{3,}}', chr(10) || chr(10), 'g')")
+    picked = f"(case when length({strip(f"coalesce({main}, '')")}) > {params.MIN_MAIN_TEXT} then {strip(main)} else {squeezed} end)"
+    narrow = f"regexp_replace({picked}, '[ \\t]+', ' ', 'g')"
+    tidy = strip(f"regexp_replace({narrow}, '\\n[\\s\\p{{Z}}]*\\n', chr(10) || chr(10), 'g')")
+    cut = "chr(10) || chr(10) || '...[Truncated]...'"
+    return f"case when length({tidy}) > {budget} then substr({tidy}, 1, {budget}) || {cut} else {tidy} end"
+
+
+# --- links --------------------------------------------------------------------------------------------
+
+cte(
+    "anchors",
+    "spans toks",
+    f"""
+select a.page, a.url, a.start as pos, a.href, coalesce(x.text, '') as text
+from (select *, {attr("tok", "href")} as href from spans where tag = 'a') a
+left join (select s.page, s.start, string_agg({strip(decode("t.tok"))}, '' order by t.pos) as text
+      from spans s join toks t on t.page = s.page and t.pos between s.start and s.stop and t.kind = 'text'
+      where s.tag = 'a' group by s.page, s.start) x on x.page = a.page and x.start = a.start
+where a.href is not null""",
+)
+_LINK = strip("href")
+_CLEAN = f"regexp_replace({_LINK}, '[?#].*$', '')"
+_ROOT = "regexp_extract(url, '^[^:]+://[^/?#]*')"
+cte(
+    "resolved",
+    "anchors",
+    f"""
+select *, case when length({path("raw")}) > 1 or (not contains(raw, '://')) then rtrim(raw, '/') else raw end as link
+from (select *, case
+    when regexp_matches({_LINK}, '^[A-Za-z][A-Za-z0-9+.-]*://') then {_CLEAN}
+    when regexp_matches({_LINK}, '^[A-Za-z][A-Za-z0-9+.-]*:') then regexp_replace({_CLEAN}, '^([^:]+):', '\\1://')
+    when starts_with({_LINK}, '/') then {_ROOT} || {_CLEAN}
+    else {_ROOT} || '/' || regexp_replace(ltrim({path("url")}, '/'), '[^/]*$', '') || {_CLEAN} end as raw
+  from anchors)""",
+)
+cte(
+    "tested",
+    "resolved",
+    f"""
+select *, href <> '' and not regexp_matches(href, '^(#|javascript:|mailto:|tel:)') as followable,
+  link in (rtrim(url, '/'), rtrim(url, '/') || '/') as self_link,
+  ({host("link")} = {host("url")} or ends_with({host("link")}, '.' || {host("url")}))
+    and regexp_matches(link, '^https?://')
+    and not regexp_matches(lower({path("link")}), {lit(either(params.ASSET_EXTENSIONS) + "$")}) as internal
+from resolved""",
+)
+
+
+def ranked_links(name: str, weights) -> None:
+    cte(
+        name,
+        "tested",
+        f"""
+select page, pos, link, score, row_number() over (partition by page order by score desc, pos) as rank
+from (select *, {score("link", "text", weights)} as score from tested
+      where followable and internal and not self_link
+      qualify score > 0 and row_number() over (partition by page, link, score > 0 order by pos) = 1)""",
+    )
+
+
+ranked_links("ranked", WEIGHTS)
+ranked_links("ranked_default", params.LINK_WEIGHTS)
+cte(
+    "chosen",
+    "site_pages seeds ranked_default",
+    """
+with first_capture as (select url, min((site_id, n)) as k from site_pages group by url),
+home as (select s.domain, p.* from (select distinct domain from seeds) s
+         join first_capture f on f.url = 'https://' || s.domain
+         join site_pages p on p.site_id = f.k[1] and p.n = f.k[2])
+select domain, 0 as rank, site_id, n, final_url, html from home where success or html <> ''
+union all
+select h.domain, r.rank, p.site_id, p.n, p.final_url, p.html
+from home h join ranked_default r on r.page = 's' || h.site_id || '-' || h.n and r.rank <= 3
+join first_capture f on f.url = r.link
+join site_pages p on p.site_id = f.k[1] and p.n = f.k[2]
+where (h.success or h.html <> '') and p.success and p.html <> ''""",
+)
+cte(
+    "crawled",
+    "chosen",
+    "select domain, count(*) as pages, string_agg(final_url, ' ' order by rank) as pages_crawled from chosen group by domain",
+)
+
+# --- contacts -----------------------------------------------------------------------------------------
+
+cte(
+    "href_list",
+    "toks",
+    f"select page, pos, {strip('href')} as href from (select page, pos, {attr('tok', 'href')} as href from toks"
+    " where tag = 'a' and kind <> 'close') where href is not null",
+)
+cte(
+    "mailto",
+    "href_list",
+    f"""
+select page, lower(target) as email from (
+  select page, {strip("split_part(regexp_replace(href, '^[^:]*:', ''), '?', 1)")} as target
+  from href_list where starts_with(lower(href), 'mailto:'))
+where regexp_matches(target, {lit("^" + EMAIL + "(?:$|[^\\p{L}\\p{N}_])")})""",
+)
+cte(
+    "texts",
+    "all_pages toks",
+    f"""
+select a.page, coalesce({decode("x.text")}, '') as text from all_pages a
+left join (select page, string_agg(tok, ' ' order by pos) as text from toks where kind = 'text' group by page) x
+on x.page = a.page""",
+)
+
+
+def emails_in(key: str, text: str, table: str) -> str:
+    """Allowed addresses of a text. Separators are doubled, so that each address can have its own on both sides."""
+    wide = f"regexp_replace({text}, '([^\\p{{L}}\\p{{N}}_.%+@-])', '\\1\\1', 'g')"
+    pattern = lit(r"(?:^|[^\p{L}\p{N}_])(" + EMAIL + r")(?:$|[^\p{L}\p{N}_])")
+    return f"""
+select {key}, email from (
+  select {key}, lower(unnest(regexp_extract_all({wide}, {pattern}, 1))) as email from {table} where contains({text}, '@'))
+where split_part(email, '@', 2) not in {names(params.DENIED_EMAIL_DOMAINS)}
+  and split_part(email, '@', 1) not in {names(params.DENIED_EMAIL_USERS)}
+  and not regexp_matches(split_part(email, '@', 2), {lit(either(params.DENIED_EMAIL_ENDINGS) + "$")})"""
+
+
+cte("text_mail", "texts", emails_in("page", "text", "texts"))
+_URL = "rtrim(split_part(href, '?', 1), '/')"
+
+
+def from_markup(kind: str, section: str) -> str:
+    pattern = lit(rf"(?i)https?://(?:www\.)?linkedin\.com/{section}/([a-zA-Z0-9_-]+)")
+    return (
+        f"select page, '{kind}' as kind, 'https://www.linkedin.com/{section}/' ||"
+        f" unnest(regexp_extract_all(html, {pattern}, 1)) as value from all_pages"
+    )
+
+
+cte(
+    "contact_rows",
+    "href_list all_pages mailto text_mail",
+    f"""
+select distinct page, kind, value from (
+  select page, 'emails' as kind, email as value from mailto
+  union all select page, 'emails', email from text_mail
+  union all select page, case when contains({_URL}, '/in/') then 'profiles' else 'companies' end, {_URL} from href_list
+    where contains(href, 'linkedin.com') and (contains({_URL}, '/in/') or contains({_URL}, '/company/'))
+  union all {from_markup("profiles", "in")}
+  union all {from_markup("companies", "company")})""",
+)
+
+
+def pivoted(key: str, table: str, separator: str) -> str:
+    lists = ", ".join(
+        f"coalesce(string_agg(value, '{separator}' order by value) filter (kind = '{k}'), '') as {k}"
+        for k in ("emails", "profiles", "companies")
+    )
+    return f"select {key}, {lists} from {table} group by {key}"
+
+
+cte(
+    "site_rows",
+    "chosen contact_rows",
+    "select distinct c.domain, r.kind, r.value from chosen c left join contact_rows r on r.page = 's' || c.site_id || '-' || c.n",
+)
+
+# --- answers ------------------------------------------------------------------------------------------
+
+cte(
+    "cleaned",
+    "model_responses",
+    f"""
+select *, {strip("case when contains(a, fence) then left(a, length(a) - instr(reverse(a), fence) - 2) else a end")} as clean
+from (select *, {FENCE} as fence, case
+    when contains(s, {FENCE} || 'json') then substr(s, instr(s, {FENCE} || 'json') + 7)
+    when contains(s, {FENCE}) then substr(s, instr(s, {FENCE}) + 3) else s end as a
+  from (select *, {strip("raw_json")} as s from model_responses))""",
+)
+cte(
+    "parsed",
+    "cleaned",
+    """
+select *, case when not json_valid(clean) then 'unparsable' when json_type(clean) = 'OBJECT' then 'parsed'
+               else 'not_object' end as state, case when json_valid(clean) then clean::json end as doc from cleaned""",
+)
+_TEXTS = ("company_name", "company_overview", "target_audience_icp", "confidence_reasoning")
+
+
+def jtype(name: str, doc: str = "doc") -> str:
+    return f"coalesce(json_type({doc}, '$.{name}'), '')"
+
+
+def filled(name: str) -> str:
+    return f"({jtype(name, 'm')} = 'VARCHAR' and {strip(f'm->>{lit(name)}')} <> '')"
+
+
+_MEMBER_OK = f"json_type(m) = 'OBJECT' and {filled('name')} and {filled('role')} and {jtype('linkedin_url', 'm')} in ('', 'NULL', 'VARCHAR')"
+_FAILS = [f"case when {jtype(t)} <> 'VARCHAR' then '{t}' end" for t in _TEXTS] + [
+    f"case when not ({jtype('contact_points')} = '' or ({jtype('contact_points')} = 'ARRAY' and len(list_filter("
+    "json_extract(doc, '$.contact_points[*]'), lambda c: json_type(c) <> 'VARCHAR')) = 0)) then 'contact_points' end",
+    f"case when not ({jtype('key_leadership')} = '' or ({jtype('key_leadership')} = 'ARRAY' and len(list_filter("
+    f"json_extract(doc, '$.key_leadership[*]'), lambda m: not ({_MEMBER_OK}))) = 0)) then 'key_leadership' end",
+    f"case when not ({jtype('data_confidence_score')} in ('DOUBLE', 'BIGINT', 'UBIGINT', 'VARCHAR') and coalesce("
+    "try_cast(doc->>'data_confidence_score' as double) between 0 and 1, false)) then 'data_confidence_score' end",
+]
+cte(
+    "checked",
+    "parsed",
+    f"""
+select *, case when state <> 'parsed' then state when errors = '' then 'valid' else 'salvaged' end as source
+from (select *, case when state = 'parsed' then concat_ws(',', {", ".join(_FAILS)}) end as errors from parsed)""",
+)
+_HANDLE = strip("m->>'linkedin_url'")
+_CLEAN_URL = f"rtrim({_HANDLE}, '/')"
+_REASON = "'Domain crawl or extraction failed: Answer is not a JSON object'"
+
+
+def by_source(valid: str, salvaged: str, unparsable: str, other: str) -> str:
+    return f"case source when 'valid' then {valid} when 'salvaged' then {salvaged} when 'unparsable' then {unparsable} else {other} end"
+
+
+def salvaged(name: str, default: str) -> str:
+    return f"case {jtype(name)} when '' then {default} when 'NULL' then 'None' else doc->>'{name}' end"
+
+
+def overview(x: str) -> str:
+    return f"coalesce(nullif({strip(x)}, ''), {lit(params.OVERVIEW_UNAVAILABLE)})"
+
+
+cte(
+    "recs0",
+    "checked",
+    f"""
+select site_id, domain, provider, model_name, prompt_tokens, completion_tokens, source,
+  {by_source("doc->>'company_name'", salvaged("company_name", name_of("domain")), name_of("domain"), name_of("domain"))} as company_name,
+  {by_source(overview("doc->>'company_overview'"), overview(salvaged("company_overview", lit(params.SALVAGED_OVERVIEW))),
+             lit(params.PARSE_ERROR_OVERVIEW),
+             "'Failed to extract intelligence for ' || domain || ': Answer is not a JSON object'")} as company_overview,
+  {by_source("doc->>'target_audience_icp'", salvaged("target_audience_icp", lit(params.SALVAGED_AUDIENCE)),
+             lit(params.PARSE_ERROR_AUDIENCE), "'N/A'")} as target_audience_icp,
+  {by_source("doc->>'confidence_reasoning'", "'Partial validation failure: ' || replace(errors, ',', ', ')",
+             lit(params.PARSE_ERROR_REASON), _REASON)} as confidence_reasoning,
+  {by_source("(doc->>'data_confidence_score')::decimal(20,10)", "0.2", "0.1", "0.0")}::decimal(20,10) as own_score,
+  case when source in ('valid', 'salvaged') then list_filter(list_transform(list_filter(
+    json_extract(doc, '$.contact_points[*]'), lambda c: json_type(c) = 'VARCHAR'), lambda c: lower({strip("c->>'$'")})),
+    lambda c: c <> '') else [] end as contacts_raw,
+  case when source = 'valid' then list_transform(json_extract(doc, '$.key_leadership[*]'), lambda m: {{
+    'name': {strip("m->>'name'")}, 'role': {strip("m->>'role'")},
+    'url': case when {_CLEAN_URL} = '' or lower({_CLEAN_URL}) in ('null', 'none') then null
+                when regexp_matches({_CLEAN_URL}, '^[A-Za-z0-9_-]+$') then 'https://www.linkedin.com/in/' || {_CLEAN_URL}
+                else {_CLEAN_URL} end}}) else [] end as leaders
+from checked""",
+)
+cte(
+    "recs1",
+    "recs0",
+    f"""
+select *, coalesce(list_filter(contacts_raw, lambda c, i: list_position(contacts_raw, c) = i), []) as contacts,
+  len(list_filter(leaders, lambda m: m.url is not null)) > 0 as any_url from recs0""",
+)
+cte(
+    "recs2",
+    "recs1",
+    f"""
+select *, (case when length({strip("company_overview")}) > 20 and company_overview <> {lit(params.OVERVIEW_UNAVAILABLE)} then 25 else 0 end
+  + case when length({strip("target_audience_icp")}) > 10 then 25 else 0 end + case when len(contacts) > 0 then 20 else 0 end
+  + case when len(leaders) > 0 then 20 else 0 end + case when any_url then 10 else 0 end)::bigint as points from recs1""",
+)
+cte(
+    "recs",
+    "recs2",
+    """
+select *, case when source = 'not_object' then 0.0::double else least(greatest(
+    q + case when r > 20000 then 1 when r = 20000 then q % 2 else 0 end, 0), 100) / 100.0::double end as blended
+from (select *, n // 40000 as q, n % 40000 as r from (
+  select *, (own_score * 2000000)::bigint + points * 20000 as n from recs2))""",
+)
+
+
+def flat(leaders: str) -> str:
+    one = "m.name || ' (' || m.role || ')' || case when m.url is null then '' else ' [' || m.url || ']' end"
+    return f"coalesce(array_to_string(list_transform({leaders}, lambda m: {one}), '; '), '')"
+
+
+# --- search hits and costs ----------------------------------------------------------------------------
+
+cte(
+    "keys",
+    "recs",
+    """
+select distinct site_id, company_name, leader, case when leader is null then company_name || ' founder CEO linkedin'
+  else leader || ' ' || company_name || ' linkedin' end as query
+from (select site_id, company_name, source, unnest(case when len(leaders) = 0 then [null]::varchar[] else
+        list_transform(list_filter(leaders, lambda m: m.url is null), lambda m: m.name) end) as leader from recs)""",
+)
+
+
+def profile_in(text: str) -> str:
+    handle = f"regexp_extract({text}, '(?i)https?://(?:[a-z]{{2,3}}\\.)?linkedin\\.com/in/([a-zA-Z0-9_-]+)', 1)"
+    return f"case when {handle} <> '' and lower({handle}) not in {names(params.RESERVED_HANDLES)} then 'https://www.linkedin.com/in/' || {handle} end"
+
+
+_PARTS = (
+    "list_filter(list_transform(string_split(replace(replace(title, '| LinkedIn', ''), '- LinkedIn', ''), '-'),"
+    f" lambda p: {strip('p')}), lambda p: p <> '')"
+)
+cte("hits", "search_hits", f"select *, coalesce({profile_in('href')}, {profile_in('body')}) as url, {_PARTS} as parts from search_hits")
+cte(
+    "best_hits",
+    "hits",
+    "select query, rank, url, title, parts from hits where rank <= 3 and url is not null"
+    " qualify row_number() over (partition by query order by rank) = 1",
+)
+cte(
+    "enriched",
+    "recs keys best_hits",
+    """
+select r.*, len(leaders) = 0 or len(list_filter(leaders, lambda m: m.url is null)) > 0 as due,
+  case when f.site_id is null then leaders
+       when len(leaders) = 0 then [{'name': f.name, 'role': f.role, 'url': f.urls['']}]
+       else list_transform(leaders, lambda m: {'name': m.name, 'role': m.role, 'url': coalesce(m.url, f.urls[m.name])}) end as found
+from recs r left join (
+  select k.site_id, map(list(coalesce(k.leader, '')), list(b.url)) as urls,
+    any_value(coalesce(b.parts[1], k.company_name || ' Founder/CEO')) as name,
+    any_value(coalesce(b.parts[2], 'Founder / Executive')) as role
+  from keys k join best_hits b on b.query = k.query group by k.site_id) f on f.site_id = r.site_id""",
+)
+cte(
+    "rates",
+    "",
+    "select * from (values "
+    + ", ".join(f"({lit(m)}, {p}::decimal(10,4), {c}::decimal(10,4))" for m, (p, c) in params.MODEL_RATES.items())
+    + ") r(model_name, prompt_rate, completion_rate)",
+)
+
+
+def priced(calls: str) -> str:
+    p, c = params.DEFAULT_RATE
+    micro = f"round(u.prompt_tokens::decimal(18,0) * coalesce(r.prompt_rate, {p}::decimal(10,4)) + u.completion_tokens::decimal(18,0) * coalesce(r.completion_rate, {c}::decimal(10,4)))"
+    return f"select u.*, u.prompt_tokens + u.completion_tokens as total_tokens, {micro}::bigint as micro from {calls} u left join rates r on r.model_name = u.model_name"
+
+
+cte("calls", "usage rates", priced("usage"))
+_SUMS = "sum(prompt_tokens)::bigint as prompt_tokens, sum(completion_tokens)::bigint as completion_tokens, sum(total_tokens)::bigint as total_tokens, sum(micro) / 1e6 as cost_usd"
+
+
+# --- the queries --------------------------------------------------------------------------------------
+
+QUERIES: dict[str, tuple[str, str]] = {}
+
+
+def oracle(name: str, deps: str, sql: str) -> None:
+    QUERIES[name] = (deps, sql)
+
+
+_DOMAIN = f"rtrim(regexp_replace(lower({strip('raw_domain')}), 'https?://', '', 'g'), '/')"
+_TRIMMED = f"lower({strip('raw_domain')})"
+oracle("seed_domains", "seeds", f"select site_id, {strip('raw_domain')} as domain from seeds where {strip('raw_domain')} <> ''")
+oracle(
+    "domain_normalize",
+    "seeds",
+    f"""
+select site_id, raw_domain, d as domain, 'https://' || d as root_url, {name_of("d")} as company_name,
+  case when regexp_matches({_TRIMMED}, '^https?://') then {_TRIMMED} else 'https://' || {_TRIMMED} end as fetch_url
+from (select *, {_DOMAIN} as d from seeds)""",
+)
+oracle("url_resolve", "resolved", "select page, pos::integer as pos, href, link from resolved")
+oracle("internal_links", "tested", "select page, pos::integer as pos, link, followable, self_link, internal from tested")
+oracle("html_tokens", "toks", "select page, pos::integer as pos, kind, tag, tok from toks")
+oracle(
+    "html_spans",
+    "spans",
+    """
+select s.page, s.tag, s.start::integer as start, s.stop::integer as stop, count(*)::integer as depth
+from spans s join spans o on o.page = s.page and s.start between o.start and o.stop group by all""",
+)
+oracle(
+    "tag_attributes",
+    "toks",
+    "select page, pos::integer as pos, tag, "
+    + ", ".join(
+        f"{attr('tok', n)} as \"{n.replace('-', '_')}\"" for n in ("href", "class", "id", "style", "aria-hidden", "title", "alt")
+    )
+    + " from toks where kind in ('open', 'void') and contains(tok, '=')",
+)
+_ITEM_HTML = f"' ' || {item_name('a')} || '=\"' || replace(regexp_extract(a, {VALUE}, 1), '\"', '&quot;') || '\"'"
+_PIECE = f"""case when kind = 'close' then '</' || tag || '>'
+  when kind in ('open', 'void') then '<' || tag || coalesce(array_to_string(list_transform(list_filter({items("tok")},
+    lambda a: {item_name("a")} in {names(params.KEPT_ATTRIBUTES)}), lambda a: {_ITEM_HTML}), ''), '')
+    || case when ends_with(tok, '/>') then '/>' else '>' end
+  else tok end"""
+_PRUNED = f"""
+select a.page, a.url, coalesce(k.pruned, '') as pruned, length(a.html)::integer as raw_chars,
+  length(coalesce(k.pruned, ''))::integer as pruned_chars
+from all_pages a left join (select page, string_agg({_PIECE}, '' order by pos) as pruned from kept group by page) k on k.page = a.page"""
+oracle("html_prune", "kept all_pages", f"select page, pruned, raw_chars, pruned_chars from ({_PRUNED})")
+oracle(
+    "prune_ratio",
+    "kept all_pages",
+    f"""
+select {host("url")} as host, count(*) as pages, sum(raw_chars)::bigint as raw_chars, sum(pruned_chars)::bigint as pruned_chars,
+  round(1 - sum(pruned_chars) / sum(raw_chars), 4) as removed_share from ({_PRUNED}) group by 1""",
+)
+oracle("visible_text", "texts", "select page, text from texts")
+oracle("anchor_text", "anchors", "select page, pos::integer as pos, href, text from anchors")
+oracle(
+    "element_texts",
+    "spans toks",
+    f"""
+select s.page, s.start::integer as pos, s.tag, coalesce(string_agg({strip(decode("t.tok"))}, ' ' order by t.pos), '') as text
+from spans s left join toks t on t.page = s.page and t.pos between s.start and s.stop and t.kind = 'text'
+  and {strip(decode("t.tok"))} <> ''
+where s.tag in {names(params.LINE_TAGS)} group by s.page, s.start, s.tag""",
+)
+_TITLE = "regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title', 1)"
+_TITLE = strip(f"regexp_replace({decode(_TITLE)}, '\\s+', ' ', 'g')")
+oracle(
+    "challenge_flag",
+    "all_pages",
+    f"select page, {_TITLE} as title, regexp_matches(lower({_TITLE}), {lit(either(params.CHALLENGE_TERMS))}) as is_challenge from all_pages",
+)
+oracle("markdown_lines", "md_lines", "select page, pos::integer as pos, line from md_lines")
+oracle(
+    "main_blocks",
+    "prose all_pages",
+    f"""
+select a.page, {host("a.url")} as host, coalesce(m.main_text, '') as main_text from all_pages a
+left join ({main_text_sql("prose")}) m on m.page = a.page where a.html <> ''""",
+)
+_OUTLINE = "select page, string_agg(line || chr(10), '' order by pos) as outline from {} group by page"
+oracle(
+    "page_markdown",
+    "prose md_lines all_pages",
+    f"""
+select a.page, {markdown_of("m.main_text", "o.outline", 2000)} as markdown from all_pages a
+left join ({main_text_sql("prose")}) m on m.page = a.page
+left join ({_OUTLINE.format("md_lines")}) o on o.page = a.page where a.html <> ''""",
+)
+# Blocks repeat only among the chosen pages of a site.
+cte(
+    "chosen_prose",
+    "chosen prose_default",
+    "select p.page, p.block, p.text, p.host from chosen c join prose_default p on p.page = 's' || c.site_id || '-' || c.n",
+)
+cte(
+    "contexts",
+    "chosen chosen_prose md_lines_default",
+    f"""
+select domain, string_agg('## Content from Page: ' || final_url || chr(10) || chr(10) || md, chr(10) || chr(10) || '---'
+  || chr(10) || chr(10) order by rank) as context
+from (select c.domain, c.rank, c.final_url, {markdown_of("m.main_text", "o.outline", params.SITE_PAGE_BUDGET)} as md
+      from chosen c left join ({main_text_sql("chosen_prose")}) m on m.page = 's' || c.site_id || '-' || c.n
+      left join ({_OUTLINE.format("md_lines_default")}) o on o.page = 's' || c.site_id || '-' || c.n)
+where md <> '' group by domain""",
+)
+oracle("site_context", "contexts", "select domain, context from contexts")
+
+
+def request_text() -> str:
+    text = lit(params.REQUEST_TEMPLATE)
+    for field, column in (("domain", "s.domain"), ("emails", "e"), ("profiles", "p"), ("context", "context")):
+        text = text.replace("{" + field + "}", f"' || {column} || '")
+    return text
+
+
+oracle(
+    "request_rows",
+    "contexts site_rows",
+    f"""
+select s.domain, emails, profiles, {request_text()} as request
+from (select *, case emails when '' then 'None detected' else emails end as e,
+        case profiles when '' then 'None detected' else profiles end as p from ({pivoted("domain", "site_rows", ", ")})) s
+left join contexts c on c.domain = s.domain""",
+)
+oracle(
+    "fetch_outcome",
+    "captures",
+    """
+select site_id, n, url, case when outcome in ('ok', 'partial') then coalesce(final_url, url) else url end as final_url,
+  case outcome when 'error' then 500 when 'ok' then coalesce(http_status, 200) else 408 end::integer as status_code,
+  outcome in ('ok', 'partial') as success,
+  case outcome when 'error' then error when 'partial' then 'Partial content retrieved after timeout'
+               when 'timeout' then 'Navigation timed out after 20000ms' end as error_message,
+  outcome, (case when outcome in ('ok', 'partial') then length(raw_html) else 0 end)::integer as html_chars
+from (select *, case when error is not null then 'error' when timed_out and length(raw_html) > 500 then 'partial'
+                     when timed_out then 'timeout' else 'ok' end as outcome from captures)""",
+)
+oracle(
+    "usable_pages",
+    "site_pages",
+    "select site_id, n, final_url, status_code from site_pages where case n when 0 then success or html <> '' else success and html <> '' end",
+)
+oracle("pages_per_site", "crawled", "select domain, pages::integer as pages, pages_crawled from crawled")
+oracle("link_scores", "ranked", "select page, rank::integer as rank, pos::integer as pos, link, score::integer as score from ranked")
+oracle("top_links", "ranked", "select page, rank::integer as rank, pos::integer as pos, link, score::integer as score from ranked where rank <= 3")
+oracle(
+    "link_fanout",
+    "site_pages ranked_default",
+    """
+select h.site_id, r.rank::integer as rank, r.link, f.n as captured_n
+from site_pages h join ranked_default r on r.page = 's' || h.site_id || '-0' and r.rank <= 4
+left join (select url, min(n) as n from site_pages group by url) f on f.url = r.link where h.n = 0""",
+)
+oracle("mailto_emails", "mailto", "select page, email from mailto")
+oracle("text_emails", "text_mail", "select page, email from text_mail")
+oracle("doc_emails", "", emails_in("doc_id", "text", "documents"))
+oracle("profile_urls", "contact_rows", "select page, kind, value from contact_rows where kind <> 'emails'")
+cte("page_lists", "all_pages contact_rows", "select a.page, r.kind, r.value from all_pages a left join contact_rows r on r.page = a.page")
+oracle("page_contacts", "page_lists", pivoted("page", "page_lists", " "))
+oracle("site_contacts", "site_rows", pivoted("domain", "site_rows", " "))
+oracle("response_clean", "cleaned", "select site_id, clean from cleaned")
+oracle("response_parse", "parsed", "select site_id, state from parsed")
+oracle(
+    "response_validate",
+    "checked",
+    "select site_id, source = 'valid' as is_valid, coalesce(errors, '') as error_fields from checked",
+)
+oracle(
+    "members_normalized",
+    "recs",
+    "select site_id, (i - 1)::integer as pos, leaders[i].name as name, leaders[i].role as role, leaders[i].url as linkedin_url"
+    " from recs, unnest(range(1, len(leaders) + 1)) u(i)",
+)
+oracle("contacts_dedup", "recs", "select site_id, coalesce(array_to_string(contacts, ' '), '') as contact_points from recs")
+oracle(
+    "rubric_score",
+    "recs",
+    f"""select site_id, source, source = 'not_object' or company_overview in {names((params.PARSE_ERROR_OVERVIEW,
+    params.SALVAGED_OVERVIEW, params.OVERVIEW_UNAVAILABLE))} as is_placeholder, points / 100.0::double as rubric_score from recs""",
+)
+oracle("blended_score", "recs", "select site_id, own_score::double as own_score, blended as data_confidence_score from recs")
+_RECORD = (
+    "domain, company_name, company_overview, target_audience_icp, {score} as data_confidence_score, confidence_reasoning,"
+    " {contacts} as contact_points, {leaders} as key_leadership, {pages} as pages_crawled, {provider} as llm_provider,"
+    " {model} as model_name, {tokens}::bigint as total_tokens, {cost} as estimated_cost_usd, {searched} as search_fallback_triggered"
+)
+_CONTACTS = "coalesce(array_to_string(contacts, '; '), '')"
+cte(
+    "stored",
+    "recs rates crawled",
+    f"select c.*, coalesce(w.pages_crawled, '') as pages_crawled from ({priced('recs')}) c left join crawled w on w.domain = c.domain",
+)
+_STORED = "select " + _RECORD.format(
+    score="blended", contacts=_CONTACTS, leaders=flat("leaders"), pages="pages_crawled", provider="provider",
+    model="model_name", tokens="total_tokens", cost="micro / 1e6", searched="false",
+) + " from stored"
+oracle("profiles", "stored", _STORED)
+oracle("json_roundtrip", "stored", _STORED)
+_FALLBACK = "select " + _RECORD.format(
+    score="0.0::double", contacts="''", leaders="''", pages="''", provider="'gemini'", model="'gemini-3.6-flash'",
+    tokens="0", cost="0.0::double", searched="false",
+) + f""" from (select s.domain, {name_of("s.domain")} as company_name,
+    'Failed to extract intelligence for ' || s.domain || ': ' || coalesce(p.error_message, 'Homepage unreachable') as company_overview,
+    'N/A' as target_audience_icp,
+    'Domain crawl or extraction failed: ' || coalesce(p.error_message, 'Homepage unreachable') as confidence_reasoning
+  from (select distinct domain from seeds) s join site_pages p on p.url = 'https://' || s.domain
+  where not p.success and p.html = '')"""
+oracle("fallback_profiles", "seeds site_pages", _FALLBACK)
+cte(
+    "finished",
+    "enriched rates crawled",
+    f"""
+select c.*, coalesce(w.pages_crawled, '') as pages_crawled, due and source <> 'not_object' as searched,
+  case when source = 'not_object' then leaders else found end as final_leaders
+from ({priced('enriched')}) c left join crawled w on w.domain = c.domain""",
+)
+oracle(
+    "batch_complete",
+    "finished seeds site_pages",
+    f"""
+select p.* from seeds s join (
+  select {_RECORD.format(score="blended", contacts=_CONTACTS, leaders=flat("final_leaders"), pages="pages_crawled",
+    provider="provider", model="model_name", tokens="total_tokens", cost="micro / 1e6", searched="searched")}
+  from finished where domain not in (select domain from ({_FALLBACK}))
+  union all {_FALLBACK}) p on p.domain = s.domain""",
+)
+_SENTENCES = "regexp_extract_all(regexp_replace(coalesce(main_text, ''), '\\s+', ' ', 'g'), '[^.!?]+(?:[.!?]+|$)')"
+_LEAD = strip(f"regexp_extract({_TITLE}, '^(.*?)(?:\\s+[-|–—]\\s+.*)?$', 1)")
+oracle(
+    "extractive_profiles",
+    "chosen prose_default site_rows",
+    f"""
+select domain, company_name, company_overview, contact_points, (case when length(company_overview) > 20
+    and company_overview <> {lit(params.OVERVIEW_UNAVAILABLE)} then 25 else 0 end + case when contact_points <> '' then 20 else 0 end) / 100.0::double
+    as data_confidence_score
+from (select c.domain, coalesce(nullif({_LEAD}, ''), {name_of("c.domain")}) as company_name,
+        coalesce(nullif(array_to_string(list_transform({_SENTENCES}[:2], lambda x: {strip("x")}), ' '), ''), {lit(params.OVERVIEW_UNAVAILABLE)}) as company_overview,
+        s.emails as contact_points
+      from chosen c join ({pivoted("domain", "site_rows", " ")}) s on s.domain = c.domain
+      left join (select page, string_agg(text, ' ' order by block) as main_text from prose_default group by page) m
+        on m.page = 's' || c.site_id || '-' || c.n where c.rank = 0)""",
+)
+oracle(
+    "needs_enrichment",
+    "enriched",
+    "select site_id, due as needs_search from enriched",
+)
+oracle("search_keys", "keys", "select site_id, leader, query from keys")
+oracle(
+    "hit_profile_url",
+    "hits",
+    f"select site_id, rank, {profile_in('href')} as from_href, {profile_in('body')} as from_body, url from hits",
+)
+oracle(
+    "hit_title_parse",
+    "hits",
+    "select site_id, rank, coalesce(parts[1], 'Acme Founder/CEO') as name, coalesce(parts[2], 'Founder / Executive') as role from hits",
+)
+oracle("first_hit", "best_hits", "select query, rank, url, title from best_hits")
+oracle(
+    "leaders_enriched",
+    "enriched",
+    f"select site_id, {flat('found')} as key_leadership, due as search_fallback_triggered from enriched",
+)
+_CALL = "domain, model_name, prompt_tokens, completion_tokens, total_tokens"
+oracle("usage_cost", "calls", f"select {_CALL}, micro / 1e6 as cost_usd from calls")
+oracle("usage_totals", "calls", f"select {_SUMS} from calls")
+_PRINTED = ", ".join(f"format('{{:,}}', {c}::bigint) as {c}" for c in ("prompt_tokens", "completion_tokens", "total_tokens"))
+oracle(
+    "cost_report",
+    "calls",
+    f"""
+select domain, model_name, {_PRINTED}, printf('$%.6f', micro / 1e6) as cost_usd from calls
+union all select 'TOTAL', '-', {_PRINTED}, printf('$%.6f', cost_usd) from (select {_SUMS} from calls)""",
+)
+oracle("cost_rollup", "calls", f"select domain, model_name, {_SUMS} from calls group by rollup (domain, model_name)")
+cte(
+    "message_calls",
+    "",
+    """
+select 'group' || conv_id % 10 as domain, (['gemini-3.6-flash', 'gpt-4o-mini', 'unlisted-model'])[conv_id % 3 + 1] as model_name,
+  case role when 'assistant' then 0 else length(text) end::bigint as prompt_tokens,
+  case role when 'assistant' then length(text) else 0 end::bigint as completion_tokens from conversations""",
+)
+cte("message_costs", "message_calls rates", priced("message_calls"))
+oracle("cost_stream", "message_costs", f"select domain, model_name, {_SUMS} from message_costs group by domain, model_name")
+_FLAT = f"""
+select domain, company_name, company_overview, target_audience_icp, {_CONTACTS} as contact_points, {flat("leaders")} as key_leadership,
+  blended as data_confidence_score, confidence_reasoning, total_tokens::bigint as total_tokens,
+  printf('$%.6f', micro / 1e6) as estimated_cost_usd from stored"""
+oracle("flat_export", "stored", _FLAT)
+oracle("csv_roundtrip", "stored", _FLAT)
+oracle(
+    "result_summary",
+    "recs",
+    """
+select domain, company_name, target_audience_icp, len(contacts)::integer as emails, len(leaders)::integer as leaders,
+  printf('%.2f', blended) as confidence, case when blended >= 0.7 then 'high' when blended >= 0.4 then 'medium' else 'low' end as band
+from recs""",
+)
+oracle(
+    "site_counters",
+    "all_pages contact_rows",
+    f"""
+select {host("a.url")} as host, count(distinct a.page) as pages, count(distinct r.value) filter (r.kind = 'emails') as emails,
+  count(distinct r.value) filter (r.kind = 'profiles') as profiles
+from all_pages a left join contact_rows r on r.page = a.page group by 1""",
+)
+
+
+def sql_for(name: str) -> str:
+    deps, final = QUERIES[name]
+    order: list[str] = []
+
+    def visit(cte_name: str) -> None:
+        if cte_name in order:
+            return
+        for d in CTES[cte_name][0].split():
+            visit(d)
+        order.append(cte_name)
+
+    for d in deps.split():
+        visit(d)
+    clauses = ",\n".join(f"{c} as ({CTES[c][1]})" if c == "walk" else f"{c} as materialized ({CTES[c][1]})" for c in order)
+    return (f"with recursive {clauses}\n" if order else "") + final.strip()
+
+
+def all_queries() -> dict[str, str]:
+    return {name: sql_for(name) for name in QUERIES}

@@ -4,22 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitefacts.functions import contacts as C
 from sitefacts.functions import html as H
 from sitefacts.functions.common import on_columns
+from sitefacts.operators.rows import computed, unfolded
 
 KINDS = ("emails", "profiles", "companies")
 
 
 def with_contacts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``emails``, ``profiles`` and ``companies``: distinct and sorted per page."""
-    tokens = pages.withColumn("tokens", on_columns(H.tokenize, html))
-    sources = tokens.withColumn("hrefs", on_columns(H.hrefs, "tokens")).withColumn(
-        "text", on_columns(H.visible_text, "tokens")
-    )
+    tokens = computed(pages, tokens=on_columns(H.tokenize, html))
+    sources = computed(tokens, hrefs=on_columns(H.hrefs, "tokens"), text=on_columns(H.visible_text, "tokens"))
     hrefs, markup = F.col("hrefs"), F.col(html)
     return (
         sources.withColumn(
@@ -34,18 +33,22 @@ def with_contacts(pages: DataFrame, html: str = "html") -> DataFrame:
 def contact_values(pages: DataFrame, key: Sequence[str], html: str = "html") -> DataFrame:
     """Long form: ``(key, kind, value)``, each value once per page."""
     lists = with_contacts(pages, html)
-    rows = [F.transform(k, lambda v, k=k: F.struct(F.lit(k).alias("kind"), v.alias("value"))) for k in KINDS]
-    return lists.select(*key, F.explode(F.concat(*rows)).alias("c")).select(*key, "c.kind", "c.value")
+
+    def rows(kind: str) -> Column:
+        return F.transform(kind, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    found = unfolded(lists, key, F.concat(*[rows(k) for k in KINDS]), "c")
+    return found.select(*key, "c.kind", "c.value")
 
 
 def mailto_emails(pages: DataFrame, key: Sequence[str], html: str = "html") -> DataFrame:
-    tokens = pages.withColumn("tokens", on_columns(H.tokenize, html))
-    return tokens.select(*key, F.explode(C.mailto_addresses(on_columns(H.hrefs, "tokens"))).alias("email"))
+    tokens = computed(pages, tokens=on_columns(H.tokenize, html))
+    return unfolded(tokens, key, C.mailto_addresses(on_columns(H.hrefs, "tokens")), "email")
 
 
 def text_emails(texts: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
     """Addresses in a text column after the deny lists, repeats included."""
-    return texts.select(*key, F.explode(C.allowed_text_addresses(F.col(text))).alias("email"))
+    return unfolded(texts, key, C.allowed_text_addresses(F.col(text)), "email")
 
 
 def site_values(pages: DataFrame, site: str, key: Sequence[str], html: str = "html") -> DataFrame:

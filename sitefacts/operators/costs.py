@@ -61,7 +61,7 @@ def usage_totals(costs: DataFrame, *by: str) -> DataFrame:
 def _printed(rows: DataFrame) -> DataFrame:
     tokens = [F.format_string("%,d", F.col(c)).alias(c) for c in TOTALS]
     return rows.select(
-        "domain", "model_name", *tokens, F.format_string("$%.6f", F.col("cost_usd")).alias("cost_usd")
+        "domain", "model_name", *tokens, F.concat(F.lit("$"), F.col("cost_usd").cast("string")).alias("cost_usd")
     )
 
 

@@ -20,6 +20,7 @@ def search_keys(profiles: DataFrame, key: str) -> DataFrame:
     leaders = F.when(F.size("key_leadership") == 0, F.array(F.lit(None).cast("string"))).otherwise(
         F.transform(lacking, lambda m: m["name"])
     )
+    # A null leader stands for a profile without any, so nulls must stay: no outer form here.
     wanted = profiles.select(key, "company_name", F.explode(F.array_distinct(leaders)).alias("leader"))
     query = F.when(F.col("leader").isNull(), R.company_query(F.col("company_name"))).otherwise(
         R.leader_query(F.col("leader"), F.col("company_name"))

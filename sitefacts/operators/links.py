@@ -12,13 +12,14 @@ from sitefacts.functions import html as H
 from sitefacts.functions import urls as U
 from sitefacts.functions.common import on_columns
 from sitefacts.operators.pages import parse_pages
+from sitefacts.operators.rows import computed, unfolded
 from sitefacts.plans.skew import salted_join
 
 
 def page_anchors(pages: DataFrame, key: Sequence[str], html: str = "html", separator: str = "") -> DataFrame:
     """One row per anchor with an href: ``(key, pos, href, text)``."""
     anchors = on_columns(H.anchors, "tokens", "spans", separator=separator)
-    found = parse_pages(pages, html).select(*key, F.explode(anchors).alias("a"))
+    found = unfolded(parse_pages(pages, html), key, anchors, "a")
     return found.select(*key, "a.pos", "a.href", "a.text")
 
 
@@ -27,7 +28,7 @@ def resolved_links(
 ) -> DataFrame:
     """Anchors with absolute URL and the tests a followed link must pass."""
     with_base = page_anchors(pages, [*key, base], html)
-    resolved = with_base.withColumn("link", U.resolve(F.col(base), F.col("href")))
+    resolved = computed(with_base, link=U.resolve(F.col(base), F.col("href")))
     return resolved.select(
         *key,
         "pos",
@@ -71,8 +72,8 @@ def with_ranked_links(
         ),
         lambda a: a["order"] < 0,
     )
-    parsed = parse_pages(pages, html).withColumn("scored", with_score)
-    first_of_url = parsed.withColumn("urls", F.col("scored.link")).withColumn(
+    parsed = computed(computed(parse_pages(pages, html), scored=with_score), urls=F.col("scored.link"))
+    first_of_url = parsed.withColumn(
         "firsts", F.filter("scored", lambda a, i: F.array_position("urls", a["link"]) == i + 1)
     )
     ranked = F.transform(
@@ -81,12 +82,12 @@ def with_ranked_links(
             (i + 1).alias("rank"), a["pos"].alias("pos"), a["link"].alias("link"), (-a["order"]).alias("score")
         ),
     )
-    return first_of_url.withColumn("links", ranked).drop("scored", "urls", "firsts", "tokens", "spans")
+    return computed(first_of_url, links=ranked).drop("scored", "urls", "firsts", "tokens", "spans")
 
 
 def link_scores(pages: DataFrame, key: Sequence[str], base: str = "url", html: str = "html", **rules) -> DataFrame:
     """One row per scored URL of a page: ``(key, rank, pos, link, score)``."""
-    ranked = with_ranked_links(pages, base, html, **rules).select(*key, F.explode("links").alias("l"))
+    ranked = unfolded(with_ranked_links(pages, base, html, **rules), key, "links", "l")
     return ranked.select(*key, "l.rank", "l.pos", "l.link", "l.score")
 
 
@@ -99,9 +100,7 @@ def top_links(
     **rules,
 ) -> DataFrame:
     """The ``limit`` best links of each page."""
-    best = with_ranked_links(pages, base, html, **rules).select(
-        *key, F.explode(F.slice("links", 1, limit)).alias("l")
-    )
+    best = unfolded(with_ranked_links(pages, base, html, **rules), key, F.slice("links", 1, limit), "l")
     return best.select(*key, "l.rank", "l.pos", "l.link", "l.score")
 
 

@@ -13,41 +13,40 @@ from sitefacts.functions import markdown as M
 from sitefacts.functions import urls as U
 from sitefacts.functions.common import on_columns
 from sitefacts.operators.pages import prune_pages
+from sitefacts.operators.rows import computed, unfolded
 from sitefacts.plans.skew import salted_join
 
 
 def content_pages(pages: DataFrame, html: str = "html", **rules) -> DataFrame:
     """Add ``kept``, ``kept_spans`` and ``blocks`` of the pruned page."""
-    return (
-        prune_pages(pages, html, **rules)
-        .drop("tokens", "spans")
-        .withColumn("kept_spans", on_columns(H.element_spans, "kept"))
-        .withColumn("blocks", on_columns(M.blocks, "kept"))
+    pruned = prune_pages(pages, html, **rules).drop("tokens", "spans")
+    return computed(
+        pruned, kept_spans=on_columns(H.element_spans, "kept"), blocks=on_columns(M.blocks, "kept")
     )
 
 
 def markdown_lines(pages: DataFrame, key: Sequence[str], html: str = "html", **rules) -> DataFrame:
     """One row per Markdown line: ``(key, pos, line)``; positions count the kept tokens."""
-    pruned = prune_pages(pages, html, **rules).withColumn("kept_spans", on_columns(H.element_spans, "kept"))
+    pruned = computed(prune_pages(pages, html, **rules), kept_spans=on_columns(H.element_spans, "kept"))
     line_spans = F.filter("kept_spans", lambda s: M.is_line(F.col("kept"), s))
     lines = F.transform(
         line_spans, lambda s: F.struct(H.span_start(s).alias("pos"), M.line(F.col("kept"), s).alias("line"))
     )
-    found = pruned.select(*key, F.explode(lines).alias("l")).where("l.line is not null")
+    found = unfolded(pruned, key, lines, "l").where("l.line is not null")
     return found.select(*key, "l.pos", "l.line")
 
 
 def page_blocks(pages: DataFrame, key: Sequence[str], url: str = "url", html: str = "html", **rules) -> DataFrame:
     """Running-text blocks of every page, still in its row: ``(key, host, blocks)``."""
-    pruned = prune_pages(pages, html, **rules)
-    return pruned.select(*key, U.host(F.col(url)).alias("host"), on_columns(M.blocks, "kept").alias("blocks"))
+    pruned = computed(prune_pages(pages, html, **rules), blocks=on_columns(M.blocks, "kept"))
+    return pruned.select(*key, U.host(F.col(url)).alias("host"), "blocks")
 
 
 def block_keys(blocks: DataFrame, key: Sequence[str]) -> DataFrame:
     """``(key, host, block)``: hash of each prose block, once per page. No text leaves the page."""
     prose = F.filter("blocks", lambda b: M.is_prose(b))
     hashes = F.array_distinct(F.transform(prose, lambda b: M.block_key(b["text"])))
-    return blocks.select(*key, "host", F.explode(hashes).alias("block"))
+    return unfolded(blocks, [*key, "host"], hashes, "block")
 
 
 def repeated_blocks(

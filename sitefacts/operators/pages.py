@@ -11,40 +11,34 @@ from sitefacts import params
 from sitefacts.functions import html as H
 from sitefacts.functions import urls as U
 from sitefacts.functions.common import on_columns
+from sitefacts.operators.rows import computed, unfolded, unfolded_with_position
 
 
 def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``tokens`` and ``spans``; pages without HTML are left out."""
     has_html = F.col(html).isNotNull() & (F.col(html) != "")
-    return (
-        pages.where(has_html)
-        .withColumn("tokens", on_columns(H.tokenize, html))
-        .withColumn("spans", on_columns(H.element_spans, "tokens"))
-    )
+    tokens = computed(pages.where(has_html), tokens=on_columns(H.tokenize, html))
+    return computed(tokens, spans=on_columns(H.element_spans, "tokens"))
 
 
 def html_tokens(pages: DataFrame, key: Sequence[str], html: str = "html") -> DataFrame:
     """One row per token: ``(key, pos, kind, tag, tok)``."""
-    tokens = pages.select(*key, F.posexplode(on_columns(H.tokenize, html)).alias("pos", "t"))
+    tokens = unfolded_with_position(pages, key, on_columns(H.tokenize, html), "t")
     return tokens.select(*key, "pos", "t.kind", "t.tag", "t.tok")
 
 
 def html_spans(pages: DataFrame, key: Sequence[str], html: str = "html") -> DataFrame:
     """One row per element: ``(key, tag, tok, start, stop, depth)``."""
-    parsed = parse_pages(pages, html).select(
-        *key,
-        F.explode(
-            F.transform(
-                "spans",
-                lambda s: F.struct(
-                    F.get("tokens", H.span_start(s))["tag"].alias("tag"),
-                    F.get("tokens", H.span_start(s))["tok"].alias("tok"),
-                    H.span_start(s).alias("start"),
-                    H.span_stop(s).alias("stop"),
-                ),
-            )
-        ).alias("s"),
+    elements = F.transform(
+        "spans",
+        lambda s: F.struct(
+            F.get("tokens", H.span_start(s))["tag"].alias("tag"),
+            F.get("tokens", H.span_start(s))["tok"].alias("tok"),
+            H.span_start(s).alias("start"),
+            H.span_stop(s).alias("stop"),
+        ),
     )
+    parsed = unfolded(parse_pages(pages, html), key, elements, "s")
     # An element lies as deep as elements have started up to it and not yet stopped before it. Both
     # counts come from one ordered pass over the starts and stops of a page.
     moves = parsed.select(
@@ -82,8 +76,8 @@ def prune_pages(
     dropped = on_columns(
         H.dropped_spans, "tokens", "spans", strip_tags=tuple(strip_tags), noise_words=tuple(noise_words)
     )
-    parsed = parse_pages(pages, html).withColumn("dropped", dropped)
-    return parsed.withColumn("kept", on_columns(H.kept_tokens, "tokens", "dropped")).drop("dropped")
+    parsed = computed(parse_pages(pages, html), dropped=dropped)
+    return computed(parsed, kept=on_columns(H.kept_tokens, "tokens", "dropped")).drop("dropped")
 
 
 def pruned_html(pages: DataFrame, html: str = "html", **rules) -> DataFrame:
@@ -110,7 +104,7 @@ def prune_ratio_by_host(pruned: DataFrame, url: str = "url") -> DataFrame:
 
 def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``text``: the visible text of the whole page."""
-    tokens = pages.withColumn("tokens", on_columns(H.tokenize, html))
+    tokens = computed(pages, tokens=on_columns(H.tokenize, html))
     return tokens.withColumn("text", on_columns(H.visible_text, "tokens")).drop("tokens")
 
 
@@ -127,7 +121,7 @@ def element_texts(
         )
 
     wanted = F.filter("spans", lambda s: F.get("tokens", H.span_start(s))["tag"].isin(*tags))
-    found = parse_pages(pages, html).select(*key, F.explode(F.transform(wanted, element)).alias("e"))
+    found = unfolded(parse_pages(pages, html), key, F.transform(wanted, element), "e")
     return found.select(*key, "e.pos", "e.tag", "e.text")
 
 

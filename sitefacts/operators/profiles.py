@@ -134,7 +134,7 @@ def flat_profiles(profiles: DataFrame) -> DataFrame:
         "data_confidence_score",
         "confidence_reasoning",
         F.coalesce(F.col("metadata.total_tokens"), F.lit(0)).alias("total_tokens"),
-        F.format_string("$%.6f", cost.cast("decimal(28,6)")).alias("estimated_cost_usd"),
+        F.concat(F.lit("$"), cost.cast("decimal(28,6)").cast("string")).alias("estimated_cost_usd"),
     )
 
 
@@ -151,7 +151,7 @@ def result_summary(profiles: DataFrame) -> DataFrame:
         "target_audience_icp",
         F.size("contact_points").alias("emails"),
         F.size("key_leadership").alias("leaders"),
-        F.format_string("%.2f", score.cast("decimal(10,2)")).alias("confidence"),
+        score.cast("decimal(10,2)").cast("string").alias("confidence"),
         confidence_band(score).alias("band"),
     )
 

@@ -7,25 +7,26 @@ from pyspark.sql import functions as F
 
 from sitefacts import params
 from sitefacts.functions import answers as A
-from sitefacts.functions.common import empty_array
+from sitefacts.functions.common import empty_array, on_columns
+from sitefacts.operators.rows import computed, unfolded_with_position
 
 NOT_AN_OBJECT = "Answer is not a JSON object"
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
     """Add ``clean``, ``doc`` and ``state``: parsed, unparsable or not_object."""
-    parsed = responses.withColumn("clean", A.unfence(F.col("raw_json"))).withColumn("doc", A.parse(F.col("clean")))
+    clean = computed(responses, clean=on_columns(A.unfence, "raw_json"))
+    parsed = computed(clean, doc=on_columns(A.parse, "clean"))
     state = F.when(F.col("doc").isNull(), "unparsable").otherwise(
         F.when(A.kind(F.col("doc")) == "OBJECT", "parsed").otherwise("not_object")
     )
-    return parsed.withColumn("state", state)
+    return computed(parsed, state=state)
 
 
 def validate_responses(responses: DataFrame) -> DataFrame:
     """Add ``error_fields`` and ``is_valid`` to parsed responses."""
-    checked = parse_responses(responses).withColumn(
-        "error_fields", F.when(F.col("state") == "parsed", A.error_fields(F.col("doc")))
-    )
+    errors = F.when(F.col("state") == "parsed", on_columns(A.error_fields, "doc"))
+    checked = computed(parse_responses(responses), error_fields=F.coalesce(errors, empty_array("string")))
     return checked.withColumn("is_valid", (F.col("state") == "parsed") & (F.size("error_fields") == 0))
 
 
@@ -39,7 +40,7 @@ def records(responses: DataFrame) -> DataFrame:
     source = (
         F.when(F.col("state") != "parsed", F.col("state")).when(F.col("is_valid"), "valid").otherwise("salvaged")
     )
-    checked = validate_responses(responses).withColumn("source", source)
+    checked = computed(validate_responses(responses), source=source)
     src = F.col("source")
     name = A.default_name(domain)
 
@@ -57,40 +58,35 @@ def records(responses: DataFrame) -> DataFrame:
     failed = F.concat(F.lit("Failed to extract intelligence for "), domain, F.lit(f": {NOT_AN_OBJECT}"))
     salvaged_overview = A.text_or(doc, "company_overview", F.lit(params.SALVAGED_OVERVIEW))
     no_members = empty_array("struct<name:string,role:string,linkedin_url:string>")
-    record = checked.select(
-        *responses.columns,
-        "source",
-        pick(text("company_name"), A.text_or(doc, "company_name", name), name, name).alias("company_name"),
-        pick(
+    record = computed(
+        checked,
+        company_name=pick(text("company_name"), A.text_or(doc, "company_name", name), name, name),
+        company_overview=pick(
             A.overview(text("company_overview")),
             A.overview(salvaged_overview),
             F.lit(params.PARSE_ERROR_OVERVIEW),
             failed,
-        ).alias("company_overview"),
-        pick(
+        ),
+        target_audience_icp=pick(
             text("target_audience_icp"),
             A.text_or(doc, "target_audience_icp", F.lit(params.SALVAGED_AUDIENCE)),
             F.lit(params.PARSE_ERROR_AUDIENCE),
             F.lit("N/A"),
-        ).alias("target_audience_icp"),
-        F.when(src.isin("valid", "salvaged"), A.contacts(doc)).otherwise(empty_array("string")).alias("contact_points"),
-        F.when(src == "valid", A.members(doc)).otherwise(no_members).alias("key_leadership"),
-        pick(A.score(doc), F.lit("0.2").cast(A.SCORE), F.lit("0.1").cast(A.SCORE), F.lit("0").cast(A.SCORE)).alias(
-            "own_score"
         ),
-        pick(
+        contact_points=F.when(src.isin("valid", "salvaged"), on_columns(A.contacts, "doc")).otherwise(
+            empty_array("string")
+        ),
+        key_leadership=F.when(src == "valid", on_columns(A.members, "doc")).otherwise(no_members),
+        own_score=pick(A.score(doc), *[F.lit(s).cast(A.SCORE) for s in ("0.2", "0.1", "0")]),
+        confidence_reasoning=pick(
             text("confidence_reasoning"),
             F.concat(F.lit("Partial validation failure: "), F.array_join("error_fields", ", ")),
             F.lit(params.PARSE_ERROR_REASON),
             F.lit(f"Domain crawl or extraction failed: {NOT_AN_OBJECT}"),
-        ).alias("confidence_reasoning"),
-    )
-    scored = record.withColumn(
-        "rubric_score",
-        A.rubric(
-            F.col("company_overview"), F.col("target_audience_icp"), F.col("contact_points"), F.col("key_leadership")
         ),
-    )
+    ).drop("clean", "doc", "state", "error_fields", "is_valid")
+    filled = on_columns(A.rubric, "company_overview", "target_audience_icp", "contact_points", "key_leadership")
+    scored = computed(record, rubric_score=filled)
     blended = F.when(src == "not_object", F.lit(0.0)).otherwise(A.blend(F.col("own_score"), F.col("rubric_score")))
     stand_ins = (params.PARSE_ERROR_OVERVIEW, params.SALVAGED_OVERVIEW, params.OVERVIEW_UNAVAILABLE)
     placeholder = F.col("company_overview").isin(*stand_ins) | (src == "not_object")
@@ -99,5 +95,5 @@ def records(responses: DataFrame) -> DataFrame:
 
 def member_rows(records_: DataFrame, key: str) -> DataFrame:
     """One row per leader: ``(key, pos, name, role, linkedin_url)``."""
-    rows = records_.select(key, F.posexplode("key_leadership").alias("pos", "m"))
+    rows = unfolded_with_position(records_, [key], "key_leadership", "m")
     return rows.select(key, "pos", "m.name", "m.role", "m.linkedin_url")
