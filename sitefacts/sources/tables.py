@@ -39,7 +39,7 @@ def read_json(spark: SparkSession, path: str, array_file: bool = False) -> DataF
     return spark.read.schema(schemas.PROFILE).option("multiLine", array_file).json(path)
 
 
-CSV_OPTIONS = {"header": True, "escape": '"', "quoteAll": False, "multiLine": True}
+CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
 CSV_SCHEMA = (
     "domain string, company_name string, company_overview string, target_audience_icp string, "
     "contact_points string, key_leadership string, data_confidence_score double, "
@@ -52,4 +52,5 @@ def write_csv(profiles: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CSV_SCHEMA).options(**CSV_OPTIONS, emptyValue="", nullValue="\u0000").csv(path)
+    """The flat export back. It has no nulls, so an empty field is an empty text."""
+    return spark.read.schema(CSV_SCHEMA).options(**CSV_OPTIONS).csv(path).fillna("")
