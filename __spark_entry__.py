@@ -40,7 +40,7 @@ def all_pages(spark: SparkSession, d: str) -> DataFrame:
         F.col("final_url").alias("url"),
         "html",
     )
-    return given.unionByName(derived)
+    return tables.spread_small(given.unionByName(derived))
 
 
 def with_html(df: DataFrame) -> DataFrame:
@@ -127,7 +127,8 @@ def page_markdown(spark, d):
 
 def chosen_pages(spark, d):
     sites = load(spark, d, "seeds").select(F.col("raw_domain").alias("domain"))
-    return flow.chosen_pages(seeds.normalized_seeds(sites), load(spark, d, "site_pages"), SITE_PAGE)
+    site_pages = tables.spread_small(load(spark, d, "site_pages"))
+    return flow.chosen_pages(seeds.normalized_seeds(sites), site_pages, SITE_PAGE)
 
 
 def site_context(spark, d):
@@ -190,7 +191,7 @@ def text_emails(spark, d):
 
 
 def doc_emails(spark, d):
-    return contacts.text_emails(load(spark, d, "documents"), ["doc_id"])
+    return contacts.text_emails(tables.spread_small(load(spark, d, "documents").select("doc_id", "text")), ["doc_id"])
 
 
 def profile_urls(spark, d):
@@ -211,7 +212,7 @@ def site_contacts(spark, d):
 
 
 def answers(spark, d):
-    return load(spark, d, "model_responses")
+    return tables.spread_small(load(spark, d, "model_responses"))
 
 
 def records(spark, d):

@@ -111,7 +111,9 @@ def captured_links(links: DataFrame, captures: DataFrame, key: Sequence[str], ur
     pages may link to one URL, so the links of a URL are spread.
     """
     first_capture = captures.groupBy(F.col(url).alias("link")).agg(F.min(F.struct(*key)).alias("capture_key"))
-    return salted_join(links, first_capture, ["link"], [c for c in links.columns if c != "link"])
+    # Only URLs that are linked at all are repeated for the slices below, not every captured one.
+    linked = links.select("link").distinct().join(first_capture, "link")
+    return salted_join(links, linked, ["link"], [c for c in links.columns if c != "link"])
 
 
 def missing_links(linked: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from sitefacts.functions import urls as U
 from sitefacts.functions.common import on_columns
 from sitefacts.operators.pages import prune_pages
 from sitefacts.operators.rows import computed, unfolded
+from sitefacts.plans.scratch import staged
 from sitefacts.plans.skew import salted_join
 
 
@@ -71,7 +72,8 @@ def repeated_on_page(
 
 def main_texts(pages: DataFrame, key: Sequence[str], url: str = "url", html: str = "html", **rules) -> DataFrame:
     """Main text of every page, without short, link-heavy and repeated blocks."""
-    blocks = page_blocks(pages, key, url, html, **rules)
+    # Read twice, for the hashes and for the texts; the copy saves parsing every page again.
+    blocks = staged(page_blocks(pages, key, url, html, **rules), "page-blocks")
     repeated = repeated_on_page(block_keys(blocks, key), key)
     return blocks.join(repeated, list(key), "left").select(
         *key, "host", on_columns(M.main_text, "blocks", "repeated").alias("main_text")
@@ -89,10 +91,10 @@ def page_markdown(
     """Markdown of every page: main text if there is enough of it, else the outline."""
     content = content_pages(pages, html, **rules).withColumn("host", U.host(F.col(url)))
     columns = [c for c in pages.columns if c != html]
-    rendered = content.select(
-        *columns, "host", "blocks", on_columns(M.outline, "kept", "kept_spans", budget=budget).alias("outline")
-    )
-    repeated = repeated_on_page(block_keys(page_blocks(pages, key, url, html, **rules), key), key)
+    outline = on_columns(M.outline, "kept", "kept_spans", budget=budget).alias("outline")
+    # Read twice, for the hashes and for the texts; the copy saves parsing every page again.
+    rendered = staged(content.select(*columns, "host", "blocks", outline), "page-content")
+    repeated = repeated_on_page(block_keys(rendered, key), key)
     main = on_columns(M.main_text, "blocks", "repeated")
     return rendered.join(repeated, list(key), "left").select(
         *columns, M.choose(main, F.col("outline"), budget).alias("markdown")

@@ -9,7 +9,6 @@ from sitefacts import params, schemas
 from sitefacts.functions import answers as A
 from sitefacts.functions.common import empty_array, strip
 from sitefacts.functions.urls import name_from_domain
-from sitefacts.plans.skew import salted_join
 
 FIELDS = tuple(f.name for f in schemas.PROFILE.fields)
 
@@ -66,17 +65,22 @@ def fallback_profiles(failed: DataFrame) -> DataFrame:
     )
 
 
-def complete_batch(seeds: DataFrame, profiles: DataFrame, reason: str = "No answer stored") -> DataFrame:
+def complete_batch(
+    seeds: DataFrame, profiles: DataFrame, reason: str = "No answer stored", copies_per_task: int = 10_000
+) -> DataFrame:
     """Exactly one row per seed, in the seeds' multiplicity; sites without a profile get a fallback.
 
-    A domain may be listed any number of times, so its seeds are spread over several tasks.
+    A domain may be listed any number of times. Seeds are counted first, so the join sees each domain once
+    on both sides; the copies of a domain listed very often are then made in several tasks.
     """
-    found = profiles.select("domain", F.struct(*[c for c in FIELDS if c != "domain"]).alias("p"))
-    numbered = seeds.select("domain", F.monotonically_increasing_id().alias("_seed"))
-    joined = salted_join(numbered, found, ["domain"], ["_seed"])
-    empty = fallback_profiles(joined.select("*", F.lit(reason).alias("error_message")).where("p is null"))
-    full = joined.where("p is not null").select("domain", "p.*")
-    return full.unionByName(empty).select(*FIELDS)
+    counted = seeds.groupBy("domain").agg(F.count("*").alias("_copies"))
+    lacking = counted.join(profiles, "domain", "left_anti").withColumn("error_message", F.lit(reason))
+    known = profiles.select(*FIELDS).unionByName(fallback_profiles(lacking))
+    per_slice = F.lit(copies_per_task)
+    slices = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / per_slice))
+    sliced = known.join(counted, "domain").withColumn("_slice", F.explode(slices)).repartition("domain", "_slice")
+    in_slice = F.least(F.col("_copies") - F.col("_slice") * per_slice, per_slice)
+    return sliced.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_slice))).select(*FIELDS)
 
 
 def sentences(text: Column, count: int) -> Column:

@@ -15,7 +15,6 @@ from sitefacts.operators import captures as captures_
 from sitefacts.operators import contacts, costs, enrichment, links, markdown, profiles, responses
 from sitefacts.operators.pages import prune_pages
 from sitefacts.plans.scratch import staged
-from sitefacts.plans.skew import salted_join
 from sitefacts.sources.seeds import normalized_seeds
 
 
@@ -42,9 +41,8 @@ def chosen_pages(
     keys = page_keys(pages, key)
     home = staged(homepages(seeds, pages, key).where(captures_.is_reachable()), "homepages")
     best = links.top_links(home, ["domain"], base="final_url", limit=limit)
-    wanted = salted_join(
-        best.select("domain", "rank", F.col("link").alias("url")), keys, ["url"], ["domain"], how="inner"
-    )
+    # An internal URL belongs to its own site and the domains above it, so no URL is linked by many sites.
+    wanted = best.select("domain", "rank", F.col("link").alias("url")).join(keys, "url")
     sub = pages.join(wanted.drop("url"), list(key)).where(captures_.is_usable())
     return staged(home.withColumn("rank", F.lit(0)).unionByName(sub), "chosen-pages")
 

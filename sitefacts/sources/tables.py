@@ -54,3 +54,13 @@ def write_csv(profiles: DataFrame, path: str, mode: str = "error") -> None:
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """The flat export back. It has no nulls, so an empty field is an empty text."""
     return spark.read.schema(CSV_SCHEMA).options(**CSV_OPTIONS).csv(path).fillna("")
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give a small input enough partitions for all cores before per-row work.
+
+    A table of one or few row groups reads as one or few tasks. Inputs that already have a partition per
+    core, as large ones do, pass unchanged and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

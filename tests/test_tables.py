@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from derived_tables import load
 from sitefacts import params, schemas
-from sitefacts.operators import captures, costs, links, markdown, pages, profiles
+from sitefacts.operators import captures, contacts, costs, links, markdown, pages, profiles, responses
 from sitefacts.plans import enrich as flow
 from sitefacts.plans.skew import salted_join
 from sitefacts.sources import seeds, tables
@@ -166,14 +166,19 @@ def test_page_work_needs_no_shuffle(spark, sf):
     given = spark.read.parquet(f"{sf}/pages.parquet")
     for df in (
         pages.pruned_html(given),
-        entry_module.page_contacts(spark, sf),
+        contacts.with_contacts(given),
         links.top_links(given, ["page_id"]),
         markdown.markdown_lines(given, ["page_id"]),
-        entry_module.rubric_score(spark, sf),
+        responses.records(load(spark, sf, "model_responses")),
     ):
         assert "Exchange" not in plan(df)
 
 
+def test_only_small_inputs_are_spread(spark):
+    assert tables.spread_small(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 8
+    assert "Exchange" not in plan(tables.spread_small(spark.range(0, 100, 1, 9)))
+
+
 def test_no_python_workers_anywhere(spark, sf):
     for name in ("page_markdown", "site_counters", "usage_totals", "leaders_enriched", "internal_links"):
         text = plan(entry_module.queries()[name](spark, sf))
