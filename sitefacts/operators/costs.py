@@ -18,11 +18,15 @@ RATE = "decimal(12,4)"
 
 def price_list(usage: DataFrame, rates: Mapping[str, tuple[str, str]] = params.MODEL_RATES) -> DataFrame:
     """The rates as a table; its size is that of the mapping."""
-    rows = [(m, p, c) for m, (p, c) in rates.items()]
-    listed = usage.sparkSession.createDataFrame(rows, "model_name string, prompt_rate string, completion_rate string")
-    return listed.select(
-        "model_name", F.col("prompt_rate").cast(RATE).alias("prompt_rate"), F.col("completion_rate").cast(RATE).alias("completion_rate")
-    )
+    rows = [
+        F.struct(
+            F.lit(model).alias("model_name"),
+            F.lit(prompt).cast(RATE).alias("prompt_rate"),
+            F.lit(completion).cast(RATE).alias("completion_rate"),
+        )
+        for model, (prompt, completion) in rates.items()
+    ]
+    return usage.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def cost(prompt: Column, completion: Column, prompt_rate: Column, completion_rate: Column) -> Column:

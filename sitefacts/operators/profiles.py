@@ -45,24 +45,27 @@ def attach_metadata(records: DataFrame, costs: DataFrame, pages: DataFrame, key:
     )
 
 
-def fallback_profiles(failed: DataFrame) -> DataFrame:
-    """Empty records for failed sites: ``(domain, error_message)`` in, profiles out."""
-    domain, message = F.col("domain"), F.coalesce(F.col("error_message"), F.lit("Homepage unreachable"))
-    no_members = empty_array("struct<name:string,role:string,linkedin_url:string>")
+def fallback_fields(domain: Column, message: Column) -> dict[str, Column]:
+    """Fields of the empty record of a failed site: the message, no score and zero usage."""
     zero = F.lit(0)
-    return failed.select(
-        domain,
-        name_from_domain(domain).alias("company_name"),
-        F.concat(F.lit("Failed to extract intelligence for "), domain, F.lit(": "), message).alias("company_overview"),
-        F.lit("N/A").alias("target_audience_icp"),
-        empty_array("string").alias("contact_points"),
-        no_members.alias("key_leadership"),
-        F.lit(0.0).alias("data_confidence_score"),
-        F.concat(F.lit("Domain crawl or extraction failed: "), message).alias("confidence_reasoning"),
-        metadata(
+    return {
+        "company_name": name_from_domain(domain),
+        "company_overview": F.concat(F.lit("Failed to extract intelligence for "), domain, F.lit(": "), message),
+        "target_audience_icp": F.lit("N/A"),
+        "contact_points": empty_array("string"),
+        "key_leadership": empty_array("struct<name:string,role:string,linkedin_url:string>"),
+        "data_confidence_score": F.lit(0.0),
+        "confidence_reasoning": F.concat(F.lit("Domain crawl or extraction failed: "), message),
+        "metadata": metadata(
             empty_array("string"), F.lit("gemini"), F.lit("gemini-3.6-flash"), zero, zero, F.lit(0.0), F.lit(False)
-        ).alias("metadata"),
-    )
+        ),
+    }
+
+
+def fallback_profiles(failed: DataFrame) -> DataFrame:
+    """Empty records for failed sites: ``(domain, error_message)`` in, profiles out."""
+    message = F.coalesce(F.col("error_message"), F.lit("Homepage unreachable"))
+    return failed.select("domain", *[c.alias(n) for n, c in fallback_fields(F.col("domain"), message).items()])
 
 
 def complete_batch(
@@ -74,11 +77,13 @@ def complete_batch(
     on both sides; the copies of a domain listed very often are then made in several tasks.
     """
     counted = seeds.groupBy("domain").agg(F.count("*").alias("_copies"))
-    lacking = counted.join(profiles, "domain", "left_anti").withColumn("error_message", F.lit(reason))
-    known = profiles.select(*FIELDS).unionByName(fallback_profiles(lacking))
+    empty = fallback_fields(F.col("domain"), F.lit(reason))
+    joined = counted.join(profiles.select(*FIELDS).withColumn("_known", F.lit(True)), "domain", "left")
+    fields = [F.when(F.col("_known"), F.col(n)).otherwise(c).alias(n) for n, c in empty.items()]
+    known = joined.select("domain", "_copies", *fields)
     per_slice = F.lit(copies_per_task)
     slices = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / per_slice))
-    sliced = known.join(counted, "domain").withColumn("_slice", F.explode(slices)).repartition("domain", "_slice")
+    sliced = known.withColumn("_slice", F.explode(slices)).repartition("domain", "_slice")
     in_slice = F.least(F.col("_copies") - F.col("_slice") * per_slice, per_slice)
     return sliced.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_slice))).select(*FIELDS)
 

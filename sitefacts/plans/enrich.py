@@ -69,8 +69,9 @@ def answered_profiles(
         F.min(F.struct(*[c for c in answers.columns if c != "domain"])).alias("a")
     )
     checked = responses.records(one_each.select("domain", "a.*"))
-    # The cost follows from the call's own columns; no join back is needed.
-    priced = costs.usage_costs(checked).join(crawled, "domain", "left")
+    # The cost follows from the call's own columns; no join back is needed. The records are read twice,
+    # for the searches they need and for themselves; the copy saves parsing every answer again.
+    priced = staged(costs.usage_costs(checked).join(crawled, "domain", "left"), "priced-records")
     is_record = F.col("source") != "not_object"
     enriched = enrichment.enrich_leaders(priced, hits, "domain", search=search, eligible=is_record)
     described = enriched.withColumn(
