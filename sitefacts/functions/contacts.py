@@ -68,7 +68,7 @@ def anchor_companies(hrefs: Column) -> Column:
 
 
 def _rebuilt(html: Column, pattern: str, root: str) -> Column:
-    handles = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    handles = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(pattern), F.lit(1))
     return F.transform(handles, lambda h: F.concat(F.lit(root), h))
 
 

@@ -66,12 +66,16 @@ def decode_entities(text: Column) -> Column:
     return bind(text, lambda t: F.when(t.contains("&"), pieces(t)).otherwise(t))
 
 
+def _or_empty(html: Column) -> Column:
+    return F.coalesce(html, F.lit(""))
+
+
 def tokenize(html: Column) -> Column:
     """``array<struct<kind, tag, tok>>`` in document order.
 
     Kinds: open, close, void (no content), raw (script or style with its body), text, comment, decl.
     """
-    return F.transform(F.regexp_extract_all(html, F.lit(TOKEN_PATTERN), F.lit(0)), _classify)
+    return F.transform(F.regexp_extract_all(_or_empty(html), F.lit(TOKEN_PATTERN), F.lit(0)), _classify)
 
 
 def _classify(tok: Column) -> Column:
@@ -357,7 +361,7 @@ def hrefs(tokens: Column) -> Column:
 
 def title(html: Column) -> Column:
     """Text of the first title, white space collapsed."""
-    inner = F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1)
+    inner = F.regexp_extract(_or_empty(html), r"(?is)<title\b[^>]*>(.*?)</title", 1)
     return strip(F.regexp_replace(decode_entities(inner), r"\s+", " "))
 
 

@@ -19,9 +19,10 @@ def fetch_outcomes(captures: DataFrame, timeout_ms: int = params.PAGE_TIMEOUT_MS
     """
     target = U.with_scheme(F.col("url"))
     failed = F.col("error").isNotNull()
-    partial = F.col("timed_out") & (F.length("raw_html") > params.PARTIAL_MIN_CHARS)
+    late = F.coalesce(F.col("timed_out"), F.lit(False))
+    partial = late & (F.length("raw_html") > params.PARTIAL_MIN_CHARS)
     outcome = (
-        F.when(failed, "error").when(partial, "partial").when(F.col("timed_out"), "timeout").otherwise("ok")
+        F.when(failed, "error").when(partial, "partial").when(late, "timeout").otherwise("ok")
     )
     decided = captures.withColumn("outcome", outcome)
     usable = F.col("outcome").isin("ok", "partial")
@@ -31,7 +32,7 @@ def fetch_outcomes(captures: DataFrame, timeout_ms: int = params.PAGE_TIMEOUT_MS
         target.alias("url"),
         F.when(usable, F.coalesce("final_url", target)).otherwise(target).alias("final_url"),
         F.when(failed, 500)
-        .when(F.col("timed_out"), 408)
+        .when(late, 408)
         .otherwise(F.coalesce("http_status", F.lit(200)))
         .cast("int")
         .alias("status_code"),

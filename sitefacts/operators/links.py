@@ -41,6 +41,27 @@ def resolved_links(
     )
 
 
+def scored_links(tokens: Column, spans: Column, base: Column, weights: tuple) -> Column:
+    """``array<struct<order, pos, link>>``: internal links with a score, in document order; order is minus the score."""
+    followable = F.filter(H.anchors(tokens, spans), lambda a: U.is_followable(a["href"]))
+    resolved = F.transform(
+        followable,
+        lambda a: F.struct(
+            a["pos"].alias("pos"), a["text"].alias("text"), U.resolve(base, a["href"]).alias("link")
+        ),
+    )
+    internal = F.filter(resolved, lambda a: ~U.is_self_link(base, a["link"]) & U.is_internal(base, a["link"]))
+    scored = F.transform(
+        internal,
+        lambda a: F.struct(
+            (-U.link_score(a["link"], a["text"], dict(weights))).alias("order"),
+            a["pos"].alias("pos"),
+            a["link"].alias("link"),
+        ),
+    )
+    return F.filter(scored, lambda a: a["order"] < 0)
+
+
 def with_ranked_links(
     pages: DataFrame,
     base: str = "url",
@@ -51,28 +72,8 @@ def with_ranked_links(
 
     Of several anchors to one URL the first that scores counts. A page's links stay in its row.
     """
-
-    def scored(anchor: Column) -> Column:
-        link = U.resolve(F.col(base), anchor["href"])
-        return F.struct(anchor["pos"].alias("pos"), anchor["text"].alias("text"), link.alias("link"))
-
-    followable = F.filter(
-        on_columns(H.anchors, "tokens", "spans", separator=""), lambda a: U.is_followable(a["href"])
-    )
-    internal = F.filter(
-        F.transform(followable, scored),
-        lambda a: ~U.is_self_link(F.col(base), a["link"]) & U.is_internal(F.col(base), a["link"]),
-    )
-    with_score = F.filter(
-        F.transform(
-            internal,
-            lambda a: F.struct(
-                (-U.link_score(a["link"], a["text"], weights)).alias("order"), a["pos"].alias("pos"), a["link"].alias("link")
-            ),
-        ),
-        lambda a: a["order"] < 0,
-    )
-    parsed = computed(computed(parse_pages(pages, html), scored=with_score), urls=F.col("scored.link"))
+    found = on_columns(scored_links, "tokens", "spans", base, weights=tuple(weights.items()))
+    parsed = computed(computed(parse_pages(pages, html), scored=found), urls=F.col("scored.link"))
     first_of_url = parsed.withColumn(
         "firsts", F.filter("scored", lambda a, i: F.array_position("urls", a["link"]) == i + 1)
     )

@@ -166,7 +166,7 @@ def test_missing_urls_are_filled_in_place(spark):
 def test_a_leader_is_added_where_there_was_none(spark):
     hits = [("Acme founder CEO linkedin", 1, URL + "bo", "Bo Sample - CTO | LinkedIn", "")]
     assert enriched(spark, [], hits) == ([("Bo Sample", "CTO", URL + "bo")], True)
-    assert enriched(spark, [], []  or [("other", 1, URL + "bo", "t", "")]) == ([], True)
+    assert enriched(spark, [], [("other", 1, URL + "bo", "t", "")]) == ([], True)
     assert enriched(spark, [("Bo", "CTO", URL + "bo")], hits) == ([("Bo", "CTO", URL + "bo")], False)
 
 

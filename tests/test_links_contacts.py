@@ -87,6 +87,8 @@ def test_sample_contacts(spark):
     page = spark.createDataFrame([(1, SAMPLE)], "id int, html string")
     row = contacts.with_contacts(page).first()
     assert row.emails == ["contact@acme.com", "sales@acme.com"]
+    nothing = spark.createDataFrame([(1, None), (2, "")], "id int, html string")
+    assert [tuple(r)[2:] for r in contacts.with_contacts(nothing).collect()] == [([], [], [])] * 2
     assert row.profiles == ["https://www.linkedin.com/in/ada"]
 
 
