@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import sys
+import tempfile
 from collections.abc import Callable
 from pathlib import Path
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+HERE = Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -435,14 +438,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 QUERIES["profiles"] = profile_table
 
 
+# The language-model data operators are added only where their subpackage and the pipeline are present.
+ORACLES: dict[str, str] = {}
+if (HERE / "sitefacts/llm/queries.py").exists():
+    from sitefacts.llm import queries as llm_queries
+
+    QUERIES.update(llm_queries.QUERIES)
+    ORACLES.update(llm_queries.ORACLE_SQL)
+    if (HERE / "corpus_pipeline.py").exists():
+        import corpus_pipeline
+
+        QUERIES["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+def with_scratch(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A local session without a checkpoint folder, as in tests, gets one; a cluster must name its own."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        context = spark.sparkContext
+        unset = not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir()
+        if unset and context.master.split("[")[0] == "local":
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="sitefacts-"))
+        return query(spark, d)
+
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The whole flow on the smallest tables: one profile per seed."""
-    return batch_complete(spark, "/root/testdata/sf0.001")
+    return queries()["batch_complete"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {name: with_scratch(query) for name, query in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.all_queries()
+    return {**oracle_queries.all_queries(), **ORACLES}

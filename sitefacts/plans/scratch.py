@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the checkpoint folder the cluster names, which all its nodes share.
+def scratch_root(spark: SparkSession) -> str:
+    """The checkpoint folder of the session, which all its nodes must share.
 
-    Only a session without that setting (a test on one machine) gets a local temporary folder.
+    It is the setting ``spark.checkpoint.dir``, or what ``SparkContext.setCheckpointDir`` was given. There is no
+    fallback: a folder of one machine would lose the rows other machines write.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="sitefacts-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return root.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

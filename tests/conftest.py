@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("sitefacts-tests")
@@ -16,6 +16,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("checkpoints").as_uri())
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
