@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitefacts.llm import exact_dedup, packing
+from sitefacts.llm import exact_dedup, language_mixture, packing, pseudonyms, secrets
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -23,12 +23,42 @@ def op1_packing(spark: SparkSession, d: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op2_secrets(spark: SparkSession, d: str) -> DataFrame:
+    found = secrets.scan(documents(spark, d))
+    strong = F.filter("spans", lambda s: s["strong"])
+    count = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select(
+        "doc_id", *count, F.sha2(secrets.span_list(strong), 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans")
+    )
+
+
+def remainder(divisor: int):
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def op3_language(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    model = language_mixture.fit(docs.where(remainder(4) != 2))
+    found = language_mixture.identify(docs, model)
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
+# Registered queries need a key that gives the same result in each run; a user passes a secret one.
+DEMONSTRATION_KEY = "demonstration key"
+
+
+def op5_pseudonyms(spark: SparkSession, d: str) -> DataFrame:
+    found = pseudonyms.pseudonymise(documents(spark, d), DEMONSTRATION_KEY)
+    count = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k, _, _ in pseudonyms.KINDS]
+    return found.select("doc_id", "text", *count, "found")
+
+
 def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, d))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op7_exact_dedup)
+    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op5_pseudonyms, op7_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
