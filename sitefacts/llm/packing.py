@@ -7,6 +7,8 @@ power-of-two lengths, need no padding and never hold two documents; training tak
 from __future__ import annotations
 
 import functools
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,56 +21,92 @@ from sitefacts.llm.batches import lists, ragged, text_chunks
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
-CACHED_WORDS = 400_000  # bounds a task's memory; the cache starts anew beyond it
+CACHED_PARTS = 600_000  # bounds a task's memory; the cache starts anew beyond it
+PARTS_AT_ONCE = 20_000
+WORD_END = "</w>"
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%$&*#|()\"-]*)")  # composed letters, whose lower case is one letter
 
 
 class WordEncoder:
-    """Token ids of texts, word by word, with the ids of recent words kept.
+    """Token ids of texts, word by word, with the ids of recent parts of words kept.
 
     The tokenizer drops white space and never joins what stands on both sides of it, so the ids of a text are those
-    of its words in order.
+    of its words in order. A word of Latin letters, perhaps with punctuation behind, is two parts to the tokenizer,
+    which lower-cases letters and encodes each part alone; all other words are encoded as they are. Parts are encoded
+    many at once: the last token of a part is one that ends a word.
     """
 
     def __init__(self, tokenizer_file: str, end_id: int):
         from tokenizers import Tokenizer
 
-        self.encode = functools.partial(Tokenizer.from_file(tokenizer_file).encode_batch, add_special_tokens=False)
+        tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.encode = functools.partial(tokenizer.encode_batch_fast, add_special_tokens=False)
+        self.ends_word = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for token, i in tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.end_id = end_id
         self.clear()
 
     def clear(self) -> None:
-        """Keep only the end of a document, as word 0."""
-        self.known: dict[str, int] = {}
+        """Keep only the end of a document as part 0, and nothing as part 1."""
+        self.known: dict[str, int] = {"": 1}
         self.ids, self.used = np.full(1 << 16, self.end_id, np.uint32), 1
-        self.starts, self.sizes = [0], [1]
-
-    def learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.encode(words)):
-            ids = found.ids
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), np.uint32)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.known[word] = len(self.starts)
-            self.starts.append(self.used)
-            self.sizes.append(len(ids))
-            self.used += len(ids)
+        self.starts, self.sizes = array("q", [0, 0]), array("q", [1, 0])
+
+    def keep(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), np.uint32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.known.update(zip(parts, range(len(self.starts), len(self.starts) + len(parts))))
+        self.starts.frombytes((self.used + np.cumsum(sizes) - sizes).astype(np.int64).tobytes())
+        self.sizes.frombytes(sizes.astype(np.int64).tobytes())
+        self.used += len(ids)
+
+    def learn(self, parts: list[str], single: bool) -> None:
+        """Encode new parts. ``single``: each is one unit to the tokenizer."""
+        for at in range(0, len(parts), PARTS_AT_ONCE):
+            some = parts[at : at + PARTS_AT_ONCE]
+            if single:
+                ids = np.array(self.encode([" ".join(some)])[0].ids, np.uint32)
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(ends) == len(some):
+                    self.keep(some, ids, np.diff(ends, prepend=0))
+                    continue
+            found = [e.ids for e in self.encode(some)]
+            self.keep(some, np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found]))
+
+    def places(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The two parts of each word."""
+        if len(self.known) + len(words) > CACHED_PARTS:
+            self.clear()
+        heads, tails, new, odd = [], [], set(), set()
+        for word in words:
+            match = PLAIN.fullmatch(word)
+            head, tail = (match[1].lower(), match[2]) if match else (word, "")
+            if head not in self.known:
+                (new if match else odd).add(head)
+            if tail not in self.known:
+                new.add(tail)
+            heads.append(head)
+            tails.append(tail)
+        self.learn(sorted(new), single=True)
+        self.learn(sorted(odd - new), single=False)
+        of = self.known.__getitem__
+        return np.fromiter(map(of, heads), np.int64, len(words)), np.fromiter(map(of, tails), np.int64, len(words))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each closed by the end id, and the number of ids of each text."""
         split = pc.ascii_split_whitespace(texts)
         coded = pc.dictionary_encode(split.flatten())
-        words = coded.dictionary.to_pylist()
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.clear()
-        new = [w for w in words if w not in self.known]
-        if new:
-            self.learn(new)
-        place = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        heads, tails = self.places(coded.dictionary.to_pylist())
+        at = coded.indices.to_numpy()
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-        order = np.insert(place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64), np.cumsum(counts), 0)
+        parts = np.empty((len(at), 2), np.int64)
+        parts[:, 0], parts[:, 1] = heads[at], tails[at]
+        order = np.insert(parts.ravel(), np.cumsum(counts) * 2, 0)
         sizes = np.asarray(self.sizes)[order]
         ids = self.ids[ragged(np.asarray(self.starts)[order], sizes)]
-        return ids, np.add.reduceat(sizes, np.cumsum(counts + 1) - (counts + 1))
+        firsts = np.cumsum(2 * counts + 1) - (2 * counts + 1)
+        return ids, np.add.reduceat(sizes, firsts)
 
 
 def binary_pieces(tokens: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:

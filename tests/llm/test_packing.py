@@ -20,7 +20,7 @@ def pieces_of(spark, texts, **options):
 
 def test_ids_round_trip(spark):
     random.seed(3)
-    odd = ["é", "ß", "́", " ", " ", " ", "\n", "\t", "'s", "<|endoftext|>", "I", "İ", "Σ", "a", "B", "9", "!", "漢", "\U0001f600", "the"]
+    odd = ["é", "ß", "́", " ", " ", " ", "\n", "\t", "'s", "<|endoftext|>", "I", "İ", "Σ", "a", "B", "9", "!", "漢", "\U0001f600", "the", ",", "...", "É", "Ÿ", "ÿ", "ª", "µ", "×"]
     texts = [None, "", "  \n", "one", "don't STOP now", "word " * 5000]
     texts += ["".join(random.choices(odd, k=random.randint(1, 60))) for _ in range(300)]
     texts += [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
@@ -44,7 +44,7 @@ def test_sequences_are_unique_and_short_caches_change_nothing(spark, monkeypatch
     texts = [f"alpha beta w{i} gamma{i % 7}" for i in range(500)]
     whole = pieces_of(spark, texts, sequence_tokens=4)
     assert len({p["sequence_id"] for p in whole}) == len(whole)
-    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    monkeypatch.setattr(packing, "CACHED_PARTS", 3)
     encoder = packing.WordEncoder(FILE, 1)
     import pyarrow as pa
 
