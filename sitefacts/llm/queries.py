@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitefacts.llm import exact_dedup, language_mixture, packing, pseudonyms, secrets
+from sitefacts.llm import bit_sliced, exact_dedup, language_mixture, packing, pseudonyms, secrets, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -23,16 +23,24 @@ def op1_packing(spark: SparkSession, d: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def kind_counts(spans: str, kinds: Iterable[str]) -> list[Column]:
+    """How many spans there are of each kind, as columns ``n_<kind>``."""
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return [of(kind) for kind in kinds]
+
+
 def op2_secrets(spark: SparkSession, d: str) -> DataFrame:
     found = secrets.scan(documents(spark, d))
     strong = F.filter("spans", lambda s: s["strong"])
-    count = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in secrets.KINDS]
     return found.select(
-        "doc_id", *count, F.sha2(secrets.span_list(strong), 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans")
+        "doc_id", *kind_counts("spans", secrets.KINDS), F.sha2(secrets.span_list(strong), 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans")
     )
 
 
-def remainder(divisor: int):
+def remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % divisor
 
 
@@ -43,14 +51,25 @@ def op3_language(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "languages", "shares")
 
 
+def op4_topk(spark: SparkSession, d: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{d}/embeddings.parquet")
+    return bit_sliced.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 # Registered queries need a key that gives the same result in each run; a user passes a secret one.
 DEMONSTRATION_KEY = "demonstration key"
 
 
 def op5_pseudonyms(spark: SparkSession, d: str) -> DataFrame:
     found = pseudonyms.pseudonymise(documents(spark, d), DEMONSTRATION_KEY)
-    count = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k, _, _ in pseudonyms.KINDS]
-    return found.select("doc_id", "text", *count, "found")
+    return found.select("doc_id", "text", *kind_counts("found", [kind for kind, _, _ in pseudonyms.KINDS]), "found")
+
+
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    labels = spark.read.parquet(f"{d}/labels.parquet").where(remainder(3) != 1)
+    found = toxicity.score(docs, toxicity.fit(docs, labels))
+    return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted", "worst_word", "windows")
 
 
 def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -58,10 +77,22 @@ def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op5_pseudonyms, op7_exact_dedup)
+    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_pseudonyms, op6_toxicity, op7_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_topk": """
+with v as (
+    select vec_id, cast(embedding as double[]) as e from embeddings
+    where embedding is not null and len(list_filter(cast(embedding as double[]), lambda x: x is null or not isfinite(x))) = 0
+), i as (select vec_id, list_transform(e, lambda x: cast(floor(256 * x) as bigint)) as e from v),
+s as (
+    select q.vec_id as query_id, c.vec_id,
+           cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
+    from i q join i c on q.vec_id != c.vec_id where q.vec_id % 50 = 0
+), r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+""",
     "op7_exact_dedup": r"""
 with t as (
     select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm from documents
