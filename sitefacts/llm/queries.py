@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitefacts.llm import bit_sliced, exact_dedup, language_mixture, packing, pseudonyms, secrets, toxicity
+from sitefacts.llm import bit_sliced, exact_dedup, language_mixture, packing, pseudonyms, secrets, signature_tree, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -76,11 +76,30 @@ def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, d))
 
 
+def op9_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return signature_tree.near_groups(documents(spark, d), words=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_pseudonyms, op6_toxicity, op7_exact_dedup)
+    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_pseudonyms, op6_toxicity, op7_exact_dedup, op9_ngram_join)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_ngram_join": r"""
+with recursive w as (
+    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x != '') as l from documents
+), g as (
+    select doc_id, list_distinct(case when len(l) = 0 then [] when len(l) < 4 then [array_to_string(l, ' ')]
+           else list_transform(range(1, len(l) - 2), lambda i: array_to_string(l[i:i + 3], ' ')) end) as s from w
+), t as (select doc_id, len(s) as n, unnest(s) as s from g),
+p as (
+    select a.doc_id as a, b.doc_id as b from t a join t b on a.s = b.s and a.doc_id < b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), e as (select a, b from p union all select b, a from p),
+r(doc_id, seen) as (select doc_id, doc_id from documents union select e.b, r.seen from r join e on r.doc_id = e.a)
+select g.doc_id, len(g.s) as n_shingles, min(r.seen) as component_id from g join r on g.doc_id = r.doc_id group by g.doc_id, len(g.s)
+""",
     "op4_topk": """
 with v as (
     select vec_id, cast(embedding as double[]) as e from embeddings
