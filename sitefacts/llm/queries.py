@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitefacts.llm import bit_sliced, exact_dedup, language_mixture, packing, pseudonyms, secrets, signature_tree, toxicity
+from sitefacts.llm import bit_sliced, exact_dedup, language_mixture, line_dedup, packing, pseudonyms, secrets, signature_tree, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -80,8 +80,14 @@ def op9_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return signature_tree.near_groups(documents(spark, d), words=4, percent=85)
 
 
+def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    found = line_dedup.deduplicate(documents(spark, d).select("doc_id", "text"))
+    n_dropped = F.size("dropped").cast("bigint").alias("n_dropped")
+    return found.select("doc_id", "text", n_dropped, "dropped")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_pseudonyms, op6_toxicity, op7_exact_dedup, op9_ngram_join)
+    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_pseudonyms, op6_toxicity, op7_exact_dedup, op9_ngram_join, op10_line_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
