@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitefacts.llm import bit_sliced, exact_dedup, language_mixture, line_dedup, packing, pseudonyms, secrets, signature_tree, toxicity
+from sitefacts.llm import bit_sliced, exact_dedup, language_mixture, line_dedup, mixing, packing, pseudonyms, secrets, signature_tree, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -76,6 +76,23 @@ def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, d))
 
 
+def domain_labels(labels: DataFrame) -> DataFrame:
+    """The domains of the labelled documents: toxic ones, and the others by quality."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+MIXTURE = {"good": 0.80, "poor": 0.15, "toxic": 0.05}
+
+
+def op8_mixing(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    model = mixing.fit_classifier(docs, domain_labels(spark.read.parquet(f"{d}/labels.parquet")), list(MIXTURE))
+    found = mixing.mix(docs.select("doc_id", "text"), model, MIXTURE)
+    p = [F.get("posteriors", F.lit(i)).alias(f"p_{domain}") for i, domain in enumerate(model.domains)]
+    return found.select("doc_id", "tokens", *p, "rate", "copies")
+
+
 def op9_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return signature_tree.near_groups(documents(spark, d), words=4, percent=85)
 
@@ -87,7 +104,7 @@ def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_pseudonyms, op6_toxicity, op7_exact_dedup, op9_ngram_join, op10_line_dedup)
+    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_pseudonyms, op6_toxicity, op7_exact_dedup, op8_mixing, op9_ngram_join, op10_line_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -385,3 +385,17 @@ def score(
     )
     predicted = F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
     return found.select(F.col("id").alias(id_col), "score", predicted, "worst_word", "windows")
+
+
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below ``threshold``. Rows with a null text stay."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    scored = docs.withColumn("__text", F.col(text_col).cast("string"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worst_windows = Scorer(held.value)
+        for batch in text_chunks(batches, "__text", limit=2 << 20):
+            worst, _, _ = worst_windows(batch.column("__text").to_pylist())
+            yield batch.filter(pa.array(worst.astype(np.float64) < threshold)).drop_columns(["__text"])
+
+    return scored.mapInArrow(run, docs.schema)
