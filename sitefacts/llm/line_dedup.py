@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sitefacts.functions.common import bind
 from sitefacts.llm.components import connected
 from sitefacts.plans.scratch import staged
 
@@ -20,6 +21,8 @@ SHINGLE = 10  # characters
 PERCENT = 80  # least similarity
 BANDS, BAND_ROWS = 8, 3  # a pair at 80 % is a candidate with probability 1 - (1 - 0.8**3)**8 = 99.7 %
 FIRST_CENTRES, MORE_CENTRES = 1, 4
+LONG_WORDS = 20  # characters a word has on average in lines whose signatures take all shingles
+AGREEMENT = 10 / 24  # share of equal MinHash values a compared pair needs; a pair at 80 % has fewer once in 40,000
 BITMAP_BITS = 1 << 23  # of the filter of wanted lines: 256 bitmaps of 4 KB, whatever the input
 
 
@@ -29,6 +32,23 @@ def shingles(line: Column, size: int) -> Column:
     return F.when(F.char_length(line) < size, F.array(line)).otherwise(found)
 
 
+def signature_shingles(lines: DataFrame, size: int) -> DataFrame:
+    """``(k1, k2, gram)``: the shingles that signatures are made of, those that begin a word.
+
+    They are a sixth of the shingles of ordinary text and as alike in two lines as all shingles are. The last words
+    give shorter ones. In lines of long words, as in scripts without spaces, every character begins a shingle of half
+    the size. A shingle is put together from the units that follow one another, as columns.
+    """
+    ahead = (size + 1) // 2  # a word and its space have two characters at least
+    long = F.char_length("line") > LONG_WORDS * (F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+    split = lines.select("k1", "k2", long.alias("long"), F.when(long, F.split("line", "")).otherwise(F.split("line", " ")).alias("u"))
+    shifted = F.arrays_zip(*[F.slice("u", i + 1, F.size("u")).alias(f"u{i}") for i in range(ahead)])
+    units = split.select("k1", "k2", "long", F.inline(shifted).alias(*[f"u{i}" for i in range(ahead)]))
+    gap = F.when(F.col("long"), "").otherwise(" ")
+    joined = F.concat("u0", *[F.coalesce(F.concat(gap, F.col(f"u{i}")), F.lit("")) for i in range(1, ahead)])
+    return units.select("k1", "k2", F.left(joined, F.lit(size)).alias("gram"))
+
+
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
 
@@ -48,7 +68,7 @@ def signatures(lines: DataFrame, size: int, hashes: int) -> DataFrame:
     """
     draw = random.Random(17)
     masks = [draw.randrange(-(1 << 31), 1 << 31) for _ in range(hashes)]
-    grams = lines.select("k1", "k2", F.explode(shingles(F.col("line"), size)).alias("gram")).select("k1", "k2", F.hash("gram").alias("h"))
+    grams = signature_shingles(lines, size).select("k1", "k2", F.hash("gram").alias("h"))
     mins = [F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(masks)]
     return grams.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("weight"), *mins)
 
@@ -63,8 +83,8 @@ def bucket_members(lines: DataFrame, size: int, bands: int, band_rows: int) -> D
     return ranked.where("rank > 1 or next is not null").select("bucket", "k1", "rank")
 
 
-def wanted_lines(lines: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
-    """The distinct lines ``(k1, line)`` among ``wanted (k1)``.
+def wanted_lines(lines: DataFrame, wanted: DataFrame, bits: int, size: int, hashes: int) -> DataFrame:
+    """The distinct lines ``(k1, line, mins)`` among ``wanted (k1)``, with their MinHash values.
 
     A bitmap of hashed names, of fixed size, keeps most other lines out of the shuffle; the join decides.
     """
@@ -77,29 +97,37 @@ def wanted_lines(lines: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
     bit = F.expr("cast(bitmap_bit_position(place) % 8 as int)")
     likely = marked.join(F.broadcast(maps), "part").where(F.call_function("shiftright", byte, bit).bitwiseAND(F.lit(1)) == 1)
     found = likely.select("k1", "k2", "line").dropDuplicates(["k1", "k2"])
-    return found.join(wanted, "k1", "left_semi").select("k1", "line")
+    found = staged(found.join(wanted, "k1", "left_semi"), "line-found")
+    signed = signatures(found, size, hashes).select("k1", "k2", F.array(*[f"m{i}" for i in range(hashes)]).alias("mins"))
+    return found.join(signed, ["k1", "k2"]).select("k1", "line", "mins")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose lines are similar enough."""
-    left = texts.select(F.col("k1").alias("a"), F.col("line").alias("x"))
-    right = texts.select(F.col("k1").alias("b"), F.col("line").alias("y"))
-    sets = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", F.array_distinct(shingles(F.col("x"), size)).alias("x"), F.array_distinct(shingles(F.col("y"), size)).alias("y")
-    )
-    both = sets.select("a", "b", F.size("x").alias("p"), F.size("y").alias("q"), F.size(F.array_intersect("x", "y")).alias("both"))
-    return both.where(F.col("both") * 100 >= (F.col("p") + F.col("q") - F.col("both")) * percent).select("a", "b")
+def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, hashes: int, least: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose lines are similar enough. Signatures that agree too little are not looked into."""
+    signs = texts.select("k1", "mins")
+    signed = pairs.join(signs.toDF("a", "m"), "a").join(signs.toDF("b", "n"), "b")
+    agreed = sum((F.get("m", F.lit(i)) == F.get("n", F.lit(i))).cast("int") for i in range(hashes))
+    likely = signed.where(agreed >= least).select("a", "b")
+    words = texts.select("k1", "line")
+    distinct = lambda line: F.array_distinct(shingles(F.col(line), size))
+
+    def alike(x: Column, y: Column) -> Column:
+        return bind(F.size(F.array_intersect(x, y)), lambda both: both * 100 >= (F.size(x) + F.size(y) - both) * percent)
+
+    similar = bind(distinct("x"), lambda x: bind(distinct("y"), lambda y: alike(x, y)))  # each set is made once
+    return likely.join(words.toDF("a", "x"), "a").join(words.toDF("b", "y"), "b").where(similar).select("a", "b")
 
 
-def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows: int, bits: int) -> DataFrame:
+def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows: int, bits: int, agreement: float) -> DataFrame:
     """``(k1, root)`` of the distinct lines that are linked to others.
 
     Each bucket compares all pairs of its lines that are not in one component, in rounds: the heaviest line with the
     others, then the next three with those after them, and so on by fours. The lines of a large group join one
     component in the first rounds, so later rounds hold what differs only.
     """
+    hashes = bands * band_rows
     members = staged(bucket_members(lines, size, bands, band_rows), "line-buckets")
-    texts = staged(wanted_lines(lines, members.select("k1").distinct(), bits), "line-texts")
+    texts = staged(wanted_lines(lines, members.select("k1").distinct(), bits, size, hashes), "line-texts")
     links, roots = None, None
     low, high = 0, FIRST_CENTRES
     left = members.withColumn("root", F.col("k1"))
@@ -107,7 +135,7 @@ def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows:
         centres = left.where((F.col("rank") > low) & (F.col("rank") <= high)).select("bucket", F.col("k1").alias("a"), F.col("rank").alias("r"), F.col("root").alias("ra"))
         others = left.where(F.col("rank") > low + 1).select("bucket", F.col("k1").alias("b"), "rank", F.col("root").alias("rb"))
         pairs = others.join(centres, "bucket").where("rank > r and ra != rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = staged(verified(pairs, texts, size, percent), "line-links")
+        found = staged(verified(pairs, texts, size, percent, hashes, agreement * hashes), "line-links")
         links = found if links is None else links.unionByName(found)
         roots = connected(links, "line-components")
         labelled = members.join(roots.withColumnRenamed("node", "k1"), "k1", "left").withColumn("root", F.coalesce("root", "k1"))
@@ -128,6 +156,7 @@ def deduplicate(
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
     bits: int = BITMAP_BITS,
+    agreement: float = AGREEMENT,
 ) -> DataFrame:
     """All columns of ``docs`` with repeated lines taken out of ``text_col``, and ``dropped``, their positions.
 
@@ -139,7 +168,7 @@ def deduplicate(
     in files does; ``dropped`` replaces a column of that name.
     """
     lines = lines_of(numbered(docs, id_col, text_col))
-    roots = line_links(lines, size, percent, bands, band_rows, bits)
+    roots = line_links(lines, size, percent, bands, band_rows, bits, agreement)
     places = staged(lines.select("id", "row", "pos", "k1", "k2"), "line-places")
     linked = places.join(roots, "k1", "left").select("id", "row", "pos", F.coalesce("root", "k1").alias("r1"), F.when(F.col("root").isNull(), F.col("k2")).otherwise(0).alias("r2"))
     here = F.struct("id", "row", "pos")

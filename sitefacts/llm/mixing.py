@@ -134,7 +134,8 @@ def fit_rates(members: DataFrame, targets: np.ndarray, total: float) -> list[np.
 
     A round adds up, over all documents, the expected tokens of each domain under the rates so far; a document's rate
     follows from its posteriors and the moves, so no rate is stored. Steps are gradients scaled by the inverse of the
-    domains' second moments; if such a step makes the fit worse, it is replaced by a plain gradient step.
+    domains' second moments over the documents of positive rate; a step that hardly improves the fit is replaced by
+    shorter ones, then by a plain gradient step.
     """
     size = len(targets)
 
@@ -144,8 +145,9 @@ def fit_rates(members: DataFrame, targets: np.ndarray, total: float) -> list[np.
             for batch in batches:
                 p = batch.column("p").flatten().to_numpy().reshape(-1, size)
                 tokens = batch.column("tokens").to_numpy()
-                found += (tokens * rates_after(p, moves)) @ p
-                second += (p * tokens[:, None]).T @ p
+                rate = rates_after(p, moves)
+                found += (tokens * rate) @ p
+                second += (p * (tokens * (rate > 0))[:, None]).T @ p
             both = np.concatenate([found, second.ravel()])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(both))), pa.array(both)], names=["i", "x"])
 
@@ -158,19 +160,18 @@ def fit_rates(members: DataFrame, targets: np.ndarray, total: float) -> list[np.
     moves: list[np.ndarray] = []
     reached, second = sums(moves)
     error = reached - targets
-    scaled = np.linalg.inv(second + 1e-6 * np.eye(size))
-    plain = 1 / max(np.linalg.eigvalsh(second)[-1], 1e-12)
     for _ in range(MOST_ROUNDS):
         if np.abs(error).max() <= TOLERANCE:
             break
-        tried = [*moves, scaled @ error]
-        new = sums(tried)[0] - targets
-        if new @ new >= 0.9 * (error @ error):
-            tried = [*moves, plain * error]
-            new = sums(tried)[0] - targets
-        if new @ new >= error @ error * (1 - 1e-6):
+        scaled = np.linalg.solve(second + 1e-6 * np.eye(size), error)
+        plain = error / max(np.linalg.eigvalsh(second)[-1], 1e-12)
+        for move in (scaled, scaled / 4, plain, plain / 4):
+            new, new_second = sums([*moves, move])
+            if (new - targets) @ (new - targets) < 0.995 * (error @ error):
+                break
+        else:
             break  # as near as nonnegative rates come
-        moves, error = tried, new
+        moves, error, second = [*moves, move], new - targets, new_second
     return moves
 
 
