@@ -54,7 +54,7 @@ from (
       '<div id="promo-bar"><p>Spring offer</p></div><p aria-hidden="true">Ghost</p><p style="display: none">Unseen</p>',
       '<ul><li>Ada Example - CEO (<a href="https://www.linkedin.com/in/ada-', cast(s.site_id as string), '/?trk=1">profile</a>)</li></ul>',
       '<a href="https://de.linkedin.com/company/site-', cast(s.site_id as string), '">company</a></main>',
-      '<footer>Mail <a href="mailto:Sales@', s.domain, '?subject=hi">sales</a> or info@', s.domain, ', user@', s.domain, ', x@example.com, icon@2x.png</footer></body></html>') as home,
+      '<footer>Mail <a href="mailto:Sales@', s.domain, '?subject=hi">sales</a> or info@', s.domain, ', caf&eacute;&frac12;&#146;s &Uuml;ber, ask&commat;', s.domain, ' tell&#64;', s.domain, ', user@', s.domain, ', x@example.com, icon@2x.png</footer></body></html>') as home,
     concat('<html><head><title>', k.path, '</title></head><body><h1>', k.path, '</h1><p>Page ', cast(k.n as string), ' of ', s.domain,
       '. Contact help@', s.domain, '.</p><table><tr><td>Plan</td><td>', cast(s.site_id * 10 + k.n as string), '</td></tr></table></body></html>') as sub
   from seeds s {page_kinds}

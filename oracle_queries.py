@@ -37,10 +37,18 @@ def strip(x: str) -> str:
     return f"trim({x}, {SPACE})"
 
 
+# The references that the tables hold, written out here so that a fault in the engine's list shows.
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©", "reg": "®", "trade": "™", "hellip": "…",
+    "mdash": "—", "ndash": "–", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•", "middot": "·",
+    "eacute": "é", "egrave": "è", "agrave": "à", "ccedil": "ç", "auml": "ä", "ouml": "ö", "uuml": "ü", "Uuml": "Ü",
+    "szlig": "ß", "ntilde": "ñ", "frac12": "½", "commat": "@", "#64": "@", "#146": "’",
+}
+
+
 def decode(x: str) -> str:
-    for name, char in params.ENTITIES.items():
-        if name != "amp":
-            x = f"replace({x}, '&{name};', {lit(char)})"
+    for name, char in ENTITIES.items():
+        x = f"replace({x}, '&{name};', {lit(char)})"
     return f"replace({x}, '&amp;', '&')"
 
 

@@ -30,10 +30,15 @@ def unfence(raw: Column) -> Column:
 
 
 def parse(text: Column) -> Column:
-    """The text as one VARIANT value; null unless the whole text is exactly one JSON value."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    return F.when(alone, F.try_variant_get(wrapped, "$[0]", "variant"))
+    """The text as one VARIANT value; null unless the whole text is exactly one JSON value.
+
+    The parser ignores what follows a value, so the text is parsed inside an array and inside an object: one that
+    closes a bracket early breaks one of the two.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    alone = F.try_variant_get(listed, "$[1]", "variant").isNull() & named.isNotNull()
+    return F.when(alone, F.try_variant_get(listed, "$[0]", "variant"))
 
 
 def field(doc: Column, name: str, as_type: str = "variant") -> Column:

@@ -32,12 +32,12 @@ TOKEN_PATTERN = (
 TAG_PATTERN = r"^</?([A-Za-z][^\s/>]*)"
 RAW_END = r"(?i)</(?:script|style)\s*>$"
 ATTRIBUTE_PATTERN = r"""[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
-REFERENCE = r"^&([A-Za-z]{2,8}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+REFERENCE = r"^&([A-Za-z][A-Za-z0-9]{1,40}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
 
 
 def _entity_names() -> Column:
-    pairs = "\n".join(f"{name}\t{char}" for name, char in params.ENTITIES.items())
-    return F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("\t"))
+    pairs = "\x01".join(f"{name}\x02{char}" for name, char in params.ENTITIES.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
 
 
 def decode_entities(text: Column) -> Column:
@@ -46,7 +46,9 @@ def decode_entities(text: Column) -> Column:
     def numbered(digits, base):
         code = F.conv(digits, base, 10).try_cast("bigint")
         usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        windows = F.try_element_at(F.array(*[F.lit(c) for c in params.WINDOWS_1252.values()]), (code - 127).cast("int"))
+        plain = F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.when(code.between(128, 159), windows).otherwise(plain)
 
     def piece(p):
         def decoded(name):

@@ -66,7 +66,7 @@ def outline(tokens: Column, spans: Column, budget: int) -> Column:
 
     def step(acc, span):
         def added(new_line):
-            used = F.length(F.regexp_replace(new_line, r"\s+", ""))
+            used = F.length(F.regexp_replace(new_line, r"[\s\p{Z}\x1c-\x1f\x85]+", ""))  # no clean-up removes these
             return F.when(new_line.isNull(), acc).otherwise(
                 state(F.concat(acc["text"], new_line, F.lit("\n")), acc["used"] + used)
             )

@@ -1,5 +1,7 @@
 """Fixed values shared by the operators. Every operator takes them as overridable arguments."""
 
+from html.entities import html5
+
 # --- fixed values: results depend on these exact words, weights and patterns -------------------------
 
 # Seeds used when the caller names none.
@@ -80,16 +82,6 @@ MODEL_RATES = {
 }
 DEFAULT_RATE = ("0.15", "0.60")
 
-# Named character references that are decoded (only in their complete form, with the semicolon).
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©", "reg": "®",
-    "trade": "™", "hellip": "…", "mdash": "—", "ndash": "–", "lsquo": "‘",
-    "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•", "middot": "·",
-    "laquo": "«", "raquo": "»", "euro": "€", "pound": "£", "sect": "§",
-    "deg": "°", "times": "×", "auml": "ä", "ouml": "ö", "uuml": "ü",
-    "szlig": "ß", "eacute": "é", "egrave": "è", "agrave": "à", "ccedil": "ç",
-}
-
 # Texts put into records whose answer could not be used.
 OVERVIEW_UNAVAILABLE = "Company overview unavailable."
 PARSE_ERROR_OVERVIEW = "Overview extraction failed due to response format error."
@@ -137,6 +129,13 @@ PAGE_TIMEOUT_MS = 20000
 MAX_SEARCH_HITS = 3
 # --- end of fixed values ----------------------------------------------------------------------------
 
+# Named character references (complete ones, with the semicolon), the common ones first; and the characters that the
+# numbers 128 to 159 stand for.
+_COMMON = ("amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "mdash", "ndash", "rsquo", "lsquo", "rdquo", "ldquo", "hellip")
+_NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+ENTITIES = {name: _NAMED[name] for name in (*_COMMON, *sorted(_NAMED))}
+WINDOWS_1252 = {code: bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(128, 160)}
+
 # Choices of this engine: what counts as a main-content block.
 MIN_BLOCK_CHARS = 25
 MAX_LINK_SHARE = 0.5

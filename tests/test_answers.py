@@ -180,3 +180,12 @@ def test_fallback(spark):
 def test_sentences(value):
     text = "First one.  Second\none! Third?"
     assert value(lambda c: profiles.sentences(F.col(c), 2), t=text) == "First one. Second one!"
+
+
+@pytest.mark.parametrize(
+    "raw, whole",
+    [('{"a":1}]', False), ('{"a":1}] , [2', False), ('{"a":1}}', False), ('{"a":1},"b":{}', False), ('{"a":[1}', False),
+     ("[1,2", False), ('{"a":1} x', False), ("", False), ('{"a":[1]}', True), (' [1, {"b": "]}"}] ', True), ("7", True)],
+)
+def test_only_one_whole_value_is_json(value, raw, whole):
+    assert value(lambda c: A.parse(F.col(c)).isNotNull(), t=raw) is whole

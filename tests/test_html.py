@@ -156,6 +156,7 @@ def test_outline_of_endlessly_nested_page_is_cut_like_the_full_one(spark):
         ("info&#64;acme.org &#x41;&#128512;", "info@acme.org A\U0001f600"),
         ("cut &am here &eacute; &unknown; &", "cut &am here é &unknown; &"),
         ("&#0; &#xD800; &#9999999;", "&#0; &#xD800; &#9999999;"),
+        ("info&commat;site.org &Uuml;&Ouml;&ntilde; &frac12; &#146;&#x80; &NotEqualTilde;", "info@site.org ÜÖñ ½ ’€ ≂̸"),
         ("plain", "plain"),
     ],
 )
@@ -175,3 +176,11 @@ def test_challenge_titles(spark):
     titles = ["Just a moment...", "Attention Required! | Cloudflare", "DDoS-Guard", "Acme - Home"]
     page = spark.createDataFrame([(f"<title>\n {t} </title>",) for t in titles], "html string")
     assert [r.is_challenge for r in pages.challenge_flags(page).collect()] == [True, True, True, False]
+
+
+def test_white_space_of_any_kind_does_not_end_the_outline(spark):
+    html = "<p>x y\n" + "&nbsp;" * 2100 + "\nz</p><p>TAIL</p>"
+    page = spark.createDataFrame([(1, "https://a.org/", html)], "id int, url string, html string")
+    parsed = markdown.content_pages(page)
+    cut = parsed.select(M.clip(M.tidy(M.outline(F.col("kept"), F.col("kept_spans"), 2000)), 2000).alias("m")).first().m
+    assert cut.endswith("TAIL")

@@ -15,6 +15,11 @@ def con(sf):
     return compare.connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, sf, con, name):
     assert compare.differences(entry_module.queries()[name](spark, sf), con, SQL[name]) == []
+
+
+def test_each_query_of_the_library_has_sql():
+    assert set(SQL) <= set(entry_module.queries())
+    assert {n for n in entry_module.queries() if n not in SQL} <= {n for n in entry_module.queries() if n.startswith("op") or n == "pipeline"}
