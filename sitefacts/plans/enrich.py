@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sitefacts import params
 from sitefacts.functions import html as H
 from sitefacts.functions import markdown as M
+from sitefacts.functions import urls as U
 from sitefacts.functions.common import bind, on_columns
 from sitefacts.operators import captures as captures_
 from sitefacts.operators import contacts, costs, enrichment, links, markdown, profiles, responses
@@ -18,15 +19,20 @@ from sitefacts.plans.scratch import staged
 from sitefacts.sources.seeds import normalized_seeds
 
 
-def page_keys(pages: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Smallest page key of every captured URL; URLs and keys are all that is shuffled."""
-    return pages.groupBy("url").agg(F.min(F.struct(*key)).alias("k")).select("url", "k.*")
+def page_keys(pages: DataFrame, key: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """Page key of every wanted URL ``(url)`` that was captured: of its captures a successful one, then the smallest.
+
+    Unwanted URLs go before anything is grouped; URLs and keys are all that is shuffled.
+    """
+    missed = (~F.coalesce(F.col("success"), F.lit(False))).cast("int").alias("missed")
+    captured = pages.select("url", F.struct(missed, *key).alias("k")).join(wanted.select("url"), "url", "left_semi")
+    return captured.groupBy("url").agg(F.min("k").alias("k")).select("url", *[F.col(f"k.{c}").alias(c) for c in key])
 
 
 def homepages(seeds: DataFrame, pages: DataFrame, key: Sequence[str]) -> DataFrame:
     """Homepage capture of each distinct site, reachable or not; columns of ``pages`` plus ``domain``."""
     sites = seeds.select("domain", F.col("root_url").alias("url")).distinct()
-    found = sites.join(page_keys(pages, key), "url").drop("url")
+    found = sites.join(page_keys(pages, key, sites), "url").drop("url")
     return pages.join(found, list(key))
 
 
@@ -38,11 +44,11 @@ def chosen_pages(
     A site has at most ``limit`` + 1 rows here, whatever was captured of it. The homepages are read twice,
     for their links and for themselves, and the result by every step that follows, so both are written out.
     """
-    keys = page_keys(pages, key)
     home = staged(homepages(seeds, pages, key).where(captures_.is_reachable()), "homepages")
     best = links.top_links(home, ["domain"], base="final_url", limit=limit)
     # An internal URL belongs to its own site and the domains above it, so no URL is linked by many sites.
-    wanted = best.select("domain", "rank", F.col("link").alias("url")).join(keys, "url")
+    linked = best.select("domain", "rank", F.col("link").alias("url"))
+    wanted = linked.join(page_keys(pages, key, linked), "url")
     sub = pages.join(wanted.drop("url"), list(key)).where(captures_.is_usable())
     return staged(home.withColumn("rank", F.lit(0)).unionByName(sub), "chosen-pages")
 
@@ -106,10 +112,16 @@ def enrich(
     hits: DataFrame,
     key: Sequence[str],
     search: bool = True,
+    limit: int = params.MAX_SUBPAGES,
 ) -> DataFrame:
-    """One profile per seed: from its answer, or a fallback that says why there is none."""
+    """One profile per seed: from its answer, or a fallback that says why there is none.
+
+    Domains of answers are normalised like those of seeds. Of several answers for a site the first in the order of
+    their columns counts.
+    """
     sites = normalized_seeds(seeds)
-    chosen = chosen_pages(sites, pages, key)
+    answers = answers.withColumn("domain", U.normalize_domain(F.col("domain")))
+    chosen = chosen_pages(sites, pages, key, limit)
     crawled = captures_.pages_per_site(chosen, "domain", "rank")
     unreachable = (
         homepages(sites, pages, key)
