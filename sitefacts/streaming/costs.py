@@ -45,6 +45,11 @@ def final_totals(usage: DataFrame, folder: str) -> DataFrame:
     def write_batch(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{folder}/state/batch={batch}")
 
+    spark = usage.sparkSession
+    columns = "domain string, model_name string, prompt_tokens bigint, completion_tokens bigint, total_tokens bigint"
+    columns += f", cost_usd {TOTAL_COST}"
+    # a batch without rows, so that there is a state to read if the source has none
+    spark.createDataFrame([], columns).write.mode("overwrite").parquet(f"{folder}/state/batch=-1")
     totals = running_totals(usage)
     query = (
         totals.writeStream.outputMode("update")
@@ -54,9 +59,6 @@ def final_totals(usage: DataFrame, folder: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    state = usage.sparkSession.read.schema(
-        "batch int, domain string, model_name string, prompt_tokens bigint, completion_tokens bigint, "
-        f"total_tokens bigint, cost_usd {TOTAL_COST}"
-    ).parquet(f"{folder}/state")
+    state = spark.read.schema(f"batch int, {columns}").parquet(f"{folder}/state")
     last = F.max_by(F.struct(*TOTALS, "cost_usd"), "batch").alias("t")
     return state.groupBy("domain", "model_name").agg(last).select("domain", "model_name", "t.*")

@@ -71,6 +71,13 @@ def test_stream_adds_up_to_the_batch_and_goes_on_after_a_restart(spark, tmp_path
     assert as_rows(stream_costs.final_totals(stream(), folder)) == totals(calls)
 
 
+def test_stream_of_an_empty_source_has_no_totals(spark, tmp_path):
+    source = tmp_path / "none"
+    source.mkdir()
+    stream = spark.readStream.schema(USAGE).parquet(str(source))
+    assert stream_costs.final_totals(stream, str(tmp_path / "run")).count() == 0
+
+
 @pytest.fixture(scope="module")
 def stored(spark, sf):
     return entry_module.stored_profiles(spark, sf).cache()
