@@ -22,7 +22,7 @@ PERCENT = 80  # least similarity
 BANDS, BAND_ROWS = 8, 3  # a pair at 80 % is a candidate with probability 1 - (1 - 0.8**3)**8 = 99.7 %
 FIRST_CENTRES, MORE_CENTRES = 1, 4
 LONG_WORDS = 20  # characters a word has on average in lines whose signatures take all shingles
-AGREEMENT = 10 / 24  # share of equal MinHash values a compared pair needs; a pair at 80 % has fewer once in 40,000
+AGREEMENT = 10 / 24  # share of equal MinHash values a compared pair needs; a pair at 80 % has fewer once in 150,000
 BITMAP_BITS = 1 << 23  # of the filter of wanted lines: 256 bitmaps of 4 KB, whatever the input
 
 
