@@ -17,11 +17,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitefacts.llm.batches import text_chunks
+from sitefacts.llm.batches import text_chunks, utf8
 from sitefacts.plans.scratch import staged
 
 BINS = 2048  # hashed words
-CLASSES = (r"[A-Z]", r"[a-z]", r"[0-9]", r"\s", r"[.,;:]", r"[!?]", r"[|]", r"[%$&*#@]")  # shares of characters
+CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" \t\n\f\r", b".,;:", b"!?", b"|", b"%$&*#@")
+CLASS_OF = np.full(256, len(CLASSES), np.int32)  # class of each byte; continuation bytes begin no character
+CLASS_OF[0x80:0xC0] = len(CLASSES) + 1
+for number, members in enumerate(CLASSES):
+    CLASS_OF[list(members)] = number
 TRAINING_DOCS = 700  # bound on the sampled documents of each domain
 STEPS, RATE, DECAY = 300, 0.05, 1e-4  # of the classifier's fit
 MOST_ROUNDS, TOLERANCE = 40, 1e-3  # rounds of the rates' fit; share of all tokens a domain may be off
@@ -46,8 +50,11 @@ def word_bins(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def shares(texts: pa.Array) -> np.ndarray:
     """Share of each class of characters in each text."""
-    length = np.maximum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), 1)
-    return np.stack([pc.count_substring_regex(texts, pattern=c).to_numpy(zero_copy_only=False) / length for c in CLASSES], axis=1)
+    raw, offsets = utf8(texts)
+    size = len(CLASSES) + 2
+    place = np.repeat(np.arange(len(texts), dtype=np.int32) * size, np.diff(offsets)) + CLASS_OF[raw]
+    counts = np.bincount(place, minlength=len(texts) * size).reshape(-1, size)
+    return counts[:, : len(CLASSES)] / np.maximum(counts[:, :-1].sum(axis=1), 1)[:, None]
 
 
 def posteriors(texts: pa.Array, model: Classifier) -> tuple[np.ndarray, np.ndarray]:
