@@ -21,7 +21,6 @@ SHINGLE = 10  # characters
 PERCENT = 80  # least similarity
 BANDS, BAND_ROWS = 8, 3  # a pair at 80 % is a candidate with probability 1 - (1 - 0.8**3)**8 = 99.7 %
 FIRST_CENTRES, MORE_CENTRES = 1, 4
-LONG_WORDS = 20  # characters a word has on average in lines whose signatures take all shingles
 AGREEMENT = 10 / 24  # share of equal MinHash values a compared pair needs; a pair at 80 % has fewer once in 150,000
 BITMAP_BITS = 1 << 23  # of the filter of wanted lines: 256 bitmaps of 4 KB, whatever the input
 
@@ -32,23 +31,6 @@ def shingles(line: Column, size: int) -> Column:
     return F.when(F.char_length(line) < size, F.array(line)).otherwise(found)
 
 
-def signature_shingles(lines: DataFrame, size: int) -> DataFrame:
-    """``(k1, k2, gram)``: the shingles that signatures are made of, those that begin a word.
-
-    They are a sixth of the shingles of ordinary text and as alike in two lines as all shingles are. The last words
-    give shorter ones. In lines of long words, as in scripts without spaces, every character begins a shingle of half
-    the size. A shingle is put together from the units that follow one another, as columns.
-    """
-    ahead = (size + 1) // 2  # a word and its space have two characters at least
-    long = F.char_length("line") > LONG_WORDS * (F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-    split = lines.select("k1", "k2", long.alias("long"), F.when(long, F.split("line", "")).otherwise(F.split("line", " ")).alias("u"))
-    shifted = F.arrays_zip(*[F.slice("u", i + 1, F.size("u")).alias(f"u{i}") for i in range(ahead)])
-    units = split.select("k1", "k2", "long", F.inline(shifted).alias(*[f"u{i}" for i in range(ahead)]))
-    gap = F.when(F.col("long"), "").otherwise(" ")
-    joined = F.concat("u0", *[F.coalesce(F.concat(gap, F.col(f"u{i}")), F.lit("")) for i in range(1, ahead)])
-    return units.select("k1", "k2", F.left(joined, F.lit(size)).alias("gram"))
-
-
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
 
@@ -63,12 +45,13 @@ def lines_of(rows: DataFrame) -> DataFrame:
 def signatures(lines: DataFrame, size: int, hashes: int) -> DataFrame:
     """MinHash values ``m0, m1, ...`` of each distinct line, and its number of shingles times its occurrences.
 
-    One hash of each shingle is computed; exclusive-or with random constants gives the permutations. Partial
-    aggregation merges the repetitions of a line before any shuffle.
+    Signatures are made of all the shingles that the exact comparison uses, in every line. One hash of each is
+    computed; exclusive-or with random constants gives the permutations. Partial aggregation merges the repetitions of
+    a line before any shuffle.
     """
     draw = random.Random(17)
     masks = [draw.randrange(-(1 << 31), 1 << 31) for _ in range(hashes)]
-    grams = signature_shingles(lines, size).select("k1", "k2", F.hash("gram").alias("h"))
+    grams = lines.select("k1", "k2", F.explode(shingles(F.col("line"), size)).alias("gram")).select("k1", "k2", F.hash("gram").alias("h"))
     mins = [F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(masks)]
     return grams.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("weight"), *mins)
 

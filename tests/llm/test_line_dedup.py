@@ -89,3 +89,16 @@ def test_no_python_on_the_main_path(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = ld.deduplicate(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def linked(spark, lines):
+    """The number of lines that stay of these, each in a document of its own."""
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").coalesce(1)
+    return sum(r["text"] != "" for r in ld.deduplicate(docs).collect())
+
+
+def test_lines_of_long_words_meet_their_copies_with_a_space(spark):
+    """Lines on either side of any word length are signed alike."""
+    for a, b in (("internationalization", "internationalization:"), ("Rechtsschutzversicherungsgesellschaft AG", "Rechtsschutzversicherungsgesellschaft AG!"),
+                 ("Donaudampfschifffahrtsgesellschaft Hafen", "Donaudampfschifffahrtsgesellschaft Hafen."), ("x" * 21 + "abcdefghijklmnopqrs", "x" * 21 + "abcdefghijklmnopqrs t")):
+        assert linked(spark, [a, b]) == 1, a
