@@ -21,7 +21,8 @@ SHINGLE = 10  # characters
 PERCENT = 80  # least similarity
 BANDS, BAND_ROWS = 8, 3  # a pair at 80 % is a candidate with probability 1 - (1 - 0.8**3)**8 = 99.7 %
 FIRST_CENTRES, MORE_CENTRES = 1, 4
-AGREEMENT = 10 / 24  # share of equal MinHash values a compared pair needs; a pair at 80 % has fewer once in 150,000
+AGREEMENT = 10 / 24  # share of equal MinHash values a compared pair of long lines needs; a pair at 80 % has fewer once in 150,000
+SHORT = 128  # characters of a line, about 20 words, up to which every candidate is compared whatever its signature
 BITMAP_BITS = 1 << 23  # of the filter of wanted lines: 256 bitmaps of 4 KB, whatever the input
 
 
@@ -46,13 +47,16 @@ def signatures(lines: DataFrame, size: int, hashes: int) -> DataFrame:
     """MinHash values ``m0, m1, ...`` of each distinct line, and its number of shingles times its occurrences.
 
     Signatures are made of all the shingles that the exact comparison uses, in every line. One hash of each is
-    computed; exclusive-or with random constants gives the permutations. Partial aggregation merges the repetitions of
-    a line before any shuffle.
+    computed; an exclusive-or and a product with random constants, modulo 2**32, give the permutations. Exclusive-or
+    alone leaves them dependent, which costs lines of few shingles their candidates. Partial aggregation merges the
+    repetitions of a line before any shuffle.
     """
     draw = random.Random(17)
-    masks = [draw.randrange(-(1 << 31), 1 << 31) for _ in range(hashes)]
-    grams = lines.select("k1", "k2", F.explode(shingles(F.col("line"), size)).alias("gram")).select("k1", "k2", F.hash("gram").alias("h"))
-    mins = [F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(masks)]
+    low = (1 << 32) - 1
+    draws = [(draw.randrange(1 << 32), draw.randrange(1, 1 << 31, 2)) for _ in range(hashes)]
+    grams = lines.select("k1", "k2", F.explode(shingles(F.col("line"), size)).alias("gram")).select("k1", "k2", F.hash("gram").cast("bigint").bitwiseAND(F.lit(low)).alias("h"))
+    moved = [(F.col("h").bitwiseXOR(F.lit(mask)) * F.lit(odd).cast("bigint")).bitwiseAND(F.lit(low)) for mask, odd in draws]
+    mins = [F.min(m).alias(f"m{i}") for i, m in enumerate(moved)]
     return grams.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("weight"), *mins)
 
 
@@ -86,11 +90,14 @@ def wanted_lines(lines: DataFrame, wanted: DataFrame, bits: int, size: int, hash
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, hashes: int, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose lines are similar enough. Signatures that agree too little are not looked into."""
-    signs = texts.select("k1", "mins")
-    signed = pairs.join(signs.toDF("a", "m"), "a").join(signs.toDF("b", "n"), "b")
+    """The pairs ``(a, b)`` whose lines are similar enough.
+
+    Long lines whose signatures agree too little are not looked into; a pair with a short line always is.
+    """
+    signs = texts.select("k1", "mins", F.char_length("line") <= SHORT)
+    signed = pairs.join(signs.toDF("a", "m", "s"), "a").join(signs.toDF("b", "n", "t"), "b")
     agreed = sum((F.get("m", F.lit(i)) == F.get("n", F.lit(i))).cast("int") for i in range(hashes))
-    likely = signed.where(agreed >= least).select("a", "b")
+    likely = signed.where((agreed >= least) | F.col("s") | F.col("t")).select("a", "b")
     words = texts.select("k1", "line")
     distinct = lambda line: F.array_distinct(shingles(F.col(line), size))
 

@@ -102,3 +102,18 @@ def test_lines_of_long_words_meet_their_copies_with_a_space(spark):
     for a, b in (("internationalization", "internationalization:"), ("Rechtsschutzversicherungsgesellschaft AG", "Rechtsschutzversicherungsgesellschaft AG!"),
                  ("Donaudampfschifffahrtsgesellschaft Hafen", "Donaudampfschifffahrtsgesellschaft Hafen."), ("x" * 21 + "abcdefghijklmnopqrs", "x" * 21 + "abcdefghijklmnopqrs t")):
         assert linked(spark, [a, b]) == 1, a
+
+
+def test_character_edits_of_short_lines_against_all_pairs(spark):
+    """Lines of 1 to 4 words with one character changed: all that are alike enough by brute force are linked."""
+    random.seed(11)
+    lines = ["Frequently Asked Questions", "Frequently Asked Questions:", "Telecommunications Infrastructure", "telecommunications Infrastructure",
+             "Copyright Acme Corporation 2021", "Copyright Acme Corporation 2022", "Internationalization", "internationalization"]
+    for _ in range(300):
+        words = ["".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=random.randint(8, 18))) for _ in range(random.randint(1, 4))]
+        line = " ".join(words)
+        at = random.choice([0, len(line) - 1, len(line)])
+        lines += [line, line[:at] + "#" + line[at + 1 :]]
+    rows = list(enumerate(lines))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert sorted((r["doc_id"], r["text"], r["dropped"]) for r in ld.deduplicate(docs).collect()) == sorted(brute(rows))
