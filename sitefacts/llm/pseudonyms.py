@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sitefacts.llm.batches import text_chunks
 
 ROUNDS = 10
-LOW_DAY, HIGH_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+YEARS = range(1900, 2100)
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 
 
@@ -140,16 +140,33 @@ def iban(text: str, key: bytes, back: bool) -> str | None:
     return "".join(next(source) if c.isdigit() else c for c in text)
 
 
-def day_of(year: int, month: int, day: int) -> int | None:
+def date_class(month: int, day: int) -> tuple[bool, int]:
+    """Dates of one class can be written in each other's place: with as many digits, and in the same order."""
+    return month > 9, 2 if day > 12 else int(day > 9)
+
+
+def days_by_class() -> dict[tuple[bool, int], list[datetime.date]]:
+    found: dict[tuple[bool, int], list[datetime.date]] = {}
+    for n in range(datetime.date(YEARS[0], 1, 1).toordinal(), datetime.date(YEARS[-1], 12, 31).toordinal() + 1):
+        day = datetime.date.fromordinal(n)
+        found.setdefault(date_class(day.month, day.day), []).append(day)
+    return found
+
+
+DAYS = days_by_class()
+
+
+def moved_day(year: int, month: int, day: int, key: bytes, back: bool) -> datetime.date | None:
+    """The pseudonym of a day, the same in all forms; none for what is no day or beyond ``YEARS``."""
     try:
-        found = datetime.date(year, month, day).toordinal()
+        old = datetime.date(year, month, day)
     except ValueError:
         return None
-    return found - LOW_DAY if LOW_DAY <= found <= HIGH_DAY else None
-
-
-def moved_day(place: int, key: bytes, back: bool) -> datetime.date:
-    return datetime.date.fromordinal(LOW_DAY + permute(place, HIGH_DAY - LOW_DAY + 1, key, "date", back))
+    if year not in YEARS:
+        return None
+    beyond, part = date_class(month, day)
+    days = DAYS[beyond, part]
+    return days[permute(bisect(days, old) - 1, len(days), key, f"date{int(beyond)}{part}", back)]
 
 
 def date(text: str, key: bytes, back: bool) -> str | None:
@@ -172,13 +189,9 @@ def date(text: str, key: bytes, back: bool) -> str | None:
         month_first = b > 12
         order = ((0, "m"), (1, "d"), (2, "y")) if month_first else ((0, "d"), (1, "m"), (2, "y"))
         values = {"y": year, "m": a if month_first else b, "d": b if month_first else a}
-    place = day_of(values["y"], values["m"], values["d"])
-    if place is None:
+    new = moved_day(values["y"], values["m"], values["d"], key, back)
+    if new is None:
         return None
-    if named is None and order[0][1] in "dm":
-        # which field is the month shows only if the other is beyond 12: permute within the dates written alike
-        return slashed(words, order, place, key, back)
-    new = moved_day(place, key, back)
     for i, part in order:
         if part == "m" and named is not None:
             name = MONTHS[new.month - 1]
@@ -186,24 +199,11 @@ def date(text: str, key: bytes, back: bool) -> str | None:
             fields[i] = name.upper() if fields[named].isupper() else name.capitalize() if fields[named][0].isupper() else name
         else:
             value = {"y": new.year, "m": new.month, "d": new.day}[part]
-            fields[i] = f"{value:04d}" if part == "y" else f"{value:02d}"
+            fields[i] = str(value).zfill(len(fields[i]))
     words[::2] = fields
     return "".join(words)
 
 
-def slashed(words: list[str], order, place: int, key: bytes, back: bool) -> str:
-    """Dates of two leading numbers: walk the permutation until the new date reads in the same field order."""
-    month_first = order[0][1] == "m"
-    while True:
-        new = moved_day(place, key, back)
-        if not month_first or new.day > 12:
-            break
-        place = new.toordinal() - LOW_DAY
-    pair = (new.month, new.day) if month_first else (new.day, new.month)
-    words[::2] = [f"{pair[0]:02d}", f"{pair[1]:02d}", f"{new.year:04d}"]
-    return "".join(words)
-
-
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -235,7 +235,7 @@ KINDS: tuple[tuple[str, re.Pattern, Callable[[str, bytes, bool], str | None]], .
     ("card", re.compile(r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"), card),
     ("ssn", re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"), ssn),
     ("ip", re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"), address),
-    ("date", re.compile(r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4}|[0-9]{2} [A-Za-z]{3,9},? [0-9]{4}|[A-Z][A-Za-z]{2,8} [0-9]{2},? [0-9]{4})(?![0-9]|[-/.][0-9])"), date),
+    ("date", re.compile(r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}|[0-9]{1,2} [A-Za-z]{3,9},? [0-9]{4}|[A-Z][A-Za-z]{2,8} [0-9]{1,2},? [0-9]{4})(?![0-9]|[-/.][0-9])"), date),
     ("phone", re.compile(r"(?<![0-9A-Za-z.+-])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z]|[.-][0-9])"), phone),
 )
 

@@ -74,3 +74,19 @@ def test_random_texts_come_back(spark):
     assert ps.pseudonymise(docs.limit(0), "key").count() == 0
     with pytest.raises(ValueError):
         ps.pseudonymise(docs, "")
+
+
+def test_dates_of_one_and_two_digits_keep_their_form():
+    for text in ("4/7/1981", "3.11.1999", "2021-3-5", "March 5, 2021", "5 March 2021", "1/31/2020", "04.7.1981"):
+        made, found = ps.replace_all(f"on {text}.", KEY)
+        assert [k for _, _, k in found] == ["date"] and made != f"on {text}." and shape(made.split()[1]) == shape(f"{text}.".split()[0])
+        assert ps.replace_all(made, KEY, back=True)[0] == f"on {text}."
+
+
+def test_a_day_has_one_pseudonym_in_all_forms():
+    for n in range(0, 700):
+        day = datetime.date(2020, 1, 1) + datetime.timedelta(n)
+        forms = ["%Y-%m-%d", "%d/%m/%Y", "%d %B %Y"] + ["%m/%d/%Y"] * (day.day > 12)
+        made = {datetime.datetime.strptime(new(day.strftime(f)), f) for f in forms}
+        short = new(f"{day.day}.{day.month}.{day.year}").split(".")
+        assert made == {datetime.datetime(int(short[2]), int(short[1]), int(short[0]))}, day
