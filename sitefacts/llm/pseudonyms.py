@@ -2,7 +2,8 @@
 
 Numbers and dates that pass the validation of their kind are permuted by a keyed Feistel network within the values of
 their format: a card number stays a valid card number, a date stays a date. Equal values get equal pseudonyms in every
-document, whatever their separators, and the key holder can reverse them.
+document, whatever their separators, and the key holder can reverse them. The one exception to equal pseudonyms: where
+digits or capitals beside a card or IBAN would form another valid value with its pseudonym, the next one is taken.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import datetime
 import hashlib
 import math
 import re
-from bisect import bisect, insort
+from bisect import bisect, bisect_left, insort
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -253,18 +254,84 @@ def email_spans(text: str, pattern: re.Pattern) -> Iterator[re.Match]:
         at = text.find("@", max(at + 1, match.end() if match else 0))
 
 
+CARD_FORMS = {(4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4), *((n,) for n in range(13, 20))}  # digits of each group
+IBAN_LENGTHS = {
+    c: int(n)
+    for n, codes in (
+        line.split(":")
+        for line in (
+            "15:NO", "16:BE", "18:DK FI FK FO GL NL SD", "19:MK SI", "20:AT BA EE KZ LT LU MN XK", "21:CH CR HR LI LV",
+            "22:BG BH DE GB GE IE ME RS VA", "23:AE GI IL IQ OM SO TL", "24:AD CZ ES MD PK RO SA SE SK TN VG", "25:LY PT ST",
+            "26:IS TR", "27:BI DJ FR GR IT MC MR SM", "28:AL AZ BY CY DO GT HN HU LB NI PL SV", "29:BR EG PS QA UA",
+            "30:JO KW MU YE", "31:MT SC", "32:LC", "33:RU",
+        )
+    )
+    for c in codes.split()
+}
+SEPARATORS = {"card": " -", "iban": " ", "phone": " "}  # within a match, an extent may end before one
+WIDEST = 80  # characters, more than any match of those kinds has
+
+
+def extents(kind: str, pattern: re.Pattern, text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Where values of a kind may be: the usual written forms, and all others; by start, the longest first.
+
+    A match reaches as far as it can, so what stands beside a value may be in it: every end at a boundary of groups is
+    tried, and every start. Of a telephone number within a match the groups of three, three and four digits are tried.
+    """
+    usual, other, at, reached = [], [], 0, 0
+    while match := pattern.search(text, at):
+        start, last = match.span()
+        at = start + 1
+        for end in (last, *(i for i in range(last - 1, start, -1) if text[i] in SEPARATORS.get(kind, ""))):
+            part = text[start:end]
+            form = tuple(len(g) for g in re.findall("[0-9]+", part))
+            if kind == "card":
+                if sum(form) >= 13:
+                    (usual if form in CARD_FORMS else other).append((start, end))
+            elif kind == "iban":
+                length = IBAN_LENGTHS.get(part[:2])
+                if length == len(part.replace(" ", "")):
+                    usual.append((start, end))
+                elif length is None or end == last:
+                    other.append((start, end))
+            elif end == last and start >= reached:
+                usual.append((start, end))
+            elif kind == "phone" and form == (3, 3, 4):
+                other.append((start, end))
+        reached = last if start >= reached else reached
+    return usual, other
+
+
+def claim(kind: str, spans, transform: Callable[[str, bytes, bool], str | None], text: str, key: bytes, back: bool, taken: list) -> None:
+    """Add the valid ones of ``spans`` to ``taken``, where nothing has their place yet.
+
+    A pseudonym must not make an extent valid that was refused before it, or it would be read differently on the way
+    back: it is permuted again until all of those are refused with it too.
+    """
+    refused: list[list[tuple[int, int]]] = []
+    for step in spans:
+        refused.append([])
+        for start, end in step:
+            at = bisect(taken, (start, end))
+            if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < end):
+                continue  # an earlier kind or extent has it
+            new = transform(text[start:end], key, back)
+            if new is None:
+                refused[-1].append((start, end))
+                continue
+            if kind in ("card", "iban"):
+                near = [r for part in refused for r in part[bisect_left(part, (start - WIDEST,)) : bisect_left(part, (end,))] if r[1] > start]
+                while any(transform(text[s:start] + new[max(s - start, 0) : max(e - start, 0)] + text[end:e], key, back) is not None for s, e in near):
+                    new = transform(new, key, back)
+            insort(taken, (start, end, kind, new))
+
+
 def replace_all(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with pseudonyms, and the spans replaced: start, end in code points of the given text, kind."""
     taken: list[tuple[int, int, str, str]] = []
     for kind, pattern, transform in KINDS:
-        for match in email_spans(text, pattern) if kind == "email" else pattern.finditer(text):
-            start, end = match.span()
-            at = bisect(taken, (start, end))
-            if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < end):
-                continue  # an earlier kind has it
-            new = transform(match.group(), key, back)
-            if new is not None:
-                insort(taken, (start, end, kind, new))
+        spans = [[m.span() for m in email_spans(text, pattern)]] if kind == "email" else extents(kind, pattern, text)
+        claim(kind, spans, transform, text, key, back, taken)
     out, at = [], 0
     for start, end, _, new in taken:
         out += [text[at:start], new]

@@ -90,3 +90,27 @@ def test_a_day_has_one_pseudonym_in_all_forms():
         made = {datetime.datetime.strptime(new(day.strftime(f)), f) for f in forms}
         short = new(f"{day.day}.{day.month}.{day.year}").split(".")
         assert made == {datetime.datetime(int(short[2]), int(short[1]), int(short[0]))}, day
+
+
+def test_values_with_digits_or_capitals_beside_them():
+    card, iban = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+    for text, value in ((f"{card} 12/26", card), ("4111111111111111 123", "4111111111111111"), (f"Qty 2 {card}", card), (f"{card} {card} 7", card),
+                        ("4111-1111-1111-1111-12", "4111-1111-1111-1111"), (f"{iban} BIC COBADEFF", iban), (f"{iban} A transfer", iban), (f"AB12 {iban}", iban),
+                        (f"{iban} {card}", card), ("DE89370400440532013000 BIC COBADEFF", "DE89370400440532013000"), ("555-123-4567 12", "555-123-4567"), ("12 555-123-4567", "555-123-4567")):
+        made, found = ps.replace_all(text, KEY)
+        at = text.index(value)
+        assert (at, at + len(value)) in [(s, e) for s, e, _ in found], text
+        assert made[at : at + len(value)] == new(value) and value not in made
+        assert ps.replace_all(made, KEY, back=True)[0] == text
+
+
+def test_cards_among_other_digits_come_back():
+    random.seed(4)
+    for _ in range(1500):
+        payload = "".join(random.choices("0123456789", k=15))
+        digits = payload + ps.luhn_digit(payload)
+        form = random.choice([digits, " ".join(digits[i : i + 4] for i in range(0, 16, 4))])
+        before, after = ("".join(random.choice(["", f"{random.randrange(10**n):0{n}d} "]) for n in random.choices([1, 2, 3, 4], k=2)) for _ in range(2))
+        text = f"{before}{form} {after}."
+        made, found = ps.replace_all(text, KEY)
+        assert "card" in [k for _, _, k in found] and ps.replace_all(made, KEY, back=True)[0] == text
