@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sitefacts.llm.batches import lists, text_chunks, utf8
 
@@ -22,7 +23,8 @@ BITS = 16  # trigrams are hashed to 2**BITS bins
 SMOOTHING = 0.5
 STEPS = 8  # rounds of expectation and maximisation for each language set
 PENALTY = 1.0  # times the usual half logarithm of the number of words
-TRAINING_DOCS = 1000  # expected training documents of a language; the bound of the sample
+TRAINING_DOCS = 1000  # distinct training texts of a language; the bound of the sample
+DRAWN = 1 << 30  # values of the draw
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -54,23 +56,34 @@ def word_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return bins, word_starts, np.searchsorted(offsets, places, side="right") - 1
 
 
+def training_texts(rows: DataFrame, totals: dict[str, int], training_docs: int) -> DataFrame:
+    """``(lang, text)``: of each language the ``training_docs`` distinct texts of the smallest hashes, or all if fewer.
+
+    ``rows`` has ``lang`` and ``text``, ``totals`` about how many distinct texts there are of each language. The hash
+    first leaves some more than twice the bound of them, so that no task ranks more than that of a language.
+    """
+    drawn = rows.withColumn("hash", F.xxhash64("text", F.lit("language sample"))).withColumn("draw", F.pmod("hash", F.lit(DRAWN)))
+    keep = F.lit(False)
+    for name, distinct in totals.items():
+        keep = keep | ((F.col("lang") == name) & (F.col("draw") < DRAWN * (2 * training_docs + 100) / max(distinct, 1)))
+    ranked = Window.partitionBy("lang").orderBy("draw", "hash")
+    once = drawn.where(keep).dropDuplicates(["lang", "hash"])
+    return once.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= training_docs).select("lang", "text")
+
+
 def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", training_docs: int = TRAINING_DOCS) -> Languages:
     """Trigram counts of the languages of labelled documents.
 
-    Texts are sampled by a hash of the text at a rate that gives about ``training_docs`` documents of each language
-    (all, if it has fewer). Counts are added up in Spark; the driver gets at most 2**BITS numbers for each language.
-    Rows without text or language teach nothing.
+    Each language is learnt from ``training_docs`` distinct texts, drawn by a hash of the text (all, if it has fewer);
+    copies of a text count once. Counts are added up in Spark; the driver gets at most 2**BITS numbers for each
+    language. Rows without text or language teach nothing.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    totals = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).cast("string")).count().collect()}
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).dropna()
+    totals = dict(rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"))).collect())
     names = sorted(totals)
     if not names:
         return Languages([], np.zeros((1 << BITS, 0), np.float32))
-    draw = F.pmod(F.xxhash64(F.col(text_col), F.lit("language sample")), F.lit(1 << 30)) / float(1 << 30)
-    keep = F.lit(False)
-    for name in names:
-        keep = keep | ((F.col(lang_col).cast("string") == name) & (draw < training_docs / totals[name]))
-    sample = rows.where(keep).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    sample = training_texts(rows, totals, training_docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(names), 1 << BITS), np.int64)

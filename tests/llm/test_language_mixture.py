@@ -52,3 +52,16 @@ def test_odd_rows(spark, fitted):
     assert lm.identify(docs.limit(0), model).count() == 0
     nothing = lm.fit(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in lm.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_copies_of_a_text_do_not_crowd_out_the_others(spark):
+    """One text fills most rows of a language: it counts once, and the others teach up to the bound."""
+    docs = spark.range(23_000).select(
+        F.when(F.col("id") < 3_000, "rare").otherwise("much").alias("lang"),
+        F.when(F.col("id") < 3_000, F.concat(F.lit("seldom word "), F.char(97 + F.col("id") % 5)))
+        .when(F.col("id") < 22_000, "the same text again")
+        .otherwise(F.concat(F.lit("text "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))).alias("text"),
+    )
+    found = lm.training_texts(docs, {"rare": 5, "much": 1001}, 50).groupBy("lang").agg(F.count("text").alias("n"), F.count_distinct("text").alias("d"))
+    assert {r["lang"]: (r["n"], r["d"]) for r in found.collect()} == {"rare": (5, 5), "much": (50, 50)}
+    assert np.array_equal(lm.fit(docs, training_docs=50).weights, lm.fit(docs.distinct(), training_docs=50).weights)
