@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from sitefacts.llm.batches import text_chunks
 
 KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")  # the order of spans that start together
-REACH = 200  # code points around a part within which others belong to it
+REACH = 200  # code points around a part within which others belong to it, not counting the parts between
 
 BASE = (
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
@@ -28,7 +28,7 @@ BASE = (
     ("hex", re.compile(r"[0-9a-f]{24,}"), 0, 24),  # a run of 24 or more: shorter runs fail anyway
 )
 WEAK = (
-    ("weak_id", re.compile(r"(?:AKIA|ASIA|AROA|AIDA)[A-Z0-9]{8,}|(?:client_?id|user_?name|access_?id|account|login)[\"']?\x20*[:=]\x20*[\"']?[\w.@+-]{3,}", re.A)),
+    ("weak_id", re.compile(r"(?:AKIA|ASIA|AROA|AIDA)[A-Z0-9]{8,}|(?i:client_?id|user_?name|access_?id|account|login)[\"']?\x20*[:=]\x20*[\"']?[\w.@+-]{3,}", re.A)),
     ("weak_secret", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")),
     ("endpoint", re.compile(r"(?:https?|ftp|amqps?|redis|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|jdbc:[a-z]+)://[^\s\"'<>]{3,}")),
 )
@@ -97,6 +97,21 @@ def joined_parts(text: str, parts: list[tuple[int, int, str]], reach: int) -> np
     return found
 
 
+def squeezed(text: str, parts: list[tuple[int, int, str]]) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text and its parts with each part, or run of overlapping parts, as one character.
+
+    Distances in it are those of what lies between the parts, so a long key does not part those on its two sides.
+    """
+    pieces, places, at, size = [], {}, 0, 0
+    for start, end, _ in sorted(parts):
+        if start >= at:
+            pieces += [text[at:start], "x"]
+            size += start - at + 1
+        places[start, end] = size
+        at = max(at, end)
+    return "".join(pieces) + text[at:], [(places[s, e] - 1, places[s, e], k) for s, e, k in parts]
+
+
 def find_spans(text: str, reach: int = REACH) -> list[tuple[int, int, str]]:
     """All reported spans by start and kind: the strong ones, and weak candidates that a complement supports."""
     strong = strong_spans(text)
@@ -105,7 +120,7 @@ def find_spans(text: str, reach: int = REACH) -> list[tuple[int, int, str]]:
     weak = [w for w, hit in zip(weak, covered) if not hit]
     if weak:
         parts = strong + weak
-        linked = joined_parts(text, parts, reach)
+        linked = joined_parts(*squeezed(text, parts), reach)
         strong += [p for p, hit in zip(parts[len(strong) :], linked[len(strong) :]) if hit]
     return sorted(strong, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 

@@ -76,3 +76,23 @@ def test_repeated_null_and_long(spark):
     rows = secrets.scan(docs).collect()
     assert len(rows) == 3 and sum(len(r["spans"]) for r in rows) == 1
     assert secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_a_long_key_does_not_part_its_neighbours():
+    random.seed(3)
+    pieces = [" ".join("".join(random.choices("abcdefghijkmnpqrstuvwxyz23456789", k=60)) + "Q7" for _ in range(28)) for _ in range(2)]
+    assert len(pieces[0]) > 1_700
+    text = f"password = hunter2hunter2 {pieces[0]} login: ada.b\n\nhttps://api.example.org/v1 {'A' * 300} x9Kq2LmZ8vT4bN7cR1pW"
+    assert kinds(text)[0] == "assign" and kinds(text)[-1] == "weak_id" and "endpoint" not in kinds(text)  # the As are no part
+    parts = [(0, 5, "weak_id"), (10, 1_800, "assign"), (1_700, 1_900, "hex"), (1_910, 1_930, "endpoint")]
+    short, moved = secrets.squeezed("." * 2_000, parts)
+    assert moved == [(0, 1, "weak_id"), (6, 7, "assign"), (6, 7, "hex"), (17, 18, "endpoint")] and len(short) == 88
+    # only the parts between the secret and the endpoint make them far from each other
+    ids = " ".join(f"user_name: {'n' * 60}{i}" for i in range(10))
+    assert "endpoint" in kinds(f"x9Kq2LmZ8vT4bN7cR1pW {ids} https://api.example.org/v1")
+
+
+def test_names_of_identifiers_in_either_case():
+    for name in ("CLIENT_ID=", "DB_USERNAME=", "ACCESS_ID=", "Login: ", "Account: "):
+        assert kinds(f"{name}ada.b password = hunter2hunter2") == ["weak_id", "assign"], name
+    assert kinds("akia0123456789ab password = hunter2hunter2") == ["assign"]
