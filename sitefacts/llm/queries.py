@@ -8,9 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitefacts.llm import bit_sliced, exact_dedup, language_mixture, line_dedup, mixing, packing, pseudonyms, secrets, signature_tree, toxicity
+from sitefacts.llm import (
+    bit_sliced, exact_dedup, huffman_tokens, language_mixture, line_dedup, mixing, packing, pseudonyms, ranked_search, secrets, signature_tree,
+    spelling_variants, toxicity,
+)
+from sitefacts.plans.scratch import scratch_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -103,11 +108,49 @@ def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "text", n_dropped, "dropped")
 
 
+def op11_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked_search.top_documents(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
+
+
+def op12_huffman_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """The token files written, read again, and a digest of the ids of each document."""
+    folder = scratch_folder(spark, "huffman-tokens")
+    huffman_tokens.write_tokens(documents(spark, d), folder, BYTE_TOKENIZER)
+    found = huffman_tokens.read_tokens(spark, folder)
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op13_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling_variants.variant_groups(documents(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_pseudonyms, op6_toxicity, op7_exact_dedup, op8_mixing, op9_ngram_join, op10_line_dedup)
+    f.__name__: f
+    for f in (
+        op1_packing, op2_secrets, op3_language, op4_topk, op5_pseudonyms, op6_toxicity, op7_exact_dedup, op8_mixing, op9_ngram_join, op10_line_dedup,
+        op11_ranked_search, op12_huffman_tokens, op13_spelling_variants,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_ranked_search": r"""
+with d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as l from documents
+), q as (
+    select item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) as term from benchmark
+), totals as (select count(*) as docs, cast(sum(len(l)) as bigint) as terms from d where len(l) > 0),
+t as (select doc_id, len(l) as n, unnest(l) as term from d),
+tf as (select doc_id, n, term, count(*) as tf from t where term in (select term from q) group by all),
+df as (select term, count(*) as df from tf group by term),
+w as (select term, cast(floor(1000 * ln((2 * docs + 2) / cast(2 * df + 1 as double))) as bigint) as w from df, totals),
+s as (
+    select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) as bigint) as score
+    from q join tf using (term) join w using (term), totals group by item_id, doc_id
+), r as (select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank from s where score > 0)
+select item_id, rank, doc_id, score from r where rank <= 10
+""",
     "op9_ngram_join": r"""
 with recursive w as (
     select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
