@@ -19,6 +19,8 @@ Format, a folder of Parquet files, which every store that Spark writes to can ho
 from __future__ import annotations
 
 import functools
+import itertools
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,16 +39,26 @@ BLOCK_TOKENS = 1 << 18  # a block ends with the document that reaches this
 CACHED_PIECES = 500_000  # bounds a task's memory; the cache starts anew beyond it
 PIECES_AT_ONCE = 20_000
 
-# A piece starts at a space before one of these bytes: visible ASCII, or the first byte of a character that is no white
-# space (those beyond ASCII start with C2, E1, E2 or E3).
-STARTS_PIECE = np.array([0x21 <= b <= 0x7E or (b >= 0xC3 and b not in (0xE1, 0xE2, 0xE3)) for b in range(256)])
+# What may follow a space that begins a piece: visible ASCII, or the first byte of a character that is no white space
+# (those beyond ASCII start with C2, E1, E2 or E3).
+VISIBLE = np.array([0x21 <= b <= 0x7E or (b >= 0xC3 and b not in (0xE1, 0xE2, 0xE3)) for b in range(256)])
+ASCII_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
+ASCII_OTHER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
+ASCII_MARK = np.array([0x21 <= b <= 0x7E and not chr(b).isalpha() and b != 0x27 for b in range(256)])  # no letter, no apostrophe
+LATIN_END = np.array([0x80 <= b <= 0xBF and b not in (0x97, 0xB7) for b in range(256)])  # after C3: a letter, as these are the two signs
+
+# Byte-level vocabularies write visible bytes as their Latin-1 characters and the others as those from U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+SINGLE = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one unit to the tokenizer
 
 
 class PieceEncoder:
     """Token ids of texts, piece by piece, with the ids of recent pieces kept.
 
-    A byte-level tokenizer always begins a new unit at a space that is followed by something visible, so the ids of a
-    text are those of the pieces between such places in order.
+    A byte-level tokenizer always begins a new unit at a space that is followed by something visible, where letters
+    end, and where letters follow a digit or a mark other than an apostrophe; so the ids of a text are those of the
+    pieces between such places in order. Texts are cut at special tokens first.
     """
 
     def __init__(self, tokenizer_file: str, end_id: int):
@@ -54,9 +66,8 @@ class PieceEncoder:
 
         tokenizer = Tokenizer.from_file(tokenizer_file)
         self.encode = functools.partial(tokenizer.encode_batch_fast, add_special_tokens=False)
-        vocabulary = tokenizer.get_vocab()
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
-        self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.model = tokenizer.model
+        self.special = [token.content.encode() for token in tokenizer.get_added_tokens_decoder().values()]
         self.end_id = end_id
         self.clear()
 
@@ -66,25 +77,24 @@ class PieceEncoder:
         self.ids, self.used = np.full(1 << 16, self.end_id, np.uint32), 1
         self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
 
+    def ids_of(self, pieces: list[str]) -> list[list[int]]:
+        """Pieces of letters go to the vocabulary's merges directly, all others through the whole tokenizer."""
+        found: list = [None] * len(pieces)
+        for i, piece in enumerate(pieces):
+            if SINGLE.fullmatch(piece):
+                written = piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+                found[i] = [token.id for token in self.model.tokenize(written)]
+        others = [i for i, own in enumerate(found) if own is None]
+        for i, encoding in zip(others, self.encode([pieces[i] for i in others])):
+            found[i] = encoding.ids
+        return found
+
     def learn(self, pieces: list[str]) -> None:
-        """Encode new pieces; those of one space, at the start, are encoded as one text and told apart by their spaces."""
-        plain, odd = [], []
-        for piece in pieces:
-            (plain if piece[:1] == " " and len(piece.split()) == 1 and piece[1:].split() == [piece[1:]] else odd).append(piece)
-        found: list[tuple[list[str], np.ndarray, np.ndarray]] = []
-        for at in range(0, len(plain), PIECES_AT_ONCE):
-            some = plain[at : at + PIECES_AT_ONCE]
-            ids = np.array(self.encode(["".join(some)])[0].ids, np.uint32)
-            starts = np.flatnonzero(self.spaced[ids])
-            if len(starts) == len(some):
-                found.append((some, ids, np.diff(starts, append=len(ids))))
-            else:
-                odd += some
-        for at in range(0, len(odd), PIECES_AT_ONCE):
-            some = odd[at : at + PIECES_AT_ONCE]
-            ids = [e.ids for e in self.encode(some)]
-            found.append((some, np.array([i for own in ids for i in own], np.uint32), np.array([len(own) for own in ids], np.int64)))
-        for some, ids, sizes in found:
+        for at in range(0, len(pieces), PIECES_AT_ONCE):
+            some = pieces[at : at + PIECES_AT_ONCE]
+            found = self.ids_of(some)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
             if self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), np.uint32)])
             self.ids[self.used : self.used + len(ids)] = ids
@@ -93,14 +103,28 @@ class PieceEncoder:
             self.sizes = np.concatenate([self.sizes, sizes])
             self.used += len(ids)
 
+    def piece_starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The first byte of every piece; pieces end with their text."""
+        begins, after = np.zeros(len(data) + 1, bool), data[1:]
+        letter = ASCII_LETTER[data]
+        letter[1:] |= LATIN_END[after] & (data[:-1] == 0xC3)
+        begins[1:-1] = ((letter[:-1]) & ASCII_OTHER[after]) | (ASCII_MARK[data[:-1]] & ASCII_LETTER[after])
+        begins[: max(0, len(data) - 1)] |= (data[:-1] == 0x20) & VISIBLE[after]
+        for token in self.special:
+            whole = data.tobytes() if token[0] in data else b""
+            at = whole.find(token)
+            while at >= 0:
+                begins[max(0, at - 1) : at + len(token)] = False
+                begins[[at, at + len(token)]] = True
+                at = whole.find(token, at + len(token))
+        begins[offsets] = True
+        begins[-1] = False
+        return np.flatnonzero(begins)
+
     def pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The pieces of all texts in order, by number, and how many each text has."""
         data, offsets = utf8(texts)
-        begins = np.zeros(len(data) + 1, bool)
-        begins[:-1][:-1] = (data[:-1] == 0x20) & STARTS_PIECE[data[1:]]
-        begins[offsets] = True
-        begins[-1] = False
-        firsts = np.flatnonzero(begins)
+        firsts = self.piece_starts(data, offsets)
         places = np.append(firsts, len(data)).astype(np.int32)
         found = pa.Array.from_buffers(pa.string(), len(firsts), [None, pa.py_buffer(places), pa.py_buffer(data)])
         coded = pc.dictionary_encode(found)
