@@ -1,16 +1,18 @@
 """Groups of spelling variants by a dictionary of trie-node pairs.
 
 All beginnings of words are nodes of a forward trie, all endings nodes of a trie over the reversed words; nodes are
-numbered. A word cut before position i is the pair (node of what is before, node of the rest), and with position i
-left out the pair (node before, node after). Two words that differ in one replaced character have a pair with the same
-position left out in common; a word that has one character more than another gives, with it left out, a pair that cuts
-the other word. Joins on these integer pairs therefore find exactly the words one edit apart, without spelling out
-edited words. Only rows that are linear in the words are shuffled: a group of replacements passes on its two most
-frequent words and its size instead of its pairs.
+numbered along the sorted words. A word cut before position i is the pair (node of what is before, node of the rest),
+and with position i left out the pair (node before, node after). Two words that differ in one replaced character have a
+pair with the same position left out in common; a word that has one character more than another gives, with it left
+out, a pair that cuts the other word. Rows that meet in one of these integer pairs therefore are exactly the words one
+edit apart, without spelling out edited words. Words are numbered in the order in which they are preferred as forms, so
+the pairs carry one number for each word, and a group holds at most one word for each character and the word they
+all come from.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitefacts.llm.batches import ragged, text_chunks, utf8
+from sitefacts.llm.batches import lists, ragged, text_chunks, utf8
 from sitefacts.plans.scratch import staged
 
 LEAST_LENGTH, LEAST_COUNT = 7, 2  # of a word, in characters, and of its occurrences
@@ -73,6 +75,7 @@ def words_of(ids: pa.Array, texts: pa.Array, thinned: int) -> pa.Array:
     row = np.searchsorted(offsets, starts, side="right") - 1
     hashes = checksums(crc[row], data, starts, ends - starts) ^ np.uint32(0xFFFFFFFF)
     # The byte where each character starts, for runs that lose one.
+    hashes = hashes.astype(np.int64)
     cut = np.flatnonzero(hashes % thinned == 0)
     heads = inside & (data & 0xC0 != 0x80)
     before = np.concatenate([[0], np.cumsum(heads)])
@@ -101,54 +104,126 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, least_length: int,
     return texts.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def trie_nodes(words: DataFrame, part: Column, name: str) -> DataFrame:
-    """``(w, at, node)``: the number of the trie node that ``part`` of each word, up to or from position ``at``, ends in."""
-    parts = words.select("w", F.explode(F.sequence(F.lit(0), F.char_length("word"))).alias("at"), "word").select("w", "at", part.alias("part"))
-    numbered = staged(parts.select("part").distinct().withColumn("node", F.monotonically_increasing_id()), f"{name}-trie")
-    return parts.join(numbered, "part").select("w", "at", "node")
+PART_BITS = 40  # of a node number; those above say which part of the sorted words it comes from
 
 
-def node_pairs(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(p, s, w)`` of all cuts of the words, and ``(p, s, w, n, word, first)`` with each position left out.
+def common_beginning(a: str, b: str) -> int:
+    n, i = min(len(a), len(b)), 0
+    while i < n and a[i] == b[i]:
+        i += 1
+    return i
 
-    ``first`` says that the character left out is not the same as the one before it. Of a run of equal characters only
-    the first counts as an insertion, as leaving out any of them gives the same word.
-    """
-    before = trie_nodes(words, F.expr("left(word, at)"), "forward").withColumnRenamed("node", "p")
-    after = trie_nodes(words, F.expr("substring(word, at + 1)"), "reversed").withColumnRenamed("node", "s")
-    both = before.join(after, ["w", "at"])
-    cuts = both.select("p", "s", "w")
-    following = after.select("w", (F.col("at") - 1).alias("at"), "s")
-    same = F.expr("substring(word, at + 1, 1) = substring(word, at, 1)")
-    skips = before.join(following, ["w", "at"]).join(words, "w")
-    return cuts, skips.select("p", "s", "w", "n", "word", ((F.col("at") == 0) | ~same).alias("first"))
 
+def trie_numbers(words: DataFrame, spelling: Column, name: str) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """``(w, nodes)``: the nodes on each word's way through the trie of the spellings, root first; and node aliases.
+
+    Along sorted words the nodes of a word are those it shares with the word before and new ones from there on. A task
+    numbers the nodes of its part of the order. Where a part begins with what the part before ended with, its first
+    nodes are aliases of nodes there: a few for each part.
+    """
 
-def best_first(n: str = "n", word: str = "word") -> Column:
-    """The order in which words are preferred as forms: most frequent first, then by spelling."""
-    return F.struct((-F.col(n)).alias("minus_n"), F.col(word).alias("word"))
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, way, used, nth = "", [], 0, 0
+        for batch in batches:
+            ways, base = [], batch.column("part")[0].as_py() << PART_BITS if batch.num_rows else 0
+            for word in batch.column("spelling").to_pylist():
+                shared = common_beginning(before, word) + 1 if way else 0
+                way = way[:shared] + list(range(base + used, base + used + len(word) + 1 - shared))
+                used += len(word) + 1 - shared
+                before = word
+                ways.append(way)
+            flat = pa.array(np.fromiter(itertools.chain.from_iterable(ways), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("w"), batch.column("part"), pa.array(np.arange(nth, nth + len(ways))), batch.column("spelling"), lists(flat, np.array([len(x) for x in ways], np.int64))],
+                names=["w", "part", "nth", "spelling", "nodes"],
+            )
+            nth += len(ways)
+
+    in_order = words.select("w", spelling.alias("spelling")).repartitionByRange("spelling").sortWithinPartitions("spelling")
+    parts = in_order.select("w", "spelling", F.spark_partition_id().alias("part"))
+    found = staged(parts.mapInArrow(number, "w bigint, part int, nth bigint, spelling string, nodes array<bigint>"), f"{name}-trie")
+    ends = found.groupBy("part").agg(F.min_by("spelling", "nth").alias("first"), F.max_by(F.struct("spelling", "nodes"), "nth").alias("last"))
+    aliases: dict[int, int] = {}
+    before = None
+    for row in ends.orderBy("part").collect():  # one for each task
+        if before:
+            for i in range(common_beginning(before["spelling"], row["first"]) + 1):
+                aliases[(row["part"] << PART_BITS) + i] = aliases.get(before["nodes"][i], before["nodes"][i])
+        before = row["last"]
+    return found.select("w", "nodes"), (np.array(list(aliases), np.int64), np.array(list(aliases.values()), np.int64))
+
+
+def resolved(nodes: np.ndarray, aliases: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    names, values = aliases  # names rise, as parts and depths do
+    if not len(names):
+        return nodes
+    at = np.minimum(np.searchsorted(names, nodes), len(names) - 1)
+    return np.where(names[at] == nodes, values[at], nodes)
+
+
+CUT, SKIP, FIRST_SKIP = 0, 1, 2  # FIRST_SKIP: the character left out differs from the one before it
+
+
+def node_pairs(words: DataFrame) -> DataFrame:
+    """``(p, s, v)``: the cuts of all words and the pairs with a position left out; ``v`` is 4 * w + kind.
+
+    Of a run of equal characters only the first counts as an insertion, as leaving out any of them gives the same word.
+    """
+    before, before_aliases = trie_numbers(words, F.col("word"), "forward")
+    after, after_aliases = trie_numbers(words, F.reverse("word"), "reversed")
+    held = words.sparkSession.sparkContext.broadcast((before_aliases, after_aliases))  # the depth of a shared node at most, for each task
+    both = words.select("w", "word").join(before.withColumnRenamed("nodes", "p"), "w").join(after.withColumnRenamed("nodes", "s"), "w")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forward, reversed_ = held.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            p = resolved(batch.column("p").flatten().to_numpy(), forward)
+            s = resolved(batch.column("s").flatten().to_numpy(), reversed_)
+            w, words = batch.column("w").to_numpy(), batch.column("word")
+            sizes = pc.utf8_length(words).to_numpy().astype(np.int64)
+            base = np.cumsum(sizes + 1) - (sizes + 1)  # of a word's nodes, one more than its characters
+            letters = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), "<u4")
+            changes = np.concatenate([[True], letters[1:] != letters[:-1]])
+            changes[np.cumsum(sizes) - sizes] = True
+            cut, skip = ragged(base, sizes + 1), ragged(base, sizes)
+            last = base + sizes
+            row_cut, row_skip = np.repeat(np.arange(len(w)), sizes + 1), np.repeat(np.arange(len(w)), sizes)
+            found = [
+                np.concatenate([p[cut], p[skip]]),
+                np.concatenate([s[base[row_cut] + last[row_cut] - cut], s[base[row_skip] + last[row_skip] - 1 - skip]]),
+                np.concatenate([4 * w[row_cut] + CUT, 4 * w[row_skip] + np.where(changes, FIRST_SKIP, SKIP)]),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], names=["p", "s", "v"])
+
+    return both.mapInArrow(pairs, "p bigint, s bigint, v bigint")
 
 
 def neighbours(words: DataFrame) -> DataFrame:
-    """``(w, n_near, best)``: how many words are one edit from each that has any, and the first of them in preference."""
-    cuts, skips = node_pairs(words)
-    skips = staged(skips, "variant-skips")
-    # Replacements: a word meets each of its neighbours in exactly one group; a group has one word for each character.
-    ranked = skips.select("p", "s", best_first().alias("best"))
-    groups = ranked.groupBy("p", "s").agg(F.count(F.lit(1)).alias("size"), F.min("best").alias("one")).where("size > 1")
-    others = ranked.join(groups, ["p", "s"]).where(F.col("best") != F.col("one")).groupBy("p", "s").agg(F.min("best").alias("two"))
-    tops = groups.join(others, ["p", "s"])
-    replaced = skips.join(tops, ["p", "s"]).select(
-        "w", (F.col("size") - 1).alias("near"), F.when(F.col("one") == best_first(), F.col("two")).otherwise(F.col("one")).alias("best")
+    """``(w, n_near, best)``: how many words are one edit from each that has any, and the first of them in preference.
+
+    A word meets each neighbour by a replaced character in exactly one group of words with a position left out, and one
+    with an inserted or deleted character in the one group of the shorter word's cut.
+    """
+    groups = node_pairs(words).groupBy("p", "s").agg(F.sort_array(F.collect_list("v")).alias("vs")).where(F.size("vs") > 1)
+    number = lambda v: F.shiftright(v, 2)
+    kind = lambda v: v.bitwiseAND(F.lit(3))
+    split = groups.select(
+        F.transform(F.filter("vs", lambda v: kind(v) != CUT), number).alias("skips"),
+        F.transform(F.filter("vs", lambda v: kind(v) == FIRST_SKIP), number).alias("firsts"),
+        F.get(F.transform(F.filter("vs", lambda v: kind(v) == CUT), number), F.lit(0)).alias("cut"),
     )
-    # Insertions: the longer word with a position left out is the shorter one, cut there.
-    inserted = skips.where("first").select("p", "s", F.col("w").alias("long"), best_first().alias("long_best"))
-    short = words.select(F.col("w").alias("short"), best_first().alias("short_best"))
-    links = inserted.join(cuts.withColumnRenamed("w", "short"), ["p", "s"]).join(short, "short")
-    links = links.select(
-        F.explode(F.array(F.struct(F.col("long").alias("w"), F.col("short_best").alias("best")), F.struct(F.col("short").alias("w"), F.col("long_best").alias("best")))).alias("e")
-    ).select("e.w", F.lit(1).cast("bigint").alias("near"), "e.best")
-    return replaced.unionByName(links).groupBy("w").agg(F.sum("near").alias("n_near"), F.min("best").alias("best"))
+
+    def link(w: Column, near: Column, best: Column) -> Column:
+        return F.struct(w.alias("w"), near.cast("bigint").alias("near"), best.alias("best"))
+
+    one, two, none = F.get("skips", F.lit(0)), F.get("skips", F.lit(1)), F.array().cast("array<struct<w:bigint,near:bigint,best:bigint>>")
+    replaced = F.when(F.size("skips") > 1, F.transform("skips", lambda w: link(w, F.size("skips") - 1, F.when(w == one, two).otherwise(one))))
+    longer = F.when(F.col("cut").isNotNull(), F.transform("firsts", lambda w: link(w, F.lit(1), F.col("cut"))))
+    shorter = F.when(F.col("cut").isNotNull() & (F.size("firsts") > 0), F.array(link(F.col("cut"), F.size("firsts"), F.get("firsts", F.lit(0)))))
+    links = split.select(F.inline(F.concat(*[F.coalesce(x, none) for x in (replaced, longer, shorter)])))
+    return links.groupBy("w").agg(F.sum("near").alias("n_near"), F.min("best").alias("best"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -188,13 +263,14 @@ def variant_groups(
     grouped or joined are rows for a position of a distinct word, and a group has at most one word for a character.
     """
     counts = word_counts(docs, id_col, text_col, least_length, thinned).where(F.col("n") >= least_count)
-    words = staged(counts.withColumn("w", F.monotonically_increasing_id()), "variant-words")
-    near = neighbours(words).withColumn("near_n", -F.col("best.minus_n"))
+    preferred = counts.select("word", "n", (-F.col("n")).alias("order")).repartitionByRange("order", "word").sortWithinPartitions("order", "word")
+    words = staged(preferred.select(F.monotonically_increasing_id().alias("w"), "word", "n"), "variant-words")
+    near = neighbours(words).join(words.select(F.col("w").alias("best"), F.col("word").alias("near_word"), F.col("n").alias("near_n")), "best")
     found = words.join(near, "w", "left")
     frequent = F.col("near_n") >= factor * F.col("n")
     found = found.select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"),
-        F.when(frequent, F.col("best.word")).alias("form"), F.when(frequent, F.col("near_n")).alias("form_n"),
+        F.when(frequent, F.col("near_word")).alias("form"), F.when(frequent, F.col("near_n")).alias("form_n"),
     )
     found = staged(found, "variant-forms")
     ends = roots(found.where("form is not null"))
