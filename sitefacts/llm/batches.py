@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,3 +46,11 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
     """A list column from its flat values and the length of each list."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
+
+
+def unused(name: str, taken: Iterable[str]) -> str:
+    """A column name that is not taken, whatever the case of its letters."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name

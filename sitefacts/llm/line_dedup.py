@@ -1,12 +1,13 @@
 """Fuzzy line deduplication by MinHash, in DataFrame functions only.
 
-Lines are sets of character shingles. MinHash signatures are cut into bands; lines that agree in a band are candidates,
-whose Jaccard similarity is then computed exactly. Distributed union-find joins linked lines to components, and the
-first line of each component stays.
+Equal lines are merged; the distinct ones are sets of character shingles. MinHash values are cut into bands; lines that
+agree in most values of a band are candidates, whose Jaccard similarity is then computed exactly. Distributed union-find
+joins linked lines to components, and the first line of each component stays.
 """
 
 from __future__ import annotations
 
+import itertools
 import random
 
 from pyspark.sql import Column, DataFrame
@@ -14,22 +15,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sitefacts.functions.common import bind
+from sitefacts.llm.batches import unused
 from sitefacts.llm.components import connected
 from sitefacts.plans.scratch import staged
 
 SHINGLE = 10  # characters
 PERCENT = 80  # least similarity
-BANDS, BAND_ROWS = 8, 3  # a pair at 80 % is a candidate with probability 1 - (1 - 0.8**3)**8 = 99.7 %
+# A band has one MinHash value more than a pair must share in it: with three bands of four values a pair at 80 % has three
+# equal values in some band with probability 1 - (1 - 4 * 0.8**3 * 0.2 - 0.8**4)**3 = 99.4 %.
+BANDS, BAND_ROWS = 3, 3
 FIRST_CENTRES, MORE_CENTRES = 1, 4
-AGREEMENT = 10 / 24  # share of equal MinHash values a compared pair of long lines needs; a pair at 80 % has fewer once in 150,000
-SHORT = 128  # characters of a line, about 20 words, up to which every candidate is compared whatever its signature
-BITMAP_BITS = 1 << 23  # of the filter of wanted lines: 256 bitmaps of 4 KB, whatever the input
+AT_ONCE = 4  # shingles of a line that one row holds on the way to its signature
+BITMAP_BITS = 1 << 27  # most bits of the filter of wanted lines, 16 MB; 16 for each wanted line, if that is less
+
+
+def shingle(units: Column, at: Column, size: int) -> Column:
+    """A 64-bit hash of the shingle at a position of a line that is encoded in units of four bytes."""
+    return F.xxhash64(F.substring(units, at * 4 + 1, F.lit(4 * size)))
+
+
+def last_shingle(units: Column, size: int) -> Column:
+    """The position of the last shingle. A line shorter than a shingle is its own only one."""
+    return F.greatest(F.shiftright(F.length(units), 2) - size, F.lit(0))
 
 
 def shingles(line: Column, size: int) -> Column:
-    """All character shingles of a line, or the line itself if it is shorter."""
-    found = F.regexp_extract_all(line, F.lit("(?s)(?=(.{%d}))" % size), F.lit(1))
-    return F.when(F.char_length(line) < size, F.array(line)).otherwise(found)
+    """The distinct character shingles of a line, as hashes."""
+
+    def of(units: Column) -> Column:
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), last_shingle(units, size)), lambda at: shingle(units, at, size)))
+
+    return bind(F.encode(line, "UTF-32"), of)
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -44,37 +60,52 @@ def lines_of(rows: DataFrame) -> DataFrame:
 
 
 def signatures(lines: DataFrame, size: int, hashes: int) -> DataFrame:
-    """MinHash values ``m0, m1, ...`` of each distinct line, and its number of shingles times its occurrences.
+    """MinHash values ``m0, m1, ...`` of each distinct line.
 
-    Signatures are made of all the shingles that the exact comparison uses, in every line. One hash of each is
-    computed; an exclusive-or and a product with random constants, modulo 2**32, give the permutations. Exclusive-or
-    alone leaves them dependent, which costs lines of few shingles their candidates. Partial aggregation merges the
-    repetitions of a line before any shuffle.
+    Lines are merged first, which deals them out by their names; all that follows stays in the tasks that this gives.
+    Signatures are made of all the shingles that the exact comparison uses, in every line, some shingles to a row. One
+    hash of each is computed; an exclusive-or and a product with random constants, modulo 2**32, give the permutations.
     """
     draw = random.Random(17)
-    low = (1 << 32) - 1
+    low = F.lit((1 << 32) - 1)
     draws = [(draw.randrange(1 << 32), draw.randrange(1, 1 << 31, 2)) for _ in range(hashes)]
-    grams = lines.select("k1", "k2", F.explode(shingles(F.col("line"), size)).alias("gram")).select("k1", "k2", F.hash("gram").cast("bigint").bitwiseAND(F.lit(low)).alias("h"))
-    moved = [(F.col("h").bitwiseXOR(F.lit(mask)) * F.lit(odd).cast("bigint")).bitwiseAND(F.lit(low)) for mask, odd in draws]
-    mins = [F.min(m).alias(f"m{i}") for i, m in enumerate(moved)]
-    return grams.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("weight"), *mins)
+    distinct = lines.groupBy("k1", "k2").agg(F.first("line").alias("line"))
+    encoded = distinct.select("k1", "k2", F.encode("line", "UTF-32").alias("units"))
+    spread = encoded.withColumn("last", last_shingle(F.col("units"), size)).withColumn("at", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(AT_ONCE))))
+    some = [shingle(F.col("units"), F.least(F.col("at") + j, F.col("last")), size).bitwiseAND(low).alias(f"h{j}") for j in range(AT_ONCE)]
+    hashed = spread.select("k1", "k2", *some)
+
+    def permuted(mask: int, odd: int) -> list[Column]:
+        return [(F.col(f"h{j}").bitwiseXOR(F.lit(mask)) * F.lit(odd).cast("bigint")).bitwiseAND(low) for j in range(AT_ONCE)]
+
+    return hashed.groupBy("k1", "k2").agg(*[F.min(F.least(*permuted(*d))).alias(f"m{i}") for i, d in enumerate(draws)])
 
 
 def bucket_members(lines: DataFrame, size: int, bands: int, band_rows: int) -> DataFrame:
-    """``(bucket, k1, rank)`` of the buckets with several lines; the heaviest line of a bucket has rank 1."""
-    signed = signatures(lines, size, bands * band_rows)
-    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * band_rows + i}") for i in range(band_rows)]) for b in range(bands)]
-    placed = signed.select("k1", "weight", F.explode(F.array(*keys)).alias("bucket"))
-    within = Window.partitionBy("bucket").orderBy(F.desc("weight"), F.asc("k1"))
+    """``(bucket, k1, rank)`` of the buckets with several lines, numbered from 1 within each.
+
+    A line is in one bucket for every choice of ``band_rows`` of the ``band_rows + 1`` values of a band.
+    """
+    values = band_rows + 1
+    signed = signatures(lines, size, bands * values)
+    chosen = [(b, c) for b in range(bands) for c in itertools.combinations(range(values), band_rows)]
+    keys = [F.xxhash64(F.lit(k), *[F.col(f"m{b * values + i}") for i in c]) for k, (b, c) in enumerate(chosen)]
+    placed = signed.select("k1", F.explode(F.array(*keys)).alias("bucket"))
+    within = Window.partitionBy("bucket").orderBy("k1")
     ranked = placed.withColumn("rank", F.row_number().over(within)).withColumn("next", F.lead("k1").over(within))
     return ranked.where("rank > 1 or next is not null").select("bucket", "k1", "rank")
 
 
-def wanted_lines(lines: DataFrame, wanted: DataFrame, bits: int, size: int, hashes: int) -> DataFrame:
-    """The distinct lines ``(k1, line, mins)`` among ``wanted (k1)``, with their MinHash values.
+def wanted_lines(lines: DataFrame, wanted: DataFrame, most_bits: int) -> DataFrame:
+    """The distinct lines ``(k1, line)`` among ``wanted (k1)``.
 
-    A bitmap of hashed names, of fixed size, keeps most other lines out of the shuffle; the join decides.
+    A bitmap of hashed names keeps most other lines out of the shuffle; the join decides. Beyond ``most_bits`` it only
+    lets more lines through.
     """
+    bits = 1 << 15
+    needed = 16 * wanted.count()
+    while bits < min(needed, most_bits):
+        bits *= 2
     place = F.pmod("k1", F.lit(bits)).cast("bigint")
     maps = wanted.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("part")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("map")
@@ -83,41 +114,32 @@ def wanted_lines(lines: DataFrame, wanted: DataFrame, bits: int, size: int, hash
     byte = F.conv(F.hex(F.expr("substring(map, cast(bitmap_bit_position(place) div 8 + 1 as int), 1)")), 16, 10).cast("int")
     bit = F.expr("cast(bitmap_bit_position(place) % 8 as int)")
     likely = marked.join(F.broadcast(maps), "part").where(F.call_function("shiftright", byte, bit).bitwiseAND(F.lit(1)) == 1)
-    found = likely.select("k1", "k2", "line").dropDuplicates(["k1", "k2"])
-    found = staged(found.join(wanted, "k1", "left_semi"), "line-found")
-    signed = signatures(found, size, hashes).select("k1", "k2", F.array(*[f"m{i}" for i in range(hashes)]).alias("mins"))
-    return found.join(signed, ["k1", "k2"]).select("k1", "line", "mins")
-
+    found = likely.groupBy("k1", "k2").agg(F.first("line").alias("line"))
+    return found.join(wanted, "k1", "left_semi").select("k1", "line")
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, hashes: int, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose lines are similar enough.
 
-    Long lines whose signatures agree too little are not looked into; a pair with a short line always is.
-    """
-    signs = texts.select("k1", "mins", F.char_length("line") <= SHORT)
-    signed = pairs.join(signs.toDF("a", "m", "s"), "a").join(signs.toDF("b", "n", "t"), "b")
-    agreed = sum((F.get("m", F.lit(i)) == F.get("n", F.lit(i))).cast("int") for i in range(hashes))
-    likely = signed.where((agreed >= least) | F.col("s") | F.col("t")).select("a", "b")
-    words = texts.select("k1", "line")
-    distinct = lambda line: F.array_distinct(shingles(F.col(line), size))
+def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose lines have at least ``percent`` per cent of their shingles in common."""
 
     def alike(x: Column, y: Column) -> Column:
-        return bind(F.size(F.array_intersect(x, y)), lambda both: both * 100 >= (F.size(x) + F.size(y) - both) * percent)
+        least, most = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
+        exact = bind(F.size(F.array_intersect(x, y)), lambda both: both * 100 >= (F.size(x) + F.size(y) - both) * percent)
+        return (least * 100 >= most * percent) & exact
 
-    similar = bind(distinct("x"), lambda x: bind(distinct("y"), lambda y: alike(x, y)))  # each set is made once
-    return likely.join(words.toDF("a", "x"), "a").join(words.toDF("b", "y"), "b").where(similar).select("a", "b")
+    similar = bind(shingles(F.col("x"), size), lambda x: bind(shingles(F.col("y"), size), lambda y: alike(x, y)))  # each set is made once
+    first, second = texts.toDF("a", "x"), texts.toDF("b", "y")
+    return pairs.join(first, "a").join(second, "b").where(similar).select("a", "b")
 
 
-def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows: int, bits: int, agreement: float) -> DataFrame:
+def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows: int, bits: int) -> DataFrame:
     """``(k1, root)`` of the distinct lines that are linked to others.
 
-    Each bucket compares all pairs of its lines that are not in one component, in rounds: the heaviest line with the
+    Each bucket compares all pairs of its lines that are not in one component, in rounds: the first line with the
     others, then the next three with those after them, and so on by fours. The lines of a large group join one
     component in the first rounds, so later rounds hold what differs only.
     """
-    hashes = bands * band_rows
     members = staged(bucket_members(lines, size, bands, band_rows), "line-buckets")
-    texts = staged(wanted_lines(lines, members.select("k1").distinct(), bits, size, hashes), "line-texts")
+    texts = staged(wanted_lines(lines, members.select("k1").distinct(), bits), "line-texts")
     links, roots = None, None
     low, high = 0, FIRST_CENTRES
     left = members.withColumn("root", F.col("k1"))
@@ -125,7 +147,7 @@ def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows:
         centres = left.where((F.col("rank") > low) & (F.col("rank") <= high)).select("bucket", F.col("k1").alias("a"), F.col("rank").alias("r"), F.col("root").alias("ra"))
         others = left.where(F.col("rank") > low + 1).select("bucket", F.col("k1").alias("b"), "rank", F.col("root").alias("rb"))
         pairs = others.join(centres, "bucket").where("rank > r and ra != rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = staged(verified(pairs, texts, size, percent, hashes, agreement * hashes), "line-links")
+        found = staged(verified(pairs, texts, size, percent), "line-links")
         links = found if links is None else links.unionByName(found)
         roots = connected(links, "line-components")
         labelled = members.join(roots.withColumnRenamed("node", "k1"), "k1", "left").withColumn("root", F.coalesce("root", "k1"))
@@ -146,7 +168,6 @@ def deduplicate(
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
     bits: int = BITMAP_BITS,
-    agreement: float = AGREEMENT,
 ) -> DataFrame:
     """All columns of ``docs`` with repeated lines taken out of ``text_col``, and ``dropped``, their positions.
 
@@ -154,21 +175,23 @@ def deduplicate(
     stay. Equal lines, and lines whose shingle sets have at least ``percent`` per cent in common, are linked. Of a
     component the line of the smallest ``(id, row, position)`` stays; null ids come first. Repeated rows are documents
     of their own. A null text stays null, an empty one empty; a text may become empty. A line shorter than a shingle
-    is its own only shingle. ``docs`` must give the same rows in the same partitions when it is read again, as a table
+    is its own only shingle. Pairs at ``percent`` meet by their signatures with the probability stated above for 80, pairs
+    that are more alike more often; whatever their length, all that meet are compared in full. ``docs`` must give the same rows in the same partitions when it is read again, as a table
     in files does; ``dropped`` replaces a column of that name.
     """
     lines = lines_of(numbered(docs, id_col, text_col))
-    roots = line_links(lines, size, percent, bands, band_rows, bits, agreement)
+    roots = line_links(lines, size, percent, bands, band_rows, bits)
     places = staged(lines.select("id", "row", "pos", "k1", "k2"), "line-places")
     linked = places.join(roots, "k1", "left").select("id", "row", "pos", F.coalesce("root", "k1").alias("r1"), F.when(F.col("root").isNull(), F.col("k2")).otherwise(0).alias("r2"))
     here = F.struct("id", "row", "pos")
     firsts = linked.groupBy("r1", "r2").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     gone = linked.join(firsts.select("r1", "r2", F.col("first.row").alias("fr"), F.col("first.pos").alias("fp")), ["r1", "r2"])
-    gone = gone.where("row != fr or pos != fp").groupBy("row").agg(F.sort_array(F.collect_list("pos")).alias("__gone"))
+    gone = gone.where("row != fr or pos != fp").groupBy("row").agg(F.sort_array(F.collect_list("pos")).alias("gone"))
 
-    whole = docs.drop("dropped").withColumn("__row", F.monotonically_increasing_id())
-    joined = whole.join(gone.withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
+    row, positions = unused("line_row", docs.columns), unused("line_gone", docs.columns)
+    whole = docs.drop("dropped").withColumn(row, F.monotonically_increasing_id())
+    joined = whole.join(gone.toDF(row, positions), row, "left").drop(row)
     parts = F.split(F.col(text_col).cast("string"), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    return joined.withColumn(text_col, text).withColumn("dropped", F.coalesce("__gone", F.array().cast("array<int>"))).drop("__gone")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(positions))
+    text = F.when(F.col(positions).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
+    return joined.withColumn(text_col, text).withColumn("dropped", F.coalesce(positions, F.array().cast("array<int>"))).drop(positions)

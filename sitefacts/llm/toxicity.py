@@ -8,23 +8,26 @@ a logistic unit scores the window. A text is scored by its worst window; windows
 from __future__ import annotations
 
 import re
+import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitefacts.llm.batches import ragged, text_chunks
+from sitefacts.llm.batches import ragged, text_chunks, unused
+from sitefacts.plans.scratch import staged
 
 WINDOW, STRIDE = 64, 48  # words; neighbours share 16
 GRAM, BEGINNINGS = 4, (5, 6, 7, 8)  # characters
 LEAST_DOCS, LEAST_SHARE = 3, 0.006  # training documents that must hold a feature, so that none is learnt by heart
 KNOWN_WORDS = 200_000  # words a task keeps the features of; it starts anew beyond
 EMBEDDING, HIDDEN, ATTENTION = 12, 8, 6
-TRAINING_DOCS = 2000  # bound on the sampled documents of each label
-TRAINING_WINDOWS = 8  # bound on the windows of a training document, spread evenly over it
+TRAINING_DOCS, TRAINING_WORDS = 2000, 600_000  # bounds on the sampled documents of each label, and on their words
 EPOCHS, BATCH, RATE, DECAY = 6, 64, 0.01, 0.1
 THRESHOLD = 0.7
 SLICE = 512  # windows scored together
@@ -54,9 +57,7 @@ class Features:
         self.clear()
 
     def clear(self) -> None:
-        self.places: list[int] = []
-        self.weights: list[float] = []
-        self.sizes: list[int] = [0]
+        self.places, self.weights, self.sizes = array("q"), array("f"), array("q", [0])
         self.known: dict[str, int] = {}
 
     def number(self, word: str) -> int:
@@ -65,8 +66,8 @@ class Features:
             found = self.known[word] = len(self.sizes)
             names = features(word)
             own = [p for p in map(self.vocabulary.get, names) if p is not None]
-            self.places += own
-            self.weights += [1 / (len(names) - 1)] * len(own)
+            self.places.extend(own)
+            self.weights.extend([1 / (len(names) - 1)] * len(own))
             if own and names[0] in self.vocabulary:
                 self.weights[-len(own)] = 1.0
             self.sizes.append(len(own))
@@ -108,8 +109,11 @@ def initial(features: int, seed: int = 7) -> dict[str, np.ndarray]:
     return p
 
 
-def run_direction(inputs: np.ndarray, U: np.ndarray, keep: bool):
-    """States of a gated layer over ``inputs`` (time, windows, gates); with ``keep`` also what its gradient needs."""
+def run_direction(inputs: np.ndarray, U: np.ndarray, real: np.ndarray, keep: bool):
+    """States of a gated layer over ``inputs`` (time, windows, gates); with ``keep`` also what its gradient needs.
+
+    Where ``real`` (time, windows) is 0 the state is zero, so padding on either side of a window adds nothing.
+    """
     steps, n, _ = inputs.shape
     h = np.zeros((n, HIDDEN), np.float32)
     states, kept = np.empty((steps, n, HIDDEN), np.float32), []
@@ -125,7 +129,7 @@ def run_direction(inputs: np.ndarray, U: np.ndarray, keep: bool):
         candidate = np.tanh(inputs[t, :, 2 * HIDDEN :] + r * pre)
         if keep:
             kept.append((h, z, r, pre, candidate))
-        h = candidate + z * (h - candidate)
+        h = (candidate + z * (h - candidate)) * real[t][:, None]
         states[t] = h
     return states, kept
 
@@ -146,23 +150,24 @@ def gate_inputs(x: np.ndarray, p: dict[str, np.ndarray]) -> tuple[np.ndarray, np
 
 def forward(numbers: np.ndarray, inputs: tuple[np.ndarray, np.ndarray], p: dict[str, np.ndarray], keep: bool = False):
     """Scores of windows of word numbers (time, windows); padding is 0 and always at the end."""
-    real = numbers > 0
-    real[0] = True  # an empty window attends to its padding
-    ahead, kept_f = run_direction(inputs[0][numbers], p["Uf"], keep)
-    back, kept_b = run_direction(inputs[1][numbers[::-1]], p["Ub"], keep)
+    real = (numbers > 0).astype(np.float32)
+    ahead, kept_f = run_direction(inputs[0][numbers], p["Uf"], real, keep)
+    back, kept_b = run_direction(inputs[1][numbers[::-1]], p["Ub"], real[::-1], keep)
     states = np.concatenate([ahead, back[::-1]], axis=2)
-    pool, weights, hidden = pooled(states, real, p)
+    attended = real > 0
+    attended[0] = True  # an empty window attends to its padding, whose state is zero
+    pool, weights, hidden = pooled(states, attended, p)
     scores = sigmoid(pool @ p["w"] + p["c"])
     return (scores, (states, kept_f, kept_b, pool, weights, hidden)) if keep else scores
 
 
-def back_direction(d_states: np.ndarray, kept, U: np.ndarray):
+def back_direction(d_states: np.ndarray, kept, U: np.ndarray, real: np.ndarray):
     """Gradients of the gate inputs and of the recurrent weights."""
     steps, n, _ = d_states.shape
     d_inputs, dU, dh = np.empty((steps, n, 3 * HIDDEN), np.float32), np.zeros_like(U), np.zeros((n, HIDDEN), np.float32)
     for t in reversed(range(steps)):
         h, z, r, pre, candidate = kept[t]
-        dh = dh + d_states[t]
+        dh = (dh + d_states[t]) * real[t][:, None]
         d_candidate = dh * (1 - z) * (1 - candidate * candidate)
         d_gates = d_inputs[t]
         d_gates[:, :HIDDEN] = dh * (h - candidate) * z * (1 - z)
@@ -190,9 +195,9 @@ def gradients(numbers: np.ndarray, x: np.ndarray, labels: np.ndarray, p: dict[st
     d_hidden = d_attention[:, :, None] * p["a"] * (1 - hidden * hidden)
     g["A"] = np.einsum("tnh,tna->ha", states, d_hidden)
     d_states = d_states + d_hidden @ p["A"].T
-    flat_x = np.zeros_like(x)
+    flat_x, real = np.zeros_like(x), (numbers > 0).astype(np.float32)
     for d, kept, own, order in (("f", kept_f, d_states[:, :, :HIDDEN], numbers), ("b", kept_b, d_states[::-1, :, HIDDEN:], numbers[::-1])):
-        d_inputs, g[f"U{d}"] = back_direction(own, kept, p[f"U{d}"])
+        d_inputs, g[f"U{d}"] = back_direction(own, kept, p[f"U{d}"], real if d == "f" else real[::-1])
         flat, places = d_inputs.reshape(-1, 3 * HIDDEN), order.ravel()
         sums = np.zeros((len(x), 3 * HIDDEN), np.float32)  # over the places of each distinct word
         by_word = np.argsort(places, kind="stable")
@@ -210,31 +215,63 @@ class Model:
     weights: dict[str, np.ndarray]
 
 
-def common_features(windows: list[list[str]], owners: np.ndarray) -> dict[str, int]:
-    """The features that enough documents hold, numbered in order."""
-    least = max(LEAST_DOCS, round(LEAST_SHARE * len(set(owners.tolist()))))
-    holders: dict[str, set[int]] = {}
-    for words, owner in zip(windows, owners.tolist()):
-        for word in set(words):
-            holders.setdefault(word, set()).add(owner)
-    by_feature: dict[str, set[int]] = {}
-    for word, docs in holders.items():
-        for name in features(word):
-            if len(seen := by_feature.setdefault(name, set())) < least:
-                seen |= docs
-    return {name: i for i, name in enumerate(sorted(n for n, docs in by_feature.items() if len(docs) >= least))}
+MARKS = 1 << 22  # sums of a first count of features by hash
+OWNERS_AT_ONCE = 200
 
 
-def train(windows: list[list[str]], labels: np.ndarray, owners: np.ndarray, seed: int = 7) -> Model:
-    """Fit the network by Adam on windows whose label is that of their document.
+def common_features(words: list[str], word: np.ndarray, owner: np.ndarray) -> dict[str, int]:
+    """The features that enough documents hold, numbered in order; ``(word, owner)`` are distinct, by owner.
 
-    After the first epoch only the best-scoring window of a toxic document counts, since it also has harmless ones.
+    A first pass adds up the holders of words by a hash of their features, which is never too low; only the features
+    that may be common by it are named and counted exactly, some documents at a time.
+    """
+    owners = int(owner[-1]) + 1 if len(owner) else 0
+    least = max(LEAST_DOCS, round(LEAST_SHARE * owners))
+    held, marks = np.bincount(word, minlength=len(words)), np.zeros(MARKS, np.int64)
+    for w, n in zip(words, held.tolist()):
+        for name in features(w):
+            marks[zlib.crc32(name.encode()) % MARKS] += n
+    numbers: dict[str, int] = {}
+    own, sizes = array("q"), array("q")
+    for w in words:
+        likely = [numbers.setdefault(name, len(numbers)) for name in features(w) if marks[zlib.crc32(name.encode()) % MARKS] >= least]
+        own.extend(likely)
+        sizes.append(len(likely))
+    own, sizes, holders = np.array(own, np.int64), np.array(sizes, np.int64), np.zeros(len(numbers), np.int64)
+    starts = np.cumsum(sizes) - sizes
+    for first in range(0, owners, OWNERS_AT_ONCE):
+        low, high = np.searchsorted(owner, [first, first + OWNERS_AT_ONCE])
+        some = word[low:high]
+        pairs = np.repeat(owner[low:high], sizes[some]) * len(numbers) + own[ragged(starts[some], sizes[some])]
+        holders += np.bincount(np.unique(pairs) % len(numbers), minlength=len(numbers)) if len(pairs) else 0
+    return {name: i for i, name in enumerate(sorted(n for n, i in numbers.items() if holders[i] >= least))}
+
+
+def train(texts: list[str], text_labels: np.ndarray, seed: int = 7) -> Model:
+    """Fit the network by Adam on all windows of some texts, whose label is that of their text.
+
+    After the first epoch only the best-scoring window of a toxic text counts, since it also has harmless ones.
     """
-    vocabulary = common_features(windows, owners)
+    lengths, spelt, own = [], {}, array("q")  # words are numbered text by text, so no text is held as a list of words
+    for text in texts:
+        found = words_of(text)
+        own.extend([spelt.setdefault(w, len(spelt)) for w in found])
+        lengths.append(len(found))
+    flat, lengths, words = np.array(own, np.int64), np.array(lengths, np.int64), list(spelt)
+    pairs = np.unique(np.repeat(np.arange(len(texts)), lengths) * max(1, len(words)) + flat)
+    vocabulary = common_features(words, pairs % max(1, len(words)), pairs // max(1, len(words)))
     known, p, rng = Features(vocabulary), initial(len(vocabulary), seed), np.random.default_rng(seed)
-    numbers = np.zeros((WINDOW, len(windows)), np.int64)
-    for i, words in enumerate(windows):
-        numbers[: len(words), i] = [known.number(w) for w in words]
+    for w in words:
+        known.number(w)  # in order: from 1 on
+    counts = np.array([len(window_starts(n)) for n in lengths.tolist()], np.int64)
+    owners = np.repeat(np.arange(len(texts)), counts)
+    nth = np.arange(len(owners)) - np.repeat(np.cumsum(counts) - counts, counts)
+    begin = (np.cumsum(lengths) - lengths)[owners] + nth * STRIDE
+    at = np.arange(WINDOW)[:, None] + begin
+    inside = at < np.cumsum(lengths)[owners]
+    numbers = np.zeros((WINDOW, len(owners)), np.int32)
+    numbers[inside] = flat[at[inside]] + 1
+    labels = np.asarray(text_labels, np.float32)[owners]
     if len(set(labels.tolist())) < 2:
         p["w"][:] = 0
         p["c"][:] = 4.0 if labels.max(initial=0) else -4.0
@@ -244,11 +281,11 @@ def train(windows: list[list[str]], labels: np.ndarray, owners: np.ndarray, seed
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
     for epoch in range(EPOCHS):
-        chosen = np.arange(len(windows))
+        chosen = np.arange(len(owners))
         if epoch:
             inputs = gate_inputs(vectors(p["E"], known), p)
-            now = np.concatenate([forward(numbers[:, i : i + 512], inputs, p) for i in range(0, len(windows), 512)])
-            best = np.full(owners.max() + 1, -1.0)
+            now = np.concatenate([forward(numbers[:, i : i + 512], inputs, p) for i in range(0, len(owners), 512)])
+            best = np.full(len(texts), -1.0)
             np.maximum.at(best, owners, now)
             chosen = np.flatnonzero((labels == 0) | (now >= best[owners]))
         rng.shuffle(chosen)
@@ -281,40 +318,36 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     training_docs: int = TRAINING_DOCS,
-    training_windows: int = TRAINING_WINDOWS,
+    training_words: int = TRAINING_WORDS,
 ) -> Model:
     """Train on a bounded sample of labelled documents, balanced between the labels.
 
-    Of each label the ``training_docs`` ids with the smallest hash are taken, and of each of their texts up to
-    ``training_windows`` windows spread evenly over it. Both bounds are parameters; nothing else of the labels is
-    used. An id labelled more than once counts as toxic if any label does; null labels and ids are left out. Without
-    two labels the network is constant.
+    Of each label the ``training_docs`` ids with the smallest hash are candidates; of these, in that order, whole
+    documents are taken while their words add up to no more than ``training_words``, and longer ones passed over. Both
+    bounds are parameters; nothing else of the labels is used. All windows of the taken documents are read. An id
+    labelled more than once counts as toxic if any label does; null labels and ids are left out; of repeated rows each
+    counts. Without two labels the network is constant.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
     ranked = known.withColumn("draw", F.xxhash64("id", F.lit("toxicity sample")))
     sample = ranked.where("label = 0").orderBy("draw", "id").limit(training_docs)
     sample = sample.unionByName(ranked.where("label = 1").orderBy("draw", "id").limit(training_docs))
-    chosen = {r["id"]: r["label"] for r in sample.collect()}  # at most twice training_docs
-    wanted = docs.sparkSession.createDataFrame(list(chosen.items()), f"id {docs.schema[id_col].dataType.simpleString()}, label int")
+    chosen = [(r["id"], r["label"], r["draw"]) for r in sample.collect()]  # at most twice training_docs
+    wanted = docs.sparkSession.createDataFrame(chosen, f"id {docs.schema[id_col].dataType.simpleString()}, label int, draw bigint")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(wanted), "id")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
-            rows = []
-            for doc, text, label in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "label"))):
-                words = words_of(text)
-                starts = window_starts(len(words))
-                picks = np.unique(np.linspace(0, len(starts) - 1, min(len(starts), training_windows)).round().astype(int))
-                rows += [(str(doc), label, " ".join(words[starts[i] : starts[i] + WINDOW])) for i in picks]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string()))],
-                names=["id", "label", "words"],
-            )
+            sizes = pa.array([len(words_of(t)) for t in batch.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("label", "draw", "text")), sizes], names=["label", "draw", "text", "words"])
 
-    found = sorted(tuple(r) for r in texts.mapInArrow(cut, "id string, label int, words string").collect())
-    owners = np.unique([r[0] for r in found], return_inverse=True)[1] if found else np.zeros(0, np.int64)
-    return train([r[2].split() for r in found], np.array([r[1] for r in found], np.float32), owners)
+    found = staged(texts.mapInArrow(count, "label int, draw bigint, text string, words bigint"), "toxicity-sample")
+    in_order = Window.partitionBy("label").orderBy("draw", "words", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
+    fitting = found.where(F.col("words") <= training_words).withColumn("sum", F.sum("words").over(in_order))
+    rows = fitting.where(F.col("sum") <= training_words).select("label", "draw", "words", "text").collect()
+    rows.sort(key=lambda r: (r["draw"], r["label"], r["words"], r["text"]))
+    return train([r["text"] for r in rows], np.array([r["label"] for r in rows], np.float32))
 
 
 class Scorer:
@@ -368,10 +401,10 @@ def score(
     1 from ``threshold`` on. Null and empty texts have one empty window. Null and repeated ids pass, each row gives one
     row; other columns are left out and no other column is read. Narrow; texts are handled whole, some at a time.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)  # as large as the words of the bounded training sample
+    held = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.weights))  # as large as the words of the bounded training sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worst_windows = Scorer(held.value)
+        worst_windows = Scorer(Model(*held.value))
         for batch in text_chunks(batches, limit=2 << 20):
             worst, number, counts = worst_windows(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -389,13 +422,19 @@ def score(
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose text scores below ``threshold``. Rows with a null text stay."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    scored = docs.withColumn("__text", F.col(text_col).cast("string"))
+    held = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.weights))
+    own = unused("scored_text", docs.columns)
+    scored = docs.withColumn(own, F.col(text_col).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worst_windows = Scorer(held.value)
-        for batch in text_chunks(batches, "__text", limit=2 << 20):
-            worst, _, _ = worst_windows(batch.column("__text").to_pylist())
-            yield batch.filter(pa.array(worst.astype(np.float64) < threshold)).drop_columns(["__text"])
+        worst_windows = Scorer(Model(*held.value))
+        for batch in batches:
+            missing = batch.column(own).is_null()
+            at = 0
+            for part in text_chunks(iter([batch]), own, limit=2 << 20):
+                worst, _, _ = worst_windows(part.column(own).to_pylist())
+                good = pa.array(worst.astype(np.float64) < threshold)
+                yield part.filter(pc.or_(good, missing.slice(at, part.num_rows))).drop_columns([own])
+                at += part.num_rows
 
     return scored.mapInArrow(run, docs.schema)

@@ -117,3 +117,54 @@ def test_character_edits_of_short_lines_against_all_pairs(spark):
     rows = list(enumerate(lines))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
     assert sorted((r["doc_id"], r["text"], r["dropped"]) for r in ld.deduplicate(docs).collect()) == sorted(brute(rows))
+
+
+def test_hashed_shingles_are_those_of_the_line(spark):
+    from pyspark.sql import functions as F
+
+    lines = ["", "x", "abcdefghi", "abcdefghij", "abcdefghijk", "aaaaaaaaaaaaaaaaaaaa", "漢字😀 and é, ñandú 日本語 text", "q" * 3000 + "r"]
+    rows = spark.createDataFrame([(i, t, list(grams(t))) for i, t in enumerate(lines)], "i int, line string, grams array<string>")
+    found = rows.select("i", F.sort_array(ld.shingles(F.col("line"), 10)).alias("found"), F.sort_array(F.transform("grams", lambda g: F.xxhash64(F.encode(g, "UTF-32")))).alias("wanted"))
+    assert all(r["found"] == r["wanted"] for r in found.collect())
+
+
+def pair_at(words, length, percent, draw):
+    """Two lines whose similarity is the least one that reaches the limit, by changing characters of the first."""
+    line = ""
+    while len(line) < length:
+        line += draw.choice(words) + " "
+    line, other = line[:length].strip(), line[:length].strip()
+    while True:
+        at = draw.randrange(len(other))
+        changed = other[:at] + draw.choice("0123456789") + other[at + 1 :]
+        both = grams(line), grams(changed)
+        if 100 * len(both[0] & both[1]) < percent * len(both[0] | both[1]):
+            return line, other
+        other = changed
+
+
+@pytest.mark.parametrize("length", [60, 129, 350, 2000])
+def test_recall_of_pairs_near_the_limit(spark, length):
+    """Candidates among pairs just above 80 %, whatever the length of the lines; README has the figures."""
+    draw = random.Random(length)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=draw.randint(2, 7))) for _ in range(3000)]
+    pairs = [p for p in (pair_at(words, length, 80, draw) for _ in range(400)) if p[0] != p[1]]
+    lines = [(x, 2 * i + j) for i, p in enumerate(pairs) for j, x in enumerate(p)]
+    found = ld.bucket_members(spark.createDataFrame([(x, i, i) for x, i in lines], "line string, k1 bigint, k2 bigint"), 10, ld.BANDS, ld.BAND_ROWS)
+    met = {(a["k1"], b["k1"]) for own in _groups(found) for a in own for b in own if a["k1"] // 2 == b["k1"] // 2 and a["k1"] < b["k1"]}
+    assert len(met) / len(pairs) >= 0.97
+
+
+def _groups(members):
+    by_bucket = {}
+    for r in members.collect():
+        by_bucket.setdefault(r["bucket"], []).append(r)
+    return by_bucket.values()
+
+
+def test_one_line_of_most_rows_and_clashing_names(spark):
+    rows = [(i, f"the same line in every document of the table\nown line {i} {'z' * (i % 7)}{i * 7919}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as line_row", "2 as line_gone", "3 as dropped", "4 as k1", "5 as pos").coalesce(2)
+    found = ld.deduplicate(docs)
+    assert sorted((r["doc_id"], r["text"], r["dropped"]) for r in found.collect()) == sorted(brute(rows))
+    assert found.columns == ["doc_id", "text", "line_row", "line_gone", "k1", "pos", "dropped"]

@@ -67,10 +67,80 @@ def test_scores_do_not_depend_on_neighbours(fitted, monkeypatch):
     together, number, counts = tx.Scorer(model)(texts)
     for i, text in enumerate(texts):
         alone = tx.Scorer(model)([text])
-        assert np.allclose(together[i], alone[0][0], atol=1e-3) and counts[i] == len(tx.window_starts(len(tx.words_of(text))))
+        assert np.allclose(together[i], alone[0][0], atol=1e-5) and counts[i] == len(tx.window_starts(len(tx.words_of(text))))
     monkeypatch.setattr(tx, "KNOWN_WORDS", 1)
     scorer = tx.Scorer(model)
-    assert np.allclose(together, [scorer([t])[0][0] for t in texts], atol=1e-3)
+    assert np.allclose(together, [scorer([t])[0][0] for t in texts], atol=1e-5)
+
+
+def plain_score(model, text):
+    """The network written out word by word: the best of the windows, each read alone in both directions."""
+    p, words, out = {k: v.astype(np.float64) for k, v in model.weights.items()}, tx.words_of(text), []
+
+    def vector(word):
+        names = tx.features(word)
+        rows = [p["E"][model.vocabulary[n]] * (1 if n == names[0] else 1 / (len(names) - 1)) for n in names if n in model.vocabulary]
+        return np.sum(rows, axis=0) if rows else np.zeros(tx.EMBEDDING)
+
+    def read(vectors, d):
+        h, states = np.zeros(tx.HIDDEN), []
+        for x in vectors:
+            gates, recurrent = x @ p[f"W{d}"] + p[f"b{d}"], h @ p[f"U{d}"]
+            z, r = (1 / (1 + np.exp(-(gates + recurrent)[k * tx.HIDDEN : (k + 1) * tx.HIDDEN])) for k in (0, 1))
+            candidate = np.tanh(gates[2 * tx.HIDDEN :] + r * recurrent[2 * tx.HIDDEN :])
+            h = (1 - z) * candidate + z * h
+            states.append(h)
+        return states
+
+    for start in tx.window_starts(len(words)):
+        vectors = [vector(w) for w in words[start : start + tx.WINDOW]]
+        states = [np.concatenate(pair) for pair in zip(read(vectors, "f"), read(vectors[::-1], "b")[::-1])] or [np.zeros(2 * tx.HIDDEN)]
+        weights = np.exp([np.tanh(s @ p["A"]) @ p["a"] for s in states])
+        out.append(1 / (1 + np.exp(-(np.sum([w * s for w, s in zip(weights / weights.sum(), states)], axis=0) @ p["w"] + p["c"][0]))))
+    return max(out)
+
+
+def test_scores_equal_reading_word_by_word(fitted):
+    held, model = fitted
+    texts = [r["text"] for r in held.limit(12).collect()] + ["", "a", "idiot", "you pathetic moron, get lost", "é 日本 x1"]
+    assert np.allclose(tx.Scorer(model)(texts)[0], [plain_score(model, t) for t in texts], atol=1e-4)
+
+
+def test_common_features_are_those_that_enough_texts_hold():
+    rng = np.random.default_rng(3)
+    words = [f"{a}{b}" for a in ("ab", "abcd", "xyzuvw") for b in range(40)]
+    owner, word = np.array(sorted({(int(o), int(w)) for o, w in zip(rng.integers(0, 450, 3000), rng.integers(0, len(words), 3000))})).T
+    holders = {}
+    for o, w in zip(owner.tolist(), word.tolist()):
+        for name in tx.features(words[w]):
+            holders.setdefault(name, set()).add(o)
+    least = max(tx.LEAST_DOCS, round(tx.LEAST_SHARE * (owner[-1] + 1)))
+    expected = sorted(n for n, o in holders.items() if len(o) >= least)
+    assert tx.common_features(words, word, owner) == {n: i for i, n in enumerate(expected)}
+
+
+def test_sample_is_bounded_by_whole_documents(spark):
+    docs = spark.createDataFrame([(i, "word " * 100 + ("idiot" if i % 2 else "flower")) for i in range(40)] + [(99, "idiot " * 5000)], "doc_id bigint, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    taken = []
+    original = tx.train
+    tx.train = lambda texts, found, *a: (taken.append((texts, found)), original(texts, found, *a))[1]
+    try:
+        tx.fit(docs, labels, training_words=1010)
+    finally:
+        tx.train = original
+    texts, found = taken[0]
+    assert [sum(found == k) for k in (0, 1)] == [10, 10] and all(len(t.split()) == 101 for t in texts)
+
+
+def test_null_texts_stay_and_names_may_clash(spark, fitted):
+    _, model = fitted
+    rows = [(1, None, "a"), (2, "", "b"), (3, "idiot moron pathetic scum worthless", "c"), (4, "a quiet day by the sea", "d"), (4, "a quiet day by the sea", "d")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, scored_text string").selectExpr("*", "1 as score", "2 as id", "3 as label")
+    found = tx.without_toxic(docs, model)
+    assert found.columns == docs.columns and sorted(r["doc_id"] for r in found.collect()) == [1, 2, 4, 4]
+    all_toxic = tx.fit(docs, spark.createDataFrame([(i, 1) for i in (2, 3, 4)], "doc_id bigint, toxic int"))
+    assert [r["doc_id"] for r in tx.without_toxic(docs, all_toxic).collect()] == [1]
 
 
 def test_a_toxic_passage_anywhere_in_a_long_text_counts(fitted):
