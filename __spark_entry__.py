@@ -438,16 +438,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 QUERIES["profiles"] = profile_table
 
 
-# The language-model data operators are added only where their subpackage and the pipeline are present.
+# The language-model data operators are added only where their subpackage and the pipeline can be imported.
 ORACLES: dict[str, str] = {}
-if (HERE / "sitefacts/llm/queries.py").exists():
+try:
     from sitefacts.llm import queries as llm_queries
-
+except ImportError:
+    llm_queries = None
+if llm_queries:
     QUERIES.update(llm_queries.QUERIES)
     ORACLES.update(llm_queries.ORACLE_SQL)
-    if (HERE / "corpus_pipeline.py").exists():
+    try:
         import corpus_pipeline
-
+    except ImportError:
+        corpus_pipeline = None
+    if corpus_pipeline:
         QUERIES["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL:
             ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -467,6 +471,12 @@ def with_scratch(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[S
     return run
 
 
+def engine_queries() -> list[str]:
+    """Names of the queries that are not corpus operators."""
+    corpus = {*(llm_queries.QUERIES if llm_queries else ()), "pipeline"}
+    return sorted(set(QUERIES) - corpus)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The whole flow on the smallest tables: one profile per seed."""
     return queries()["batch_complete"](spark, "/root/testdata/sf0.001")
