@@ -241,14 +241,89 @@ on l.page = b.page and l.block = b.block where b.text <> ''""",
 define_kept("")
 define_kept("_default")
 
+# --- main content: lists and limits written out here, so that a fault in the engine's shows ------------
 
-def main_text_sql(prose: str) -> str:
-    """Main text per page of ``prose``, without blocks that repeat on the host."""
+CONTENT_PARAGRAPHS = "p dt dd blockquote pre figcaption caption address".split()
+CONTENT_CONTAINERS = "body main article section div td dl ul ol table blockquote center".split()
+CONTENT_BLOCKS = (
+    "address article aside blockquote body caption center dd div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 head hr html"
+    " li main ol p pre section table tbody td th thead title tr ul"
+).split()
+_BLANK = "'[\\s\\p{Z}\\x01-\\x1f]+'"
+
+
+def define_content(suffix: str) -> None:
+    """Blocks of the container with the greatest mass of text, under one set of noise rules."""
+    cte(
+        f"content_toks{suffix}",
+        f"kept{suffix}",
+        f"""
+select page, url, pos, kind, tag, tok,
+  last_value(case when tag = 'a' and kind = 'open' then 1 when tag = 'a' or tag in {names(CONTENT_BLOCKS)} then 2 end ignore nulls)
+    over (partition by page order by pos rows between unbounded preceding and current row) as link,
+  case when kind = 'text' then length(regexp_replace({decode("tok")}, {_BLANK}, '', 'g')) else 0 end as chars
+from kept{suffix}""",
+    )
+    cte(
+        f"best_span{suffix}",
+        f"kept_spans{suffix} content_toks{suffix}",
+        f"""
+select s.page, s.start, s.stop from kept_spans{suffix} s join content_toks{suffix} t on t.page = s.page and t.pos between s.start and s.stop
+where s.tag in {names(CONTENT_CONTAINERS)} group by s.page, s.start, s.stop
+qualify row_number() over (partition by s.page order by sum(case when t.link = 1 then -t.chars else t.chars end) desc, s.start desc, s.stop desc) = 1""",
+    )
+    href = f"trim(regexp_replace(coalesce({attr('tok', 'href')}, ''), {_BLANK}, ' ', 'g'))"
+    levels = " ".join(f"when tag = 'h{i}' and kind = 'open' then chr({16 + i})" for i in range(1, 7))
+    piece = f"""case when kind = 'text' then regexp_replace({decode("tok")}, {_BLANK}, ' ', 'g')
+  when tag = 'a' and kind = 'open' then chr(14) || case when starts_with({href}, '#') then '' else {href} end || chr(15)
+  when tag = 'a' and kind = 'close' then chr(16)
+  when tag in ('td', 'th') then case when kind = 'open' then chr(7) else ' ' end
+  when tag = 'tr' then case when kind = 'open' then chr(5) else chr(6) end
+  when tag = 'li' then case when kind = 'open' then chr(3) else chr(4) end
+  {levels} when tag in {names(CONTENT_PARAGRAPHS)} and kind = 'open' then chr(2)
+  when tag in {names(CONTENT_BLOCKS)} then chr(1) when tag = 'br' then ' ' else '' end"""
+    plain = lambda r: f"trim(regexp_replace(regexp_replace(regexp_replace({r}, '\\x0e[^\\x0f]*\\x0f', '', 'g'), '[\\x01-\\x07\\x0e-\\x16]', '', 'g'), ' +', ' ', 'g'))"
+    rich = lambda r: plain(f"regexp_replace({r}, '\\x0e([^\\x0e\\x0f\\x10]+)\\x0f ?([^\\x0e\\x0f\\x10]*[^ \\x0e\\x0f\\x10]) ?\\x10', '[\\2](\\1)', 'g')")
+    cells = lambda f: f"list_filter(list_transform(string_split(r, chr(7)), lambda x: {f('x')}), lambda x: x <> '')"
+    cte(
+        f"content_runs{suffix}",
+        f"content_toks{suffix} best_span{suffix}",
+        f"""
+select page, url, n, runs[n] as r from (
+  select page, url, regexp_extract_all(regexp_replace(s, '\\x03[\\x01-\\x03\\x05\\x06 ]*([^\\x01-\\x07\\x11-\\x16])', chr(3) || '\\1', 'g'),
+    '\\x05[^\\x01-\\x06\\x11-\\x16]*\\x06|[\\x02\\x03\\x07\\x11-\\x16]?[^\\x01-\\x07\\x11-\\x16]+') as runs
+  from (select t.page, any_value(t.url) as url, string_agg({piece}, '' order by t.pos) as s from content_toks{suffix} t
+        left join best_span{suffix} b on b.page = t.page where b.page is null or t.pos between b.start and b.stop group by t.page)),
+  unnest(range(1, len(runs) + 1)) u(n)""",
+    )
+    cte(
+        f"content{suffix}",
+        f"content_runs{suffix}",
+        f"""
+select page, url, {host("url")} as host, n, kind, text, case kind
+    when 'row' then '| ' || array_to_string(c, ' | ') || ' |' when 'item' then '- ' || line
+    when 'heading' then repeat('#', ascii(r) - 16) || ' ' || line else line end as line
+from (select page, url, n, r, c, line, case when r[1] = chr(5) then array_to_string({cells(plain)}, ' ') else {plain("r")} end as text,
+    length(array_to_string(regexp_extract_all(r, '\\x0f([^\\x0e\\x0f\\x10]*)\\x10', 1), '')) as link_chars,
+    case when r[1] = chr(5) then case when len(c) > 1 then 'row' else 'cell' end when r[1] = chr(3) then 'item' when r[1] = chr(2) then 'paragraph'
+         when r[1] = chr(7) then 'cell' when ascii(r) between 17 and 22 then 'heading' else 'loose' end as kind
+  from (select *, {cells(rich)} as c, {rich("r")} as line from content_runs{suffix}))
+where text <> '' and link_chars <= length(text) * 0.5 and (kind <> 'loose' or length(text) >= 25)""",
+    )
+
+
+define_content("")
+define_content("_default")
+
+
+def main_text_sql(blocks: str, key: str = "page") -> str:
+    """Main text per page of ``blocks``, without blocks that three pages of the host have, but for the first page in order of ``key``."""
     return f"""
-select p.page, string_agg(p.text, chr(10) || chr(10) order by p.block) as main_text from {prose} p
-where (p.host, p.text) not in (
-  select (host, text) from {prose} group by host, text having count(distinct page) >= {params.REPEATED_BLOCK_PAGES})
-group by p.page"""
+select page, string_agg(case when before is null then '' when kind in ('item', 'row') and kind = before then chr(10) else chr(10) || chr(10) end || line,
+  '' order by n) as main_text
+from (select page, n, kind, line, lag(kind) over (partition by page order by n) as before from {blocks} p
+      left join (select host, text, min({key}) as first from {blocks} group by host, text having count(distinct page) >= 3) f using (host, text)
+      where f.first is null or f.first = {key}) group by page"""
 
 
 def markdown_of(main: str, outline: str, budget: int) -> str:
@@ -674,34 +749,34 @@ oracle(
 oracle("markdown_lines", "md_lines", "select page, pos::integer as pos, line from md_lines")
 oracle(
     "main_blocks",
-    "prose all_pages",
+    "content all_pages",
     f"""
 select a.page, {host("a.url")} as host, coalesce(m.main_text, '') as main_text from all_pages a
-left join ({main_text_sql("prose")}) m on m.page = a.page where a.html <> ''""",
+left join ({main_text_sql("content")}) m on m.page = a.page where a.html <> ''""",
 )
 _OUTLINE = "select page, string_agg(line || chr(10), '' order by pos) as outline from {} group by page"
 oracle(
     "page_markdown",
-    "prose md_lines all_pages",
+    "content md_lines all_pages",
     f"""
 select a.page, {markdown_of("m.main_text", "o.outline", 2000)} as markdown from all_pages a
-left join ({main_text_sql("prose")}) m on m.page = a.page
+left join ({main_text_sql("content")}) m on m.page = a.page
 left join ({_OUTLINE.format("md_lines")}) o on o.page = a.page where a.html <> ''""",
 )
 # Blocks repeat only among the chosen pages of a site.
 cte(
-    "chosen_prose",
-    "chosen prose_default",
-    "select p.page, p.block, p.text, p.host from chosen c join prose_default p on p.page = 's' || c.site_id || '-' || c.n",
+    "chosen_content",
+    "chosen content_default",
+    "select p.*, c.domain, c.rank from chosen c join content_default p on p.page = 's' || c.site_id || '-' || c.n",
 )
 cte(
     "contexts",
-    "chosen chosen_prose md_lines_default",
+    "chosen chosen_content md_lines_default",
     f"""
 select domain, string_agg('## Content from Page: ' || final_url || chr(10) || chr(10) || md, chr(10) || chr(10) || '---'
   || chr(10) || chr(10) order by rank) as context
 from (select c.domain, c.rank, c.final_url, {markdown_of("m.main_text", "o.outline", params.SITE_PAGE_BUDGET)} as md
-      from chosen c left join ({main_text_sql("chosen_prose")}) m on m.page = 's' || c.site_id || '-' || c.n
+      from chosen c left join ({main_text_sql("chosen_content", "(domain, rank)")}) m on m.page = 's' || c.site_id || '-' || c.n
       left join ({_OUTLINE.format("md_lines_default")}) o on o.page = 's' || c.site_id || '-' || c.n)
 where md <> '' group by domain""",
 )

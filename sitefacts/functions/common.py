@@ -49,6 +49,40 @@ def cut(text: Column, start: Column | int, length: Column | int) -> Column:
     return F.substring(text, as_col(start), as_col(length))
 
 
+RUN = 64  # elements that a fold gathers before they are joined to the rest, as it copies what it has gathered
+
+
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Running results of an associative ``step``, for which 0 changes nothing, over an array of whole numbers.
+
+    Runs of fixed length are folded one by one, then their last results, which then go into all results of the next
+    run. That takes about linear time, as no fold copies more than one run or one result for each run.
+    """
+
+    def folded(items: Column) -> Column:
+        start = F.struct(F.lit(0).cast("bigint").alias("last"), empty_array("bigint").alias("out"))
+
+        def add(acc: Column, v: Column) -> Column:
+            return bind(step(acc["last"], v), lambda x: F.struct(x.alias("last"), F.array_append(acc["out"], x).alias("out")))
+
+        return F.aggregate(items, start, add, lambda acc: acc["out"])
+
+    def of(items: Column) -> Column:
+        last_run = F.greatest(F.ceil(F.size(items) / RUN).cast("int") - 1, F.lit(0))
+        runs = F.transform(F.sequence(F.lit(0), last_run), lambda r: folded(F.slice(items, r * RUN + 1, F.lit(RUN))))
+
+        def after(run: Column, i: Column, ends: Column) -> Column:
+            return F.when(i == 0, run).otherwise(F.transform(run, lambda x: step(F.get(ends, i - 1), x)))
+
+        def joined(own: Column) -> Column:
+            ends = folded(F.transform(own, lambda r: F.get(r, F.size(r) - 1)))
+            return bind(ends, lambda e: F.flatten(F.transform(own, lambda r, i: after(r, i, e))))
+
+        return F.when(F.size(items) <= RUN, folded(items)).otherwise(bind(runs, joined))
+
+    return bind(values, of)
+
+
 _BUILT: dict = {}
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sitefacts import params
-from sitefacts.functions.common import any_of, bind, cut, empty_array, strip
+from sitefacts.functions.common import any_of, bind, cut, empty_array, running, strip
 
 # Comment, raw element, tag with quoted values, any other markup, text, stray bracket.
 TOKEN_PATTERN = (
@@ -213,6 +213,17 @@ def _matched(marks: Column, last: Column) -> Column:
     )
 
 
+def span_depths(spans: Column) -> Column:
+    """How deep each element lies; the outermost have depth 1.
+
+    Starts and stops in one order: at a start, as many elements are open as starts came up to it, less the stops.
+    """
+    starts = F.transform(spans, lambda s: span_start(s).cast("bigint") * 2)
+    stops = F.transform(spans, lambda s: span_stop(s).cast("bigint") * 2 + 1)
+    in_order = F.transform(F.sort_array(F.concat(starts, stops)), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+    return F.transform(F.filter(in_order, lambda m: m["x"] % 2 == 0), lambda m, nth: 2 * nth + 1 - m["i"])
+
+
 # --- attributes ---------------------------------------------------------------------------------------
 
 
@@ -274,29 +285,25 @@ def dropped_spans(
 
 
 def kept_tokens(tokens: Column, dropped: Column) -> Column:
-    """Tokens outside every dropped span, comments left out."""
+    """Tokens outside every dropped span, comments left out.
 
-    def state(following, ranges):
-        return F.struct(following.alias("following"), ranges.alias("ranges"))
+    Spans are in order of their start and never overlap in part, so one lies outside all others if it starts after
+    the greatest stop so far; what is kept lies between two such neighbours.
+    """
 
-    def up_to(acc, position):
-        """Ranges with the one from the last dropped element up to ``position`` (exclusive) added."""
-        gap = position > acc["following"]
-        return F.when(gap, F.array_append(acc["ranges"], _span(acc["following"], position - 1))).otherwise(
-            acc["ranges"]
-        )
+    def between(reached: Column) -> Column:
+        outer = F.filter(dropped, lambda s, i: (i == 0) | (span_start(s) > F.get(reached, i - 1)))
 
-    def step(acc, span):
-        inside_another = span_start(span) < acc["following"]
-        return F.when(inside_another, acc).otherwise(state(span_stop(span) + 1, up_to(acc, span_start(span))))
+        def gaps(spans: Column) -> Column:
+            ends = F.concat(F.transform(spans, lambda s: span_start(s)), F.array(F.size(tokens)))
+            begins = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: span_stop(s) + 1))
+            return F.flatten(F.zip_with(begins, ends, lambda b, e: F.slice(tokens, b + 1, F.greatest(e - b, F.lit(0)))))
 
-    ranges = F.aggregate(
-        dropped, state(F.lit(0), empty_array("bigint")), step, lambda acc: up_to(acc, F.size(tokens))
-    )
-    pieces = F.transform(
-        ranges, lambda r: F.slice(tokens, span_start(r) + 1, span_stop(r) - span_start(r) + 1)
-    )
-    return F.filter(F.flatten(pieces), lambda t: t["kind"] != "comment")
+        return bind(outer, gaps)
+
+    reached = running(F.transform(dropped, lambda s: span_stop(s).cast("bigint")), lambda a, b: F.greatest(a, b))
+    inside = F.when(F.size(dropped) == 0, tokens).otherwise(bind(reached, between))
+    return F.filter(inside, lambda t: t["kind"] != "comment")
 
 
 def render(tokens: Column, kept_attributes: Sequence[str] = params.KEPT_ATTRIBUTES) -> Column:
@@ -332,27 +339,50 @@ def visible_text(tokens: Column) -> Column:
     return decode_entities(F.array_join(F.transform(texts, lambda t: t["tok"]), " "))
 
 
-def span_text(tokens: Column, span: Column, separator: str) -> Column:
-    """Text of one element: every piece stripped, empty ones left out."""
-    inside = F.slice(tokens, span_start(span) + 1, span_stop(span) - span_start(span) + 1)
-    texts = F.transform(
-        F.filter(inside, lambda t: t["kind"] == "text"), lambda t: strip(decode_entities(t["tok"]))
-    )
-    return F.array_join(F.filter(texts, lambda t: t != ""), separator)
+def text_index(tokens: Column, separator: str) -> Column:
+    """``struct<units, ends>``: all text of the page, and where in it each token's text ends.
+
+    Every piece is stripped, and empty ones are left out. Units are of four bytes, so any element's text is a range
+    that is found without going through what is before it.
+    """
+
+    def indexed(pieces: Column) -> Column:
+        joined = F.array_join(F.transform(pieces, lambda p: F.when(p == "", "").otherwise(F.concat(p, F.lit(separator)))), "")
+        sizes = F.transform(pieces, lambda p: F.when(p == "", 0).otherwise(F.length(p) + len(separator)).cast("bigint"))
+        return F.struct(F.encode(joined, "UTF-32").alias("units"), running(sizes, lambda a, b: a + b).alias("ends"))
+
+    return bind(F.transform(tokens, lambda t: F.when(t["kind"] == "text", strip(decode_entities(t["tok"]))).otherwise("")), indexed)
+
+
+def span_text(index: Column, span: Column, separator: str) -> Column:
+    """Text of one element, from :func:`text_index` with the same separator."""
+    begin = F.when(span_start(span) == 0, F.lit(0).cast("bigint")).otherwise(F.get(index["ends"], span_start(span) - 1))
+
+    def of(low: Column) -> Column:
+        size = F.get(index["ends"], span_stop(span)) - low - len(separator)
+        units = F.substring(index["units"], (low * 4 + 1).cast("int"), (size * 4).cast("int"))
+        # With a character before it, the first one of the text is never taken for a byte order mark.
+        text = F.decode(F.concat(F.encode(F.lit("x"), "UTF-32"), units), "UTF-32")
+        return F.when(size <= 0, F.lit("")).otherwise(F.substring(text, F.lit(2), (size + 1).cast("int")))
+
+    return bind(begin, of)
 
 
 def anchors(tokens: Column, spans: Column, separator: str = "") -> Column:
     """``array<struct<pos, href, text>>`` of the ``a`` elements that have an href."""
     links = F.filter(spans, lambda s: F.get(tokens, span_start(s))["tag"] == "a")
-    found = F.transform(
-        links,
-        lambda s: F.struct(
-            span_start(s).alias("pos"),
-            attribute(F.get(tokens, span_start(s))["tok"], "href").alias("href"),
-            span_text(tokens, s, separator).alias("text"),
-        ),
-    )
-    return F.filter(found, lambda a: a["href"].isNotNull())
+
+    def found(index: Column) -> Column:
+        return F.transform(
+            links,
+            lambda s: F.struct(
+                span_start(s).alias("pos"),
+                attribute(F.get(tokens, span_start(s))["tok"], "href").alias("href"),
+                span_text(index, s, separator).alias("text"),
+            ),
+        )
+
+    return F.filter(bind(text_index(tokens, separator), found), lambda a: a["href"].isNotNull())
 
 
 def hrefs(tokens: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sitefacts import params
 from sitefacts.functions.common import bind, cut, empty_array, strip
-from sitefacts.functions.html import attribute, decode_entities, span_start, span_text
+from sitefacts.functions.html import attribute, decode_entities, span_start, span_text, text_index
 
 TRUNCATED = "\n\n...[Truncated]..."
 SECTION_BREAK = "\n\n---\n\n"
@@ -43,14 +43,22 @@ def line_of(tag: Column, text: Column, tok: Column) -> Column:
     )
 
 
-def line(tokens: Column, span: Column) -> Column:
+def line(tokens: Column, index: Column, span: Column) -> Column:
     """Markdown line of the element at ``span``; null if it has less than two characters of text."""
 
     def of_text(text):
         t = F.get(tokens, span_start(span))
         return F.when(F.length(text) >= 2, line_of(t["tag"], text, t["tok"]))
 
-    return bind(span_text(tokens, span, " "), of_text)
+    return bind(span_text(index, span, " "), of_text)
+
+
+def line_rows(tokens: Column, spans: Column) -> Column:
+    """``array<struct<pos, line>>`` of all elements that give a line."""
+    found = lambda index: F.transform(
+        F.filter(spans, lambda s: is_line(tokens, s)), lambda s: F.struct(span_start(s).alias("pos"), line(tokens, index, s).alias("line"))
+    )
+    return bind(text_index(tokens, " "), found)
 
 
 def outline(tokens: Column, spans: Column, budget: int) -> Column:
@@ -64,18 +72,20 @@ def outline(tokens: Column, spans: Column, budget: int) -> Column:
     def state(text, used):
         return F.struct(text.alias("text"), used.alias("used"))
 
-    def step(acc, span):
+    def step(acc, span, index):
         def added(new_line):
             used = F.length(F.regexp_replace(new_line, r"[\s\p{Z}\x1c-\x1f\x85]+", ""))  # no clean-up removes these
             return F.when(new_line.isNull(), acc).otherwise(
                 state(F.concat(acc["text"], new_line, F.lit("\n")), acc["used"] + used)
             )
 
-        return F.when(acc["used"] > budget, acc).otherwise(bind(line(tokens, span), added))
+        return F.when(acc["used"] > budget, acc).otherwise(bind(line(tokens, index, span), added))
 
-    lines = F.aggregate(
-        F.filter(spans, lambda s: is_line(tokens, s)), state(F.lit(""), F.lit(0)), step, lambda acc: acc["text"]
-    )
+    def folded(index):
+        start = state(F.lit(""), F.lit(0))
+        return F.aggregate(F.filter(spans, lambda s: is_line(tokens, s)), start, lambda acc, s: step(acc, s, index), lambda acc: acc["text"])
+
+    lines = bind(text_index(tokens, " "), folded)
     return strip(F.regexp_replace(lines, r"\n{3,}", "\n\n"))
 
 

@@ -42,7 +42,7 @@ def resolved_links(
 
 
 def scored_links(tokens: Column, spans: Column, base: Column, weights: tuple) -> Column:
-    """``array<struct<order, pos, link>>``: internal links with a score, in document order; order is minus the score."""
+    """``array<struct<link, pos, order>>``: internal links with a score, by URL and place; order is minus the score."""
     followable = F.filter(H.anchors(tokens, spans), lambda a: U.is_followable(a["href"]))
     resolved = F.transform(
         followable,
@@ -54,12 +54,12 @@ def scored_links(tokens: Column, spans: Column, base: Column, weights: tuple) ->
     scored = F.transform(
         internal,
         lambda a: F.struct(
-            (-U.link_score(a["link"], a["text"], dict(weights))).alias("order"),
-            a["pos"].alias("pos"),
             a["link"].alias("link"),
+            a["pos"].alias("pos"),
+            (-U.link_score(a["link"], a["text"], dict(weights))).alias("order"),
         ),
     )
-    return F.filter(scored, lambda a: a["order"] < 0)
+    return F.array_sort(F.filter(scored, lambda a: a["order"] < 0))
 
 
 def with_ranked_links(
@@ -70,20 +70,20 @@ def with_ranked_links(
 ) -> DataFrame:
     """Add ``links``: scored internal links of each page, best first, ties in document order.
 
-    Of several anchors to one URL the first that scores counts. A page's links stay in its row.
+    Of several anchors to one URL the first that scores counts: the one whose neighbour before, by URL and place, has
+    another URL. A page's links stay in its row.
     """
     found = on_columns(scored_links, "tokens", "spans", base, weights=tuple(weights.items()))
-    parsed = computed(computed(parse_pages(pages, html), scored=found), urls=F.col("scored.link"))
-    first_of_url = parsed.withColumn(
-        "firsts", F.filter("scored", lambda a, i: F.array_position("urls", a["link"]) == i + 1)
-    )
+    parsed = computed(parse_pages(pages, html), scored=found)
+    first_of_url = F.filter("scored", lambda a, i: (i == 0) | (F.get("scored", i - 1)["link"] != a["link"]))
+    by_score = F.transform(first_of_url, lambda a: F.struct(a["order"].alias("order"), a["pos"].alias("pos"), a["link"].alias("link")))
     ranked = F.transform(
-        F.array_sort("firsts"),
+        F.array_sort(by_score),
         lambda a, i: F.struct(
             (i + 1).alias("rank"), a["pos"].alias("pos"), a["link"].alias("link"), (-a["order"]).alias("score")
         ),
     )
-    return computed(first_of_url, links=ranked).drop("scored", "urls", "firsts", "tokens", "spans")
+    return computed(parsed, links=ranked).drop("scored", "tokens", "spans")
 
 
 def link_scores(pages: DataFrame, key: Sequence[str], base: str = "url", html: str = "html", **rules) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitefacts import params
+from sitefacts.functions import content
 from sitefacts.functions import html as H
 from sitefacts.functions import markdown as M
 from sitefacts.functions import urls as U
@@ -19,65 +20,69 @@ from sitefacts.plans.skew import salted_join
 
 
 def content_pages(pages: DataFrame, html: str = "html", **rules) -> DataFrame:
-    """Add ``kept``, ``kept_spans`` and ``blocks`` of the pruned page."""
+    """Add ``kept``, ``kept_spans`` and ``blocks``, the blocks of the main content of the pruned page."""
     pruned = prune_pages(pages, html, **rules).drop("tokens", "spans")
-    return computed(
-        pruned, kept_spans=on_columns(H.element_spans, "kept"), blocks=on_columns(M.blocks, "kept")
-    )
+    spanned = computed(pruned, kept_spans=on_columns(H.element_spans, "kept"))
+    return computed(spanned, blocks=on_columns(content.main_blocks, "kept", "kept_spans"))
 
 
 def markdown_lines(pages: DataFrame, key: Sequence[str], html: str = "html", **rules) -> DataFrame:
     """One row per Markdown line: ``(key, pos, line)``; positions count the kept tokens."""
     pruned = computed(prune_pages(pages, html, **rules), kept_spans=on_columns(H.element_spans, "kept"))
-    line_spans = F.filter("kept_spans", lambda s: M.is_line(F.col("kept"), s))
-    lines = F.transform(
-        line_spans, lambda s: F.struct(H.span_start(s).alias("pos"), M.line(F.col("kept"), s).alias("line"))
-    )
-    found = unfolded(pruned, key, lines, "l").where("l.line is not null")
+    found = unfolded(pruned, key, on_columns(M.line_rows, "kept", "kept_spans"), "l").where("l.line is not null")
     return found.select(*key, "l.pos", "l.line")
 
 
 def page_blocks(pages: DataFrame, key: Sequence[str], url: str = "url", html: str = "html", **rules) -> DataFrame:
-    """Running-text blocks of every page, still in its row: ``(key, host, blocks)``."""
-    pruned = computed(prune_pages(pages, html, **rules), blocks=on_columns(M.blocks, "kept"))
-    return pruned.select(*key, U.host(F.col(url)).alias("host"), "blocks")
+    """Blocks of every page's main content, still in its row: ``(key, host, blocks)``."""
+    return content_pages(pages, html, **rules).select(*key, U.host(F.col(url)).alias("host"), "blocks")
 
 
-def block_keys(blocks: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``(key, host, block)``: hash of each prose block, once per page. No text leaves the page."""
-    prose = F.filter("blocks", lambda b: M.is_prose(b))
-    hashes = F.array_distinct(F.transform(prose, lambda b: M.block_key(b["text"])))
+def block_keys(
+    blocks: DataFrame, key: Sequence[str], min_chars: int = params.MIN_BLOCK_CHARS, max_link_share: float = params.MAX_LINK_SHARE
+) -> DataFrame:
+    """``(key, host, block)``: hash of each content block, once per page. No text leaves the page."""
+    found = F.filter("blocks", lambda b: content.is_content(b, min_chars, max_link_share))
+    hashes = F.array_distinct(F.transform(found, lambda b: M.block_key(b["text"])))
     return unfolded(blocks, [*key, "host"], hashes, "block")
 
 
-def repeated_blocks(
-    keys: DataFrame, min_pages: int = params.REPEATED_BLOCK_PAGES
-) -> DataFrame:
-    """Blocks found on ``min_pages`` pages of a host or more: ``(host, block)``.
+def repeated_blocks(keys: DataFrame, key: Sequence[str], min_pages: int = params.REPEATED_BLOCK_PAGES) -> DataFrame:
+    """Blocks found on ``min_pages`` pages of a host or more: ``(host, block, pages, first)``, ``first`` the smallest key.
 
     A page gives each block once, so pages are counted by adding rows up, which combines before the
     shuffle; a busy host or a block on all of its pages makes no large group.
     """
-    return keys.groupBy("host", "block").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    counted = keys.groupBy("host", "block").agg(F.count("*").alias("pages"), F.min(F.struct(*key)).alias("first"))
+    return counted.where(F.col("pages") >= min_pages)
 
 
-def repeated_on_page(
-    keys: DataFrame, key: Sequence[str], min_pages: int = params.REPEATED_BLOCK_PAGES
-) -> DataFrame:
-    """``(key, repeated)``: hashes of the page's blocks that repeat on its host."""
-    repeated = repeated_blocks(keys, min_pages).select("host", "block")
-    found = salted_join(keys, repeated, ["host", "block"], key, how="inner")
-    return found.groupBy(*key).agg(F.collect_set("block").alias("repeated"))
+def repeated_on_page(keys: DataFrame, key: Sequence[str], min_pages: int = params.REPEATED_BLOCK_PAGES) -> DataFrame:
+    """``(key, repeated)``: hashes of the page's blocks that repeat on its host, but for the first page that has them."""
+    repeated = repeated_blocks(keys, key, min_pages)
+    on = ["host", "block"]
+    firsts = repeated.select(*on, F.col("first").alias("_first"))
+    found = salted_join(keys, firsts, on, key, "inner", counts=repeated.select(*on, F.col("pages").alias("n")))
+    again = found.where(F.struct(*key) != F.col("_first"))
+    return again.groupBy(*key).agg(F.collect_set("block").alias("repeated"))
 
 
-def main_texts(pages: DataFrame, key: Sequence[str], url: str = "url", html: str = "html", **rules) -> DataFrame:
-    """Main text of every page, without short, link-heavy and repeated blocks."""
+def main_texts(
+    pages: DataFrame,
+    key: Sequence[str],
+    url: str = "url",
+    html: str = "html",
+    min_chars: int = params.MIN_BLOCK_CHARS,
+    max_link_share: float = params.MAX_LINK_SHARE,
+    min_pages: int = params.REPEATED_BLOCK_PAGES,
+    **rules,
+) -> DataFrame:
+    """Main content of every page as Markdown, without link-heavy blocks, loose scraps, and blocks that other pages had."""
     # Read twice, for the hashes and for the texts; the copy saves parsing every page again.
     blocks = staged(page_blocks(pages, key, url, html, **rules), "page-blocks")
-    repeated = repeated_on_page(block_keys(blocks, key), key)
-    return blocks.join(repeated, list(key), "left").select(
-        *key, "host", on_columns(M.main_text, "blocks", "repeated").alias("main_text")
-    )
+    repeated = repeated_on_page(block_keys(blocks, key, min_chars, max_link_share), key, min_pages)
+    text = on_columns(content.main_markdown, "blocks", "repeated", min_chars=min_chars, max_link_share=max_link_share)
+    return blocks.join(repeated, list(key), "left").select(*key, "host", text.alias("main_text"))
 
 
 def page_markdown(
@@ -86,18 +91,22 @@ def page_markdown(
     url: str = "url",
     html: str = "html",
     budget: int = params.MARKDOWN_BUDGET,
+    min_chars: int = params.MIN_BLOCK_CHARS,
+    max_link_share: float = params.MAX_LINK_SHARE,
+    min_pages: int = params.REPEATED_BLOCK_PAGES,
+    min_main: int = params.MIN_MAIN_TEXT,
     **rules,
 ) -> DataFrame:
-    """Markdown of every page: main text if there is enough of it, else the outline."""
-    content = content_pages(pages, html, **rules).withColumn("host", U.host(F.col(url)))
+    """Markdown of every page: its main content if there is enough of it, else the outline."""
+    found = content_pages(pages, html, **rules).withColumn("host", U.host(F.col(url)))
     columns = [c for c in pages.columns if c != html]
     outline = on_columns(M.outline, "kept", "kept_spans", budget=budget).alias("outline")
     # Read twice, for the hashes and for the texts; the copy saves parsing every page again.
-    rendered = staged(content.select(*columns, "host", "blocks", outline), "page-content")
-    repeated = repeated_on_page(block_keys(rendered, key), key)
-    main = on_columns(M.main_text, "blocks", "repeated")
+    rendered = staged(found.select(*columns, "host", "blocks", outline), "page-content")
+    repeated = repeated_on_page(block_keys(rendered, key, min_chars, max_link_share), key, min_pages)
+    main = on_columns(content.main_markdown, "blocks", "repeated", min_chars=min_chars, max_link_share=max_link_share)
     return rendered.join(repeated, list(key), "left").select(
-        *columns, M.choose(main, F.col("outline"), budget).alias("markdown")
+        *columns, M.choose(main, F.col("outline"), budget, min_main).alias("markdown")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitefacts import params
@@ -28,35 +28,20 @@ def html_tokens(pages: DataFrame, key: Sequence[str], html: str = "html") -> Dat
 
 
 def html_spans(pages: DataFrame, key: Sequence[str], html: str = "html") -> DataFrame:
-    """One row per element: ``(key, tag, tok, start, stop, depth)``."""
-    elements = F.transform(
+    """One row per element: ``(key, tag, tok, start, stop, depth)``. Depths are found within the page's row."""
+    parsed = computed(parse_pages(pages, html), depths=on_columns(H.span_depths, "spans"))
+    elements = F.zip_with(
         "spans",
-        lambda s: F.struct(
+        "depths",
+        lambda s, depth: F.struct(
             F.get("tokens", H.span_start(s))["tag"].alias("tag"),
             F.get("tokens", H.span_start(s))["tok"].alias("tok"),
             H.span_start(s).alias("start"),
             H.span_stop(s).alias("stop"),
+            depth.cast("int").alias("depth"),
         ),
     )
-    parsed = unfolded(parse_pages(pages, html), key, elements, "s")
-    # An element lies as deep as elements have started up to it and not yet stopped before it. Both
-    # counts come from one ordered pass over the starts and stops of a page.
-    moves = parsed.select(
-        *key,
-        "s",
-        F.explode(
-            F.array(
-                F.struct(F.col("s.start").alias("at"), F.lit(1).alias("move")),
-                F.struct((F.col("s.stop") + 1).alias("at"), F.lit(-1).alias("move")),
-            )
-        ).alias("m"),
-    )
-    in_order = Window.partitionBy(*key).orderBy("m.at", "m.move").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        moves.withColumn("depth", F.sum("m.move").over(in_order).cast("int"))
-        .where("m.move = 1")
-        .select(*key, "s.tag", "s.tok", "s.start", "s.stop", "depth")
-    )
+    return unfolded(parsed, key, elements, "s").select(*key, "s.tag", "s.tok", "s.start", "s.stop", "s.depth")
 
 
 def tag_attributes(pages: DataFrame, key: Sequence[str], names: Sequence[str], html: str = "html") -> DataFrame:
@@ -117,11 +102,12 @@ def element_texts(
         return F.struct(
             H.span_start(span).alias("pos"),
             F.get("tokens", H.span_start(span))["tag"].alias("tag"),
-            H.span_text(F.col("tokens"), span, separator).alias("text"),
+            H.span_text(F.col("index"), span, separator).alias("text"),
         )
 
+    indexed = computed(parse_pages(pages, html), index=on_columns(H.text_index, "tokens", separator=separator))
     wanted = F.filter("spans", lambda s: F.get("tokens", H.span_start(s))["tag"].isin(*tags))
-    found = unfolded(parse_pages(pages, html), key, F.transform(wanted, element), "e")
+    found = unfolded(indexed, key, F.transform(wanted, element), "e")
     return found.select(*key, "e.pos", "e.tag", "e.text")
 
 

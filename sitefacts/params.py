@@ -141,5 +141,5 @@ MIN_BLOCK_CHARS = 25
 MAX_LINK_SHARE = 0.5
 REPEATED_BLOCK_PAGES = 3
 
-# Rows of one hot join key are spread over this many slices.
-SALT_SLICES = 16
+# Rows of one join key that a task joins; keys with more are spread over several.
+HOT_KEY_ROWS = 200_000
