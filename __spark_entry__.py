@@ -298,6 +298,25 @@ def batch_complete(spark, d):
     return flat_with_metadata(enriched_batch(spark, d))
 
 
+def rule_batch(spark, d):
+    """The flow with rules: a quarter of the sites has no answer, another quarter a second, unusable call."""
+    stored = load(spark, d, "model_responses")
+    again = stored.where("site_id % 4 = 2").select(
+        "site_id", "domain", F.lit("zz").alias("provider"), F.lit("gpt-4o").alias("model_name"), F.lit("[1]").alias("raw_json"),
+        (F.col("site_id") + 50).alias("prompt_tokens"), F.lit(5).cast("bigint").alias("completion_tokens"),
+    )
+    calls = stored.where("site_id % 4 <> 1").select(*again.columns).unionByName(again)
+    found = flow.enrich(
+        load(spark, d, "seeds").select(F.col("raw_domain").alias("domain")),
+        load(spark, d, "site_pages"),
+        calls.drop("site_id"),
+        load(spark, d, "search_hits").drop("site_id"),
+        SITE_PAGE,
+        rules=True,
+    )
+    return flat_with_metadata(found)
+
+
 def extractive_profiles(spark, d):
     found = flow.rule_profiles(chosen_pages(spark, d))
     return found.select(
@@ -429,7 +448,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fetch_outcome, usable_pages, pages_per_site, link_scores, top_links, link_fanout,
         mailto_emails, text_emails, doc_emails, profile_urls, page_contacts, site_contacts,
         response_clean, response_parse, response_validate, members_normalized, contacts_dedup,
-        rubric_score, blended_score, fallback_profiles, batch_complete, extractive_profiles,
+        rubric_score, blended_score, fallback_profiles, batch_complete, rule_batch, extractive_profiles,
         needs_enrichment, search_keys, hit_profile_url, hit_title_parse, first_hit, leaders_enriched,
         usage_cost, usage_totals, cost_report, cost_rollup, cost_stream,
         flat_export, json_roundtrip, csv_roundtrip, result_summary, site_counters,
