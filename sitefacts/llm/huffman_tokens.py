@@ -30,13 +30,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitefacts.llm.batches import lists, ragged, text_chunks, utf8
+from sitefacts.plans.scratch import scratch_folder
 
 END_ID = 0
 LONGEST_CODE = 20  # bits; more only for more than 2**20 distinct ids. A table of 2**20 entries decodes them
 TABLE_BITS = 25  # the longest code that one 32-bit window holds at any offset within a byte
 CHECKPOINT = 128  # ids between two checkpoints
 BLOCK_TOKENS = 1 << 18  # a block ends with the document that reaches this
-CACHED_PIECES = 500_000  # bounds a task's memory; the cache starts anew beyond it
+TEXT_BYTES = 2 << 20  # tokenized at once, or one document
+CACHED_PIECES = 300_000  # bounds a task's memory; the cache starts anew beyond it
 PIECES_AT_ONCE = 20_000
 
 # What may follow a space that begins a piece: visible ASCII, or the first byte of a character that is no white space
@@ -143,15 +145,6 @@ class PieceEncoder:
         firsts = np.cumsum(counts + 1) - (counts + 1)
         return self.ids[ragged(self.starts[order], sizes)], np.add.reduceat(sizes, firsts)
 
-    def counts(self, texts: pa.Array) -> np.ndarray:
-        """How often each id occurs in the texts, ends included."""
-        pieces, counts = self.pieces(texts)
-        times = np.bincount(pieces, minlength=len(self.sizes))
-        times[0] = len(counts)
-        used = np.flatnonzero(times)
-        ids = self.ids[ragged(self.starts[used], self.sizes[used])]
-        return np.bincount(ids, weights=np.repeat(times[used], self.sizes[used])).astype(np.int64)
-
 
 def code_lengths(counts: np.ndarray, limit: int = LONGEST_CODE) -> np.ndarray:
     """Lengths of an optimal prefix code of at most ``limit`` bits, by package-merge; 0 for ids that do not occur.
@@ -239,30 +232,52 @@ def sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
-def count_ids(texts: DataFrame, tokenizer_file: str, end_id: int) -> np.ndarray:
+def id_type(tokenizer_file: str, end_id: int) -> str:
+    """The shorter of two little-endian types that holds every id."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(tokenizer_file).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
+def tokenized(texts: DataFrame, tokenizer_file: str, end_id: int, width: str) -> DataFrame:
+    """``(id, ids)`` of every text, in the order it is read."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = PieceEncoder(tokenizer_file, end_id)
+        for batch in text_chunks(batches, limit=TEXT_BYTES):
+            ids, sizes = encoder(batch.column("text"))
+            ids = ids.astype(width)
+            places = np.concatenate([[0], np.cumsum(sizes) * ids.itemsize]).astype(np.int32)
+            raw = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(places), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), raw], names=["id", "ids"])
+
+    return texts.mapInArrow(encode, f"id {texts.schema['id'].dataType.simpleString()}, ids binary")
+
+
+def count_ids(rows: DataFrame, width: str, end_id: int) -> np.ndarray:
     """How often each id occurs; a task sums up before anything is shuffled, and a row for each id comes back."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = PieceEncoder(tokenizer_file, end_id), np.zeros(0, np.int64)
-        for batch in text_chunks(batches):
-            found = encoder.counts(batch.column("text"))
-            size = max(len(total), len(found))
-            total = np.pad(total, (0, size - len(total))) + np.pad(found, (0, size - len(found)))
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            found = np.bincount(utf8(batch.column("ids"))[0].view(width)) if batch.num_rows else total[:0]
+            if len(found) > len(total):
+                total = np.pad(total, (0, len(found) - len(total)))
+            total[: len(found)] += found
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    rows = texts.select("text").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(max((r["id"] for r in rows), default=end_id) + 1, np.int64)
-    for row in rows:
+    found = rows.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(max((r["id"] for r in found), default=end_id) + 1, np.int64)
+    for row in found:
         counts[row["id"]] = row["n"]
     return counts
 
 
-def block_writer(tokenizer_file: str, end_id: int, code_of: Callable[[], tuple[np.ndarray, np.ndarray]], block_tokens: int):
-    """A function for tasks: from ``shard, id, text`` in order to blocks."""
+def block_writer(width: str, code_of: Callable[[], tuple[np.ndarray, np.ndarray]], block_tokens: int):
+    """A function for tasks: from ``shard, id, ids`` in order to blocks."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_file, end_id)
         codes, lengths = code_of()
         shard, block, first = None, 0, 0
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
@@ -279,10 +294,13 @@ def block_writer(tokenizer_file: str, end_id: int, code_of: Callable[[], tuple[n
             block, first, held = block + 1, first + len(ids), []
             return pa.RecordBatch.from_arrays(row, names=["shard", "block", "first_token", "n_tokens", "docs", "lengths", "checkpoints", "bits"])
 
-        for batch in text_chunks(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             shard = batch.column("shard")[0].as_py()
-            ids, sizes = encoder(batch.column("text"))
-            ends, at = np.cumsum(sizes), 0
+            data, offsets = utf8(batch.column("ids"))
+            ids, ends = data.view(width), offsets[1:] // np.dtype(width).itemsize
+            sizes, at = np.diff(ends, prepend=0), 0
             while at < batch.num_rows:
                 base = int(ends[at - 1]) if at else 0
                 room = block_tokens - sum(len(h[1]) for h in held)
@@ -312,25 +330,28 @@ def write_tokens(
     Documents are in ascending order of ``id_col``, null ids first, rows of equal ids in the order they are read; the
     order is dealt out by id and row, so a single id may have any number of rows. Null texts are empty: the end id
     alone. An empty table gives empty files. Other columns are left out. ``tokenizer_file`` must be a byte-level
-    tokenizer without normalisation. Texts are tokenized twice, for the counts and for the blocks, as that is less
-    work than writing and shuffling ids; a task holds a few megabytes of text and one block, or one document.
+    tokenizer without normalisation. Ids are written out as they come, counted, dealt out in order, and coded; a task
+    holds a few megabytes of text and one block, or one document.
     """
-    spark, texts = docs.sparkSession, sources(docs, id_col, text_col)
-    counts = count_ids(texts, tokenizer_file, end_id)
+    spark, texts, width = docs.sparkSession, sources(docs, id_col, text_col), id_type(tokenizer_file, end_id)
+    plain = scratch_folder(spark, "plain-ids")
+    numbered = tokenized(texts, tokenizer_file, end_id, width).withColumn("row", F.monotonically_increasing_id())
+    numbered.write.option("compression", "zstd").parquet(plain)
+    rows = spark.read.schema(numbered.schema).parquet(plain)
+    counts = count_ids(rows, width, end_id)
     lengths = code_lengths(counts, longest_code)
     used = np.flatnonzero(lengths).tolist()
     codes = spark.createDataFrame([(i, int(lengths[i])) for i in used], "id bigint, length int")
     codes.coalesce(1).write.parquet(f"{folder}/codes")
     held = spark.sparkContext.broadcast((canonical_codes(lengths)[0], lengths))  # as long as the vocabulary
 
-    numbered = texts.withColumn("row", F.monotonically_increasing_id())
-    ordered = numbered.repartitionByRange("id", "row").sortWithinPartitions("id", "row")
+    ordered = rows.repartitionByRange("id", "row").sortWithinPartitions("id", "row")
     kind = docs.schema[id_col].dataType.simpleString()
     schema = (
         f"shard int, block int, first_token bigint, n_tokens bigint, docs array<{kind}>, lengths array<bigint>, checkpoints binary, bits binary"
     )
-    write = block_writer(tokenizer_file, end_id, lambda: held.value, block_tokens)
-    ordered.select(F.spark_partition_id().alias("shard"), "id", "text").mapInArrow(write, schema).write.parquet(f"{folder}/blocks")
+    write = block_writer(width, lambda: held.value, block_tokens)
+    ordered.select(F.spark_partition_id().alias("shard"), "id", "ids").mapInArrow(write, schema).write.parquet(f"{folder}/blocks")
 
     sizes = spark.read.parquet(f"{folder}/blocks").groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()  # a row for each file
     before = np.cumsum([0, *(r["n"] for r in sizes)]).tolist()
