@@ -59,6 +59,14 @@ def seed_domains(spark, d):
     )
 
 
+def seed_file(spark, d):
+    """Seeds written as lines of text with notes and blank lines between, and read back."""
+    folder, given = scratch_folder(spark, "seed-lines"), F.col("raw_domain")
+    lines = F.array(F.concat(F.lit(" "), given), F.lit("# note"), F.lit("   "), F.concat(F.lit(" #"), given))
+    load(spark, d, "seeds").select(F.explode(lines).alias("value")).write.text(folder)
+    return seeds.read_seed_file(spark, folder)
+
+
 def domain_normalize(spark, d):
     raw = load(spark, d, "seeds").select("site_id", F.col("raw_domain").alias("domain"))
     return seeds.normalized_seeds(raw).withColumn("fetch_url", U.with_scheme(F.lower(F.trim("raw_domain"))))
@@ -422,6 +430,12 @@ def json_roundtrip(spark, d):
     return flat_with_metadata(tables.read_json(spark, folder))
 
 
+def json_array_read(spark, d):
+    folder = scratch_folder(spark, "profile-arrays")
+    tables.write_json_arrays(stored_profiles(spark, d), folder, rows=40)
+    return flat_with_metadata(tables.read_json(spark, folder, array_file=True, bad_records="bad").where("bad is null").drop("bad"))
+
+
 def csv_roundtrip(spark, d):
     folder = scratch_folder(spark, "profiles-csv")
     tables.write_csv(stored_profiles(spark, d), folder)
@@ -441,7 +455,7 @@ def site_counters(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        seed_domains, domain_normalize, url_resolve, internal_links,
+        seed_domains, seed_file, domain_normalize, url_resolve, internal_links,
         html_tokens, html_spans, tag_attributes, html_prune, prune_ratio,
         visible_text, anchor_text, element_texts, challenge_flag,
         markdown_lines, main_blocks, page_markdown, site_context, request_rows,
@@ -451,7 +465,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rubric_score, blended_score, fallback_profiles, batch_complete, rule_batch, extractive_profiles,
         needs_enrichment, search_keys, hit_profile_url, hit_title_parse, first_hit, leaders_enriched,
         usage_cost, usage_totals, cost_report, cost_rollup, cost_stream,
-        flat_export, json_roundtrip, csv_roundtrip, result_summary, site_counters,
+        flat_export, json_roundtrip, json_array_read, csv_roundtrip, result_summary, site_counters,
     )
 }
 QUERIES["profiles"] = profile_table

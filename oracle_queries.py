@@ -873,6 +873,8 @@ _STORED = "select " + _RECORD.format(
 ) + " from stored"
 oracle("profiles", "stored", _STORED)
 oracle("json_roundtrip", "stored", _STORED)
+oracle("json_array_read", "stored", _STORED)
+oracle("seed_file", "seeds", "select trim(raw_domain) as domain from seeds union all select '#' || rtrim(raw_domain) from seeds")
 _FALLBACK = "select " + _RECORD.format(
     score="0.0::double", contacts="''", leaders="''", pages="''", provider="'gemini'", model="'gemini-3.6-flash'",
     tokens="0", cost="0.0::double", searched="false",

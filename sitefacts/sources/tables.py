@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sitefacts import schemas
 from sitefacts.operators.profiles import FIELDS, flat_profiles
@@ -34,9 +35,27 @@ def write_json(profiles: DataFrame, path: str, mode: str = "error") -> None:
     profiles.select(*FIELDS).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def read_json(spark: SparkSession, path: str, array_file: bool = False) -> DataFrame:
-    """Profiles back from lines, or from files that each hold one JSON array."""
-    return spark.read.schema(schemas.PROFILE).option("multiLine", array_file).json(path)
+def write_json_arrays(profiles: DataFrame, path: str, rows: int = 1000, mode: str = "error") -> None:
+    """Files that each hold one JSON array of about ``rows`` profiles, dealt out by a hash of text and row.
+
+    An array is one text in memory, which ``rows`` bounds, however often a profile repeats.
+    """
+    items = profiles.select(F.to_json(F.struct(*FIELDS), {"ignoreNullFields": "false"}).alias("item"), F.monotonically_increasing_id().alias("row"))
+    files = max(1, -(-profiles.count() // rows))
+    dealt = items.groupBy(F.pmod(F.xxhash64("item", "row"), F.lit(files)).alias("file"))
+    arrays = dealt.agg(F.array_join(F.sort_array(F.collect_list("item")), ",\n").alias("items"))
+    arrays.select("file", F.concat(F.lit("[\n"), "items", F.lit("\n]")).alias("value")).write.mode(mode).partitionBy("file").text(path)
+
+
+def read_json(spark: SparkSession, path: str, array_file: bool = False, bad_records: str | None = None) -> DataFrame:
+    """Profiles back from lines, or from files that each hold one JSON array.
+
+    ``bad_records`` names a column for the text of what is no profile; without it such rows have nulls only.
+    """
+    schema, reader = schemas.PROFILE, spark.read.option("multiLine", array_file)
+    if bad_records:
+        schema, reader = StructType([*schema.fields, StructField(bad_records, StringType())]), reader.option("columnNameOfCorruptRecord", bad_records)
+    return reader.schema(schema).json(path).select(*schema.names)
 
 
 CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}

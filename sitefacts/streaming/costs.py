@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,30 +35,53 @@ def start_totals(
     return writer.options(**options).trigger(availableNow=True).start()
 
 
-def final_totals(usage: DataFrame, folder: str) -> DataFrame:
-    """Totals once everything available has been read.
+COLUMNS = f"domain string, model_name string, prompt_tokens bigint, completion_tokens bigint, total_tokens bigint, cost_usd {TOTAL_COST}"
+COMPACTED_EVERY = 10  # micro-batches
 
-    Each micro-batch writes the rows it changed to a folder of its own number, so a batch that runs again
-    after a failure replaces its rows instead of repeating them. The last state of every row counts.
+
+def stored_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row in the store: ``slot``, the micro-batch that made it, and the totals after that batch."""
+    return spark.read.schema(f"slot string, batch bigint, {COLUMNS}").parquet(f"{folder}/state")
+
+
+def latest_totals(stored: DataFrame) -> DataFrame:
+    """The last totals of each domain and model, with the batch that made them."""
+    last = F.max_by(F.struct("batch", *TOTALS, "cost_usd"), "batch").alias("t")
+    return stored.groupBy("domain", "model_name").agg(last).select("t.batch", "domain", "model_name", *[f"t.{c}" for c in (*TOTALS, "cost_usd")])
+
+
+def store_batch(changed: DataFrame, batch: int, folder: str, every: int) -> None:
+    """Write the rows that a micro-batch changed, and after each ``every`` batches a snapshot of the last totals.
+
+    The store has a slot for each batch of a round of ``every``, and two for snapshots, in turns; writing replaces a slot.
+    A round's slots are written over only after its snapshot is complete, and that snapshot replaces the one before the last.
+    So there is always a whole snapshot and all changes since, whenever a run ends, and a batch that runs again writes the
+    same rows to the same slots. The store holds at most three rows for a key, and the rows of the batches of one round.
     """
+    write = lambda rows, slot: rows.write.mode("overwrite").parquet(f"{folder}/state/slot={slot}")
+    columns = [c for c in stored_totals(changed.sparkSession, folder).columns if c != "slot"]
+    write(changed.withColumn("batch", F.lit(batch).cast("bigint")).select(*columns), f"change{batch % every}")
+    if batch % every == every - 1:
+        turn = batch // every % 2
+        known = stored_totals(changed.sparkSession, folder).where(F.col("slot") != f"snapshot{turn}")
+        write(latest_totals(known).select(*columns), f"snapshot{turn}")
 
-    def write_batch(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{folder}/state/batch={batch}")
 
+def final_totals(usage: DataFrame, folder: str, every: int = COMPACTED_EVERY) -> DataFrame:
+    """Totals once everything available has been read; a later run with the same folder goes on from there.
+
+    Each micro-batch writes what it changed, see :func:`store_batch`; the last totals of every key count.
+    """
     spark = usage.sparkSession
-    columns = "domain string, model_name string, prompt_tokens bigint, completion_tokens bigint, total_tokens bigint"
-    columns += f", cost_usd {TOTAL_COST}"
-    # a batch without rows, so that there is a state to read if the source has none
-    spark.createDataFrame([], columns).write.mode("overwrite").parquet(f"{folder}/state/batch=-1")
-    totals = running_totals(usage)
+    # a slot without rows, so that there is a store to read if the source has none
+    spark.createDataFrame([], f"batch bigint, {COLUMNS}").write.mode("overwrite").parquet(f"{folder}/state/slot=none")
     query = (
-        totals.writeStream.outputMode("update")
+        running_totals(usage)
+        .writeStream.outputMode("update")
         .option("checkpointLocation", f"{folder}/checkpoint")
-        .foreachBatch(write_batch)
+        .foreachBatch(lambda changed, batch: store_batch(changed, batch, folder, every))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    state = spark.read.schema(f"batch int, {columns}").parquet(f"{folder}/state")
-    last = F.max_by(F.struct(*TOTALS, "cost_usd"), "batch").alias("t")
-    return state.groupBy("domain", "model_name").agg(last).select("domain", "model_name", "t.*")
+    return latest_totals(stored_totals(spark, folder)).drop("batch")

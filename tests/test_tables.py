@@ -72,6 +72,25 @@ def test_stream_adds_up_to_the_batch_and_goes_on_after_a_restart(spark, tmp_path
     assert as_rows(stream_costs.final_totals(stream(), folder)) == totals(calls)
 
 
+def test_stream_keeps_a_store_in_proportion_to_its_keys(spark, tmp_path):
+    source, folder = tmp_path / "calls", str(tmp_path / "run")
+    calls = [(f"d{i % 7}", "gpt-4o" if i % 2 else "x", i * 7, i) for i in range(240)]
+    for i in range(24):
+        spark.createDataFrame(calls[i * 10 : i * 10 + 10], USAGE).coalesce(1).write.mode("append").parquet(str(source))
+    stream = spark.readStream.schema(USAGE).option("maxFilesPerTrigger", 1).parquet(str(source))
+    found = stream_costs.final_totals(stream, folder, every=4)
+    as_rows = lambda df: sorted(tuple(r) for r in df.select("domain", "model_name", *costs.TOTALS, "cost_usd").collect())
+    expected = as_rows(costs.usage_totals(costs.usage_costs(spark.createDataFrame(calls, USAGE)), "domain", "model_name"))
+    assert as_rows(found) == expected
+    stored = stream_costs.stored_totals(spark, folder)
+    assert stored.select("slot").distinct().count() == 2 + 4 and stored.count() <= (2 + 4) * 14
+    before = as_rows(found)
+    again = stored.where("slot = 'change3'")  # the last batch runs again, snapshot and all
+    batch = again.first().batch
+    stream_costs.store_batch(spark.createDataFrame(again.drop("slot", "batch").collect(), stream_costs.COLUMNS), batch, folder, 4)
+    assert as_rows(stream_costs.latest_totals(stream_costs.stored_totals(spark, folder))) == before == expected
+
+
 def test_stream_of_an_empty_source_has_no_totals(spark, tmp_path):
     source = tmp_path / "none"
     source.mkdir()
@@ -102,6 +121,24 @@ def test_reading_an_array_file(spark, tmp_path):
     assert len(found) == 2 and found[0].metadata.total_tokens == 1800 and found[0].company_overview == "É."
 
 
+def test_array_files_and_bad_records(spark, stored, tmp_path):
+    tables.write_json_arrays(stored, str(tmp_path / "a"), rows=2)
+    files = list((tmp_path / "a").glob("*/part-*"))
+    assert len(files) > 1 and sum(len(json.loads(f.read_text(encoding="utf-8"))) for f in files) == stored.count()
+    back = tables.read_json(spark, str(tmp_path / "a"), array_file=True)
+    assert back.exceptAll(stored).count() == 0 and back.count() == stored.count()
+    (tmp_path / "b.json").write_text('{"domain": "a.org"}\n{"domain": [1]}\nno json\n', encoding="utf-8")
+    bad = tables.read_json(spark, str(tmp_path / "b.json"), bad_records="bad").cache()
+    assert bad.count() == 3 and [r.domain for r in bad.where("bad is null").collect()] == ["a.org"]
+
+
+def test_typed_readers(spark, sf, tmp_path):
+    for name, read, schema in (("pages", tables.read_pages, schemas.PAGES), ("responses", tables.read_responses, schemas.RESPONSES), ("hits", tables.read_hits, schemas.HITS)):
+        rows = spark.createDataFrame([], schema)
+        rows.write.parquet(str(tmp_path / name))
+        assert read(spark, str(tmp_path / name)).schema.names == schema.names
+
+
 def test_csv_export_keeps_quotes_and_line_breaks(spark, stored, tmp_path):
     odd = stored.withColumn("company_overview", F.lit('He said "a, b";\nnext line'))
     tables.write_csv(odd, str(tmp_path / "c"))
