@@ -165,6 +165,40 @@ p as (
 ), e as (select a, b from p union all select b, a from p),
 r(doc_id, seen) as (select doc_id, doc_id from documents union select e.b, r.seen from r join e on r.doc_id = e.a)
 select g.doc_id, len(g.s) as n_shingles, min(r.seen) as component_id from g join r on g.doc_id = r.doc_id group by g.doc_id, len(g.s)
+""",
+    "op13_spelling_variants": r"""
+with recursive crc as (
+    select list(list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end, i) order by i) as t from range(256) x(i)
+), runs as (
+    select doc_id, run, count(*) as n from (
+        select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents) group by all
+), hashed as (
+    select run, n, xor(4294967295, list_reduce(flatten(list_transform(string_split(coalesce(cast(doc_id as varchar), '') || ':' || run, ''),
+           lambda x: case when unicode(x) < 128 then [unicode(x)] else [195, unicode(x) - 64] end)),
+           lambda c, b: xor(crc.t[1 + (xor(c, b) & 255)], c >> 8), 4294967295)) as h from runs, crc
+), words as (
+    select word, cast(sum(n) as bigint) as n from (
+        select n, case when h % 31 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from hashed)
+    where length(word) >= 7 group by word having sum(n) >= 2
+), places as (select word, n, unnest(range(1, length(word) + 1)) as i from words),
+gaps as (select word, n, left(word, i - 1) || '*' || substr(word, i + 1) as gap from places),
+shorter as (select distinct word, n, left(word, i - 1) || substr(word, i + 1) as less from places),
+near as (
+    select a.word, b.word as other, b.n from gaps a join gaps b on a.gap = b.gap and a.word <> b.word
+    union all select s.word, w.word, w.n from shorter s join words w on w.word = s.less
+    union all select w.word, s.word, s.n from shorter s join words w on w.word = s.less
+), best as (
+    select word, other, n, count(*) over (partition by word) as n_near from near
+    qualify row_number() over (partition by word order by n desc, other) = 1
+), found as (
+    select w.word, w.n, coalesce(b.n_near, 0) as n_near, case when b.n >= 10 * w.n then b.other end as form, case when b.n >= 10 * w.n then b.n end as form_n
+    from words w left join best b on b.word = w.word
+), ways(word, root) as (
+    select word, word from found union all select ways.word, f.form from ways join found f on f.word = ways.root where f.form is not null
+)
+select f.word, f.form, r.root, f.n, f.n_near, f.form_n from found f
+join (select ways.word, ways.root from ways join found g on g.word = ways.root where g.form is null) r on r.word = f.word
 """,
     "op4_topk": """
 with v as (
