@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from sitefacts.functions.common import bind
 from sitefacts.llm.batches import unused
 from sitefacts.llm.components import connected
+from sitefacts.operators.rows import computed
 from sitefacts.plans.scratch import staged
 
 SHINGLE = 10  # characters
@@ -39,13 +40,9 @@ def last_shingle(units: Column, size: int) -> Column:
     return F.greatest(F.shiftright(F.length(units), 2) - size, F.lit(0))
 
 
-def shingles(line: Column, size: int) -> Column:
-    """The distinct character shingles of a line, as hashes."""
-
-    def of(units: Column) -> Column:
-        return F.array_distinct(F.transform(F.sequence(F.lit(0), last_shingle(units, size)), lambda at: shingle(units, at, size)))
-
-    return bind(F.encode(line, "UTF-32"), of)
+def shingles(units: Column, size: int) -> Column:
+    """All character shingles of an encoded line, as hashes."""
+    return F.transform(F.sequence(F.lit(0), last_shingle(units, size)), lambda at: shingle(units, at, size))
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -55,12 +52,16 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def lines_of(rows: DataFrame) -> DataFrame:
     """``(id, row, pos, line, k1, k2)``: lines with a letter or digit, trimmed. Two hashes name equal lines."""
     every = rows.select("id", "row", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    trimmed = every.withColumn("line", F.btrim("line", F.lit(" \t\r"))).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
+    line = F.col("line")
+    blank = F.lit(False)
+    for c in (" ", "\t", "\r"):
+        blank = blank | line.startswith(c) | line.endswith(c)
+    trimmed = every.withColumn("line", F.when(blank, F.btrim(line, F.lit(" \t\r"))).otherwise(line)).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
     return trimmed.select("id", "row", "pos", "line", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
 
 
 def signatures(lines: DataFrame, size: int, hashes: int) -> DataFrame:
-    """MinHash values ``m0, m1, ...`` of each distinct line.
+    """MinHash values ``m0, m1, ...`` of each distinct line, and ``weight``, how often it occurs.
 
     Lines are merged first, which deals them out by their names; all that follows stays in the tasks that this gives.
     Signatures are made of all the shingles that the exact comparison uses, in every line, some shingles to a row. One
@@ -69,29 +70,29 @@ def signatures(lines: DataFrame, size: int, hashes: int) -> DataFrame:
     draw = random.Random(17)
     low = F.lit((1 << 32) - 1)
     draws = [(draw.randrange(1 << 32), draw.randrange(1, 1 << 31, 2)) for _ in range(hashes)]
-    distinct = lines.groupBy("k1", "k2").agg(F.first("line").alias("line"))
-    encoded = distinct.select("k1", "k2", F.encode("line", "UTF-32").alias("units"))
+    distinct = lines.groupBy("k1", "k2").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("weight"))
+    encoded = distinct.select("k1", "k2", "weight", F.encode("line", "UTF-32").alias("units"))
     spread = encoded.withColumn("last", last_shingle(F.col("units"), size)).withColumn("at", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(AT_ONCE))))
     some = [shingle(F.col("units"), F.least(F.col("at") + j, F.col("last")), size).bitwiseAND(low).alias(f"h{j}") for j in range(AT_ONCE)]
-    hashed = spread.select("k1", "k2", *some)
+    hashed = spread.select("k1", "k2", "weight", *some)
 
     def permuted(mask: int, odd: int) -> list[Column]:
         return [(F.col(f"h{j}").bitwiseXOR(F.lit(mask)) * F.lit(odd).cast("bigint")).bitwiseAND(low) for j in range(AT_ONCE)]
 
-    return hashed.groupBy("k1", "k2").agg(*[F.min(F.least(*permuted(*d))).alias(f"m{i}") for i, d in enumerate(draws)])
+    return hashed.groupBy("k1", "k2").agg(F.first("weight").alias("weight"), *[F.min(F.least(*permuted(*d))).alias(f"m{i}") for i, d in enumerate(draws)])
 
 
 def bucket_members(lines: DataFrame, size: int, bands: int, band_rows: int) -> DataFrame:
-    """``(bucket, k1, rank)`` of the buckets with several lines, numbered from 1 within each.
+    """``(bucket, k1, rank)`` of the buckets with several lines, numbered from 1 within each, the most frequent first.
 
-    A line is in one bucket for every choice of ``band_rows`` of the ``band_rows + 1`` values of a band.
+    A frequent line is what rarer ones are variants of, so it links most of them in the first round. A line is in one bucket for every choice of ``band_rows`` of the ``band_rows + 1`` values of a band.
     """
     values = band_rows + 1
     signed = signatures(lines, size, bands * values)
     chosen = [(b, c) for b in range(bands) for c in itertools.combinations(range(values), band_rows)]
     keys = [F.xxhash64(F.lit(k), *[F.col(f"m{b * values + i}") for i in c]) for k, (b, c) in enumerate(chosen)]
-    placed = signed.select("k1", F.explode(F.array(*keys)).alias("bucket"))
-    within = Window.partitionBy("bucket").orderBy("k1")
+    placed = signed.select("k1", "weight", F.explode(F.array(*keys)).alias("bucket"))
+    within = Window.partitionBy("bucket").orderBy(F.desc("weight"), F.asc("k1"))
     ranked = placed.withColumn("rank", F.row_number().over(within)).withColumn("next", F.lead("k1").over(within))
     return ranked.where("rank > 1 or next is not null").select("bucket", "k1", "rank")
 
@@ -119,34 +120,43 @@ def wanted_lines(lines: DataFrame, wanted: DataFrame, most_bits: int) -> DataFra
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose lines have at least ``percent`` per cent of their shingles in common."""
+    """The pairs ``(a, b)`` whose lines have at least ``percent`` per cent of their shingles in common.
+
+    There are few lines ``a`` with many pairs each: their sets are made once, before the join that meets them. A line
+    ``b`` that is too short for any such set goes at once; its set is made once for each other pair.
+    """
+    centres = texts.join(pairs.select(F.col("a").alias("k1")).distinct(), "k1", "left_semi")
+    of_line = lambda line: bind(F.encode(line, "UTF-32"), lambda units: F.array_distinct(shingles(units, size)))
+    sets = computed(centres, x=of_line("line")).select(F.col("k1").alias("a"), "x")
+    met = pairs.join(texts.toDF("b", "line"), "b").join(sets, "a")
 
-    def alike(x: Column, y: Column) -> Column:
-        least, most = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
-        exact = bind(F.size(F.array_intersect(x, y)), lambda both: both * 100 >= (F.size(x) + F.size(y) - both) * percent)
-        return (least * 100 >= most * percent) & exact
+    def alike(y: Column) -> Column:
+        return F.size(F.array_intersect("x", y)) * (100 + percent) >= (F.size("x") + F.size(y)) * percent
 
-    similar = bind(shingles(F.col("x"), size), lambda x: bind(shingles(F.col("y"), size), lambda y: alike(x, y)))  # each set is made once
-    first, second = texts.toDF("a", "x"), texts.toDF("b", "y")
-    return pairs.join(first, "a").join(second, "b").where(similar).select("a", "b")
+    long_enough = F.greatest(F.char_length("line") - (size - 1), F.lit(1)) * 100 >= F.size("x") * percent
+    similar = F.when(long_enough, bind(of_line("line"), alike)).otherwise(False)  # shared / (sizes - shared) >= percent / 100
+    return met.where(similar).select("a", "b")
 
 
 def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows: int, bits: int) -> DataFrame:
     """``(k1, root)`` of the distinct lines that are linked to others.
 
-    Each bucket compares all pairs of its lines that are not in one component, in rounds: the first line with the
+    Each bucket compares all pairs of its lines that are not in one component, in rounds: the most frequent line with the
     others, then the next three with those after them, and so on by fours. The lines of a large group join one
-    component in the first rounds, so later rounds hold what differs only.
+    component in the first rounds, so later rounds hold what differs only. Lines have the same order in all buckets, and
+    no pair is compared twice.
     """
     members = staged(bucket_members(lines, size, bands, band_rows), "line-buckets")
     texts = staged(wanted_lines(lines, members.select("k1").distinct(), bits), "line-texts")
-    links, roots = None, None
+    links, roots, compared = None, None, None
     low, high = 0, FIRST_CENTRES
     left = members.withColumn("root", F.col("k1"))
     while True:
         centres = left.where((F.col("rank") > low) & (F.col("rank") <= high)).select("bucket", F.col("k1").alias("a"), F.col("rank").alias("r"), F.col("root").alias("ra"))
         others = left.where(F.col("rank") > low + 1).select("bucket", F.col("k1").alias("b"), "rank", F.col("root").alias("rb"))
-        pairs = others.join(centres, "bucket").where("rank > r and ra != rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = others.join(centres, "bucket").where("rank > r and ra != rb").select("a", "b").distinct()
+        pairs = staged(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "line-pairs")
+        compared = pairs if compared is None else compared.unionByName(pairs)
         found = staged(verified(pairs, texts, size, percent), "line-links")
         links = found if links is None else links.unionByName(found)
         roots = connected(links, "line-components")
