@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import functools
 import itertools
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,8 +36,8 @@ LONGEST_CODE = 20  # bits; more only for more than 2**20 distinct ids. A table o
 TABLE_BITS = 25  # the longest code that one 32-bit window holds at any offset within a byte
 CHECKPOINT = 128  # ids between two checkpoints
 BLOCK_TOKENS = 1 << 18  # a block ends with the document that reaches this
-TEXT_BYTES = 2 << 20  # tokenized at once, or one document
-CACHED_PIECES = 300_000  # bounds a task's memory; the cache starts anew beyond it
+TEXT_BYTES = 3 << 20  # tokenized at once, or one document
+CACHED_PIECES = 420_000  # bounds a task's memory; the cache starts anew beyond it
 PIECES_AT_ONCE = 20_000
 
 # What may follow a space that begins a piece: visible ASCII, or the first byte of a character that is no white space
@@ -50,9 +49,15 @@ ASCII_MARK = np.array([0x21 <= b <= 0x7E and not chr(b).isalpha() and b != 0x27
 LATIN_END = np.array([0x80 <= b <= 0xBF and b not in (0x97, 0xB7) for b in range(256)])  # after C3: a letter, as these are the two signs
 
 # Byte-level vocabularies write visible bytes as their Latin-1 characters and the others as those from U+0100 on.
-_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
-SINGLE = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one unit to the tokenizer
+_HIDDEN = [b for b in range(256) if b not in range(0x21, 0x7F) and b not in range(0xA1, 0xAD) and b not in range(0xAE, 0x100)]
+WRITTEN = np.array([256 + _HIDDEN.index(b) if b in _HIDDEN else b for b in range(256)], "<u4")
+
+
+def latin_letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes are ASCII letters or end a Latin letter of two bytes that begins with C3."""
+    letter = ASCII_LETTER[data]
+    letter[1:] |= LATIN_END[data[1:]] & (data[:-1] == 0xC3)
+    return letter
 
 
 class PieceEncoder:
@@ -79,22 +84,28 @@ class PieceEncoder:
         self.ids, self.used = np.full(1 << 16, self.end_id, np.uint32), 1
         self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
 
-    def ids_of(self, pieces: list[str]) -> list[list[int]]:
+    def ids_of(self, pieces: pa.Array) -> list[list[int]]:
         """Pieces of letters go to the vocabulary's merges directly, all others through the whole tokenizer."""
-        found: list = [None] * len(pieces)
-        for i, piece in enumerate(pieces):
-            if SINGLE.fullmatch(piece):
-                written = piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-                found[i] = [token.id for token in self.model.tokenize(written)]
-        others = [i for i, own in enumerate(found) if own is None]
-        for i, encoding in zip(others, self.encode([pieces[i] for i in others])):
+        data, offsets = utf8(pieces)
+        letter = latin_letters(data)
+        letter[:-1] |= (data[:-1] == 0xC3) & letter[1:]  # with the first bytes of letters of two
+        spaced = offsets[:-1][data[offsets[:-1]] == 0x20]
+        spaced = spaced[np.append(offsets[1:], 0)[np.searchsorted(offsets[:-1], spaced)] > spaced + 1]
+        letter[spaced] = True  # a space before other characters is one unit with them
+        single = np.logical_and.reduceat(letter, offsets[:-1])
+        written = WRITTEN[data].tobytes().decode("utf-32-le")  # a character for each byte
+        places, tokenize, found = offsets.tolist(), self.model.tokenize, [None] * len(pieces)
+        for i in np.flatnonzero(single).tolist():
+            found[i] = [token.id for token in tokenize(written[places[i] : places[i + 1]])]
+        others = np.flatnonzero(~single)
+        for i, encoding in zip(others.tolist(), self.encode(pieces.take(pa.array(others)).to_pylist())):
             found[i] = encoding.ids
         return found
 
-    def learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), PIECES_AT_ONCE):
-            some = pieces[at : at + PIECES_AT_ONCE]
-            found = self.ids_of(some)
+    def learn(self, words: list[str], pieces: pa.Array) -> None:
+        for at in range(0, len(words), PIECES_AT_ONCE):
+            some = words[at : at + PIECES_AT_ONCE]
+            found = self.ids_of(pieces.slice(at, PIECES_AT_ONCE))
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
             if self.used + len(ids) > len(self.ids):
@@ -108,8 +119,7 @@ class PieceEncoder:
     def piece_starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The first byte of every piece; pieces end with their text."""
         begins, after = np.zeros(len(data) + 1, bool), data[1:]
-        letter = ASCII_LETTER[data]
-        letter[1:] |= LATIN_END[after] & (data[:-1] == 0xC3)
+        letter = latin_letters(data)
         begins[1:-1] = ((letter[:-1]) & ASCII_OTHER[after]) | (ASCII_MARK[data[:-1]] & ASCII_LETTER[after])
         begins[: max(0, len(data) - 1)] |= (data[:-1] == 0x20) & VISIBLE[after]
         for token in self.special:
@@ -133,7 +143,9 @@ class PieceEncoder:
         words = coded.dictionary.to_pylist()
         if len(self.known) + len(words) > CACHED_PIECES:
             self.clear()
-        self.learn([w for w in words if w not in self.known])
+        new = [i for i, word in enumerate(words) if word not in self.known]
+        if new:
+            self.learn([words[i] for i in new], coded.dictionary.take(pa.array(new)))
         numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         return numbers[coded.indices.to_numpy()], np.diff(np.searchsorted(firsts, offsets))
 

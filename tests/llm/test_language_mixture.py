@@ -65,3 +65,41 @@ def test_copies_of_a_text_do_not_crowd_out_the_others(spark):
     found = lm.training_texts(docs, {"rare": 5, "much": 1001}, 50).groupBy("lang").agg(F.count("text").alias("n"), F.count_distinct("text").alias("d"))
     assert {r["lang"]: (r["n"], r["d"]) for r in found.collect()} == {"rare": (5, 5), "much": (50, 50)}
     assert np.array_equal(lm.fit(docs, training_docs=50).weights, lm.fit(docs.distinct(), training_docs=50).weights)
+
+
+def plain_fit(likelihood, chosen, rounds):
+    """Expectation maximisation word by word over some languages; proportions and log likelihood."""
+    share = {k: 1 / len(chosen) for k in chosen}
+    for _ in range(rounds):
+        sums = dict.fromkeys(chosen, 0.0)
+        for word in likelihood:
+            total = sum(share[k] * word[k] for k in chosen)
+            for k in chosen:
+                sums[k] += share[k] * word[k] / total
+        share = {k: v / len(likelihood) for k, v in sums.items()}
+    return share, sum(np.log(sum(share[k] * word[k] for k in chosen)) for word in likelihood)
+
+
+def test_language_sets_against_trying_all(fitted):
+    """The set found by dropping one language at a time is the best of all sets under the penalty, with its proportions."""
+    import itertools
+
+    held, model = fitted
+    texts = {r["lang"]: r["text"].split() for r in held.groupBy("lang").agg(F.max_by("text", F.length("text")).alias("text")).collect()}
+    names = sorted(texts)
+    mixes = [[(names[0], 60)], [(names[1], 80), (names[2], 80)], [(names[3], 100), (names[0], 40)], [(names[0], 60), (names[1], 60), (names[2], 60)]]
+    for mix in mixes:
+        text = " ".join(" ".join(texts[lang][:n]) for lang, n in mix)
+        bins, starts, _ = lm.word_grams(pa.array([text]))
+        scores = np.add.reduceat(model.weights[bins].astype(float), starts, axis=0)
+        likelihood = np.exp(scores - scores.max(axis=1, keepdims=True)).clip(1e-300)
+        best = None
+        for size in range(1, len(model.names) + 1):
+            for chosen in itertools.combinations(range(len(model.names)), size):
+                share, fitness = plain_fit(likelihood, chosen, 40)
+                value = fitness - 0.5 * lm.PENALTY * np.log(len(starts)) * size
+                if best is None or value > best[0]:
+                    best = value, share
+        found = lm.mixtures(pa.array([text]), model)[0]
+        assert {model.names[i] for i in np.flatnonzero(found)} == {model.names[i] for i in best[1]} == {lang for lang, _ in mix}
+        assert all(abs(found[i] - share) < 0.02 for i, share in best[1].items())

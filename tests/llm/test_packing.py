@@ -61,3 +61,16 @@ def test_repeated_rows_empty_tables_and_lists(spark):
     assert packing.decompose(docs.limit(0), FILE).count() == 0
     with pytest.raises(ValueError):
         packing.decompose(docs, FILE, sequence_tokens=1000)
+
+
+def test_buckets_hold_equal_lengths(spark, tmp_path):
+    """Written by length, every file holds sequences of one length, and together they hold all ids."""
+    docs = spark.createDataFrame([(i, f"word{i} " * (i % 90)) for i in range(200)], "doc_id bigint, text string")
+    pieces = packing.token_lists(packing.decompose(docs, FILE, sequence_tokens=64))
+    packing.write_buckets(pieces, str(tmp_path / "buckets"))
+    back = spark.read.parquet(str(tmp_path / "buckets"))
+    assert sorted(map(tuple, back.select("doc_id", "start", "length", "ids").collect())) == sorted(map(tuple, pieces.select("doc_id", "start", "length", "ids").collect()))
+    folders = {f.name: f for f in (tmp_path / "buckets").glob("length=*")}
+    assert set(folders) == {f"length={1 << k}" for k in range(7)}
+    for name, folder in folders.items():
+        assert {len(r["ids"]) for r in spark.read.parquet(str(folder)).collect()} == {int(name[7:])}
