@@ -127,9 +127,10 @@ def test_array_files_and_bad_records(spark, stored, tmp_path):
     assert len(files) > 1 and sum(len(json.loads(f.read_text(encoding="utf-8"))) for f in files) == stored.count()
     back = tables.read_json(spark, str(tmp_path / "a"), array_file=True)
     assert back.exceptAll(stored).count() == 0 and back.count() == stored.count()
-    (tmp_path / "b.json").write_text('{"domain": "a.org"}\n{"domain": [1]}\nno json\n', encoding="utf-8")
+    (tmp_path / "b.json").write_text('{"domain": "a.org"}\n{"domain": "b.org", "contact_points": 7}\nno json\n', encoding="utf-8")
     bad = tables.read_json(spark, str(tmp_path / "b.json"), bad_records="bad").cache()
     assert bad.count() == 3 and [r.domain for r in bad.where("bad is null").collect()] == ["a.org"]
+    assert sorted(r.bad for r in bad.where("bad is not null").collect()) == ["no json", '{"domain": "b.org", "contact_points": 7}']
 
 
 def test_typed_readers(spark, sf, tmp_path):
