@@ -28,6 +28,7 @@ LEAST_DOCS, LEAST_SHARE = 3, 0.006  # training documents that must hold a featur
 KNOWN_WORDS = 200_000  # words a task keeps the features of; it starts anew beyond
 EMBEDDING, HIDDEN, ATTENTION = 12, 8, 6
 TRAINING_DOCS, TRAINING_WORDS = 2000, 600_000  # bounds on the sampled documents of each label, and on their words
+TRAINING_SHARE = 3  # one label's training words are at most so many times the other's
 EPOCHS, BATCH, RATE, DECAY = 6, 64, 0.01, 0.1
 THRESHOLD = 0.7
 SLICE = 512  # windows scored together
@@ -323,8 +324,8 @@ def fit(
     """Train on a bounded sample of labelled documents, balanced between the labels.
 
     Of each label the ``training_docs`` ids with the smallest hash are candidates; of these, in that order, whole
-    documents are taken while their words add up to no more than ``training_words``, and longer ones passed over. Both
-    bounds are parameters; nothing else of the labels is used. All windows of the taken documents are read. An id
+    documents are taken while their words add up to no more than ``training_words``, and longer ones passed over; then
+    the larger label's while they are at most ``TRAINING_SHARE`` times the other's. The bounds are parameters; nothing else of the labels is used. All windows of the taken documents are read. An id
     labelled more than once counts as toxic if any label does; null labels and ids are left out; of repeated rows each
     counts. Without two labels the network is constant.
     """
@@ -347,6 +348,13 @@ def fit(
     fitting = found.where(F.col("words") <= training_words).withColumn("sum", F.sum("words").over(in_order))
     rows = fitting.where(F.col("sum") <= training_words).select("label", "draw", "words", "text").collect()
     rows.sort(key=lambda r: (r["draw"], r["label"], r["words"], r["text"]))
+    words = [sum(r["words"] for r in rows if r["label"] == label) for label in (0, 1)]
+    if min(words):
+        taken = [0, 0]
+        for r in list(rows):
+            taken[r["label"]] += r["words"]
+            if taken[r["label"]] > TRAINING_SHARE * words[1 - r["label"]]:
+                rows.remove(r)
     return train([r["text"] for r in rows], np.array([r["label"] for r in rows], np.float32))
 
 
