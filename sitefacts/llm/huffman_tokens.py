@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import operator
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -53,6 +54,9 @@ _HIDDEN = [b for b in range(256) if b not in range(0x21, 0x7F) and b not in rang
 WRITTEN = np.array([256 + _HIDDEN.index(b) if b in _HIDDEN else b for b in range(256)], "<u4")
 
 
+ID = operator.attrgetter("id")
+
+
 def latin_letters(data: np.ndarray) -> np.ndarray:
     """Which bytes are ASCII letters or end a Latin letter of two bytes that begins with C3."""
     letter = ASCII_LETTER[data]
@@ -96,7 +100,7 @@ class PieceEncoder:
         written = WRITTEN[data].tobytes().decode("utf-32-le")  # a character for each byte
         places, tokenize, found = offsets.tolist(), self.model.tokenize, [None] * len(pieces)
         for i in np.flatnonzero(single).tolist():
-            found[i] = [token.id for token in tokenize(written[places[i] : places[i + 1]])]
+            found[i] = list(map(ID, tokenize(written[places[i] : places[i + 1]])))
         others = np.flatnonzero(~single)
         for i, encoding in zip(others.tolist(), self.encode(pieces.take(pa.array(others)).to_pylist())):
             found[i] = encoding.ids
@@ -143,10 +147,11 @@ class PieceEncoder:
         words = coded.dictionary.to_pylist()
         if len(self.known) + len(words) > CACHED_PIECES:
             self.clear()
-        new = [i for i, word in enumerate(words) if word not in self.known]
-        if new:
-            self.learn([words[i] for i in new], coded.dictionary.take(pa.array(new)))
-        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter((self.known.get(word, -1) for word in words), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = len(self.starts) + np.arange(len(new))  # the numbers that they are given now
+            self.learn([words[i] for i in new.tolist()], coded.dictionary.take(pa.array(new)))
         return numbers[coded.indices.to_numpy()], np.diff(np.searchsorted(firsts, offsets))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
