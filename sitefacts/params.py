@@ -143,3 +143,10 @@ REPEATED_BLOCK_PAGES = 3
 
 # Rows of one join key that a task joins; keys with more are spread over several.
 HOT_KEY_ROWS = 200_000
+
+# --- size of tasks: no result depends on these ----------------------------------------------------------
+
+# Bytes of page text that one task parses, a matter of some 10 to 20 seconds.
+TASK_BYTES = 8 << 20
+# Sites whose pages one task derives and parses.
+TASK_ROWS = 1000

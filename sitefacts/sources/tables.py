@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sitefacts import schemas
+from sitefacts import params, schemas
 from sitefacts.operators.profiles import FIELDS, flat_profiles
 
 
@@ -83,3 +83,20 @@ def spread_small(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def spread_text(df: DataFrame, text: str, size: int = params.TASK_BYTES) -> DataFrame:
+    """Deal rows out anew, into partitions of about ``size`` bytes of text, if a partition holds more than that.
+
+    Tasks then keep their length as the input grows. The number and size of files says little about that: a row group
+    is never split, and repeated text is small in a file. The bytes are counted in a pass over the text.
+    """
+    held = df.select(F.spark_partition_id().alias("part"), F.octet_length(text).alias("bytes")).groupBy("part")
+    total, most = held.agg(F.sum("bytes").alias("bytes")).agg(F.sum("bytes"), F.max("bytes")).first()
+    return df if (most or 0) <= size else df.repartition(-(-total // size))
+
+
+def spread_rows(df: DataFrame, rows: int = params.TASK_ROWS) -> DataFrame:
+    """Deal short rows out, about ``rows`` to a partition, before each grows to several pages; so few pass unchanged."""
+    count = df.count()
+    return df if count <= rows else df.repartition(-(-count // rows))

@@ -257,3 +257,30 @@ def test_outcomes_keep_their_rows(spark, sf):
     assert out.count() == raw.count()
     assert out.where("outcome = 'partial' and (status_code <> 408 or not success or html = '')").count() == 0
     assert out.where("outcome in ('timeout', 'error') and (success or html <> '')").count() == 0
+
+
+def test_text_is_dealt_out_by_its_bytes(spark):
+    """More partitions than cores, one of them with nearly all the text, as a large row group reads."""
+    size = F.when(F.col("id") < 100, 1000).otherwise(1).cast("int")
+    given = spark.range(0, 1000, 1, 10).select("id", F.repeat(F.lit("x"), size).alias("html"))
+    found = tables.spread_text(given, "html", size=10_000)
+    held = found.groupBy(F.spark_partition_id()).agg(F.sum(F.length("html")).alias("n")).collect()
+    assert len(held) == 11 and max(r.n for r in held) <= 20_000
+    assert sorted(found.collect()) == sorted(given.collect())
+    assert "Exchange" not in plan(tables.spread_text(given, "html", size=200_000))
+    empty = spark.createDataFrame([(1, None)], "id int, html string")
+    assert tables.spread_text(empty, "html").collect() == empty.collect()
+    assert tables.spread_text(empty.where("id > 1"), "html").count() == 0
+
+
+def test_no_task_has_more_pages_as_input_grows(spark, tmp_path):
+    """Both the pages that sites are made into and the given ones lie in one partition each, and in files of some bytes."""
+    sites, pages_ = 20 * params.TASK_ROWS, 12 * params.TASK_BYTES // 100_000
+    spark.range(0, sites, 1, 1).select(F.col("id").alias("s_suppkey")).write.parquet(str(tmp_path / "supplier.parquet"))
+    html = F.repeat(F.lit("x"), 100_000).alias("html")
+    given = spark.range(0, pages_, 1, 1).select(F.col("id").alias("page_id"), F.lit("http://a.org/").alias("url"), html)
+    given.write.parquet(str(tmp_path / "pages.parquet"))
+    found = entry_module.all_pages(spark, str(tmp_path))
+    held = found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("pages"), F.sum(F.octet_length("html")).alias("bytes")).collect()
+    assert max(r.pages for r in held) <= 4 * params.TASK_ROWS * 1.1 and max(r.bytes for r in held) <= params.TASK_BYTES * 1.2
+    assert sum(r.pages for r in held) == 4 * sites + pages_ == found.select("page").distinct().count()
