@@ -7,7 +7,6 @@ power-of-two lengths, need no padding and never hold two documents; training tak
 from __future__ import annotations
 
 import functools
-import re
 from array import array
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ END_ID = 1
 CACHED_PARTS = 600_000  # bounds a task's memory; the cache starts anew beyond it
 PARTS_AT_ONCE = 20_000
 WORD_END = "</w>"
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%$&*#|()\"-]*)")  # composed letters, whose lower case is one letter
+PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?%$&*#|()\"-]*)$"  # composed letters, whose lower case is one letter
 
 
 class WordEncoder:
@@ -74,30 +73,30 @@ class WordEncoder:
             found = [e.ids for e in self.encode(some)]
             self.keep(some, np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found]))
 
-    def places(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The two parts of each word."""
         if len(self.known) + len(words) > CACHED_PARTS:
             self.clear()
-        heads, tails, new, odd = [], [], set(), set()
-        for word in words:
-            match = PLAIN.fullmatch(word)
-            head, tail = (match[1].lower(), match[2]) if match else (word, "")
-            if head not in self.known:
-                (new if match else odd).add(head)
-            if tail not in self.known:
-                new.add(tail)
-            heads.append(head)
-            tails.append(tail)
+        plain = pc.extract_regex(words, PLAIN)  # null for other words
+        letters, marks = plain.field("letters"), plain.field("marks")
+        heads = pc.if_else(plain.is_valid(), pc.utf8_lower(letters), words).dictionary_encode()
+        tails = pc.if_else(plain.is_valid(), marks, "").dictionary_encode()
+        some, ends = heads.dictionary.to_pylist(), tails.dictionary.to_pylist()
+        is_plain = pc.match_substring_regex(heads.dictionary, PLAIN).to_pylist()
+        new = {head for head, single in zip(some, is_plain) if single and head not in self.known}
+        new.update(tail for tail in ends if tail not in self.known)
+        odd = {head for head, single in zip(some, is_plain) if not single and head not in self.known}
         self.learn(sorted(new), single=True)
         self.learn(sorted(odd - new), single=False)
         of = self.known.__getitem__
-        return np.fromiter(map(of, heads), np.int64, len(words)), np.fromiter(map(of, tails), np.int64, len(words))
+        head_at, tail_at = np.fromiter(map(of, some), np.int64, len(some)), np.fromiter(map(of, ends), np.int64, len(ends))
+        return head_at[heads.indices.to_numpy()], tail_at[tails.indices.to_numpy()]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each closed by the end id, and the number of ids of each text."""
         split = pc.ascii_split_whitespace(texts)
         coded = pc.dictionary_encode(split.flatten())
-        heads, tails = self.places(coded.dictionary.to_pylist())
+        heads, tails = self.places(coded.dictionary)
         at = coded.indices.to_numpy()
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         parts = np.empty((len(at), 2), np.int64)

@@ -53,6 +53,25 @@ def test_sequences_are_unique_and_short_caches_change_nothing(spark, monkeypatch
     assert ids.tolist() == np.frombuffer(b"".join(p["ids"] for p in in_order), "<u4").tolist()
 
 
+def test_words_are_told_apart_many_at_once():
+    """Each distinct part of words is looked up once, not twice for each word."""
+    import pyarrow as pa
+
+    class Counted(dict):
+        asked = 0
+
+        def __contains__(self, part):
+            Counted.asked += 1
+            return super().__contains__(part)
+
+    encoder = packing.WordEncoder(FILE, 1)
+    encoder.known = Counted(encoder.known)
+    text = " ".join(f"{head}{'!' * n}" for head in ("Ärger", "two", "ÀB", "x×y", "3d") for n in range(50))
+    ids, sizes = encoder(pa.array([text]))
+    assert ids.tolist() == Tokenizer.from_file(FILE).encode(text, add_special_tokens=False).ids + [1] and sizes.tolist() == [len(ids)]
+    assert Counted.asked <= 3 + 50 + 2 * 50
+
+
 def test_repeated_rows_empty_tables_and_lists(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id bigint, text string")
     found = packing.token_lists(packing.decompose(docs, FILE))
