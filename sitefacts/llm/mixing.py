@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitefacts.llm.batches import text_chunks, utf8
+from sitefacts.llm.batches import released, text_chunks, utf8
 from sitefacts.plans.scratch import staged
 
 BINS = 2048  # hashed words
@@ -121,7 +121,7 @@ def fit_classifier(
             found = np.hstack([10 * counts / np.maximum(words, 1)[:, None], shares(batch.column("text"))]).astype("<f4")
             yield pa.RecordBatch.from_arrays([batch.column("domain"), pa.array([f.tobytes() for f in found], pa.binary())], names=["domain", "features"])
 
-    rows = texts.mapInArrow(describe, "domain int, features binary").collect()
+    rows = texts.mapInArrow(released(describe), "domain int, features binary").collect()
     rows.sort(key=lambda r: (r["domain"], r["features"]))
     size = BINS + len(CLASSES)
     features = np.frombuffer(b"".join(r["features"] for r in rows), "<f4").reshape(-1, size)
@@ -202,7 +202,7 @@ def mix(
             p, tokens = posteriors(batch.column("text"), held.value)
             yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(list(p), pa.list_(pa.float64()))], names=["tokens", "p"])
 
-    members = staged(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(describe, "tokens bigint, p array<double>"), "mixing-posteriors")
+    members = staged(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(released(describe), "tokens bigint, p array<double>"), "mixing-posteriors")
     available = members.agg(F.sum("tokens")).first()[0] or 0
     moves = fit_rates(members, wanted * ((total_tokens or available) / available), available) if available else []
 
@@ -217,7 +217,7 @@ def mix(
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema if f.name != "__text"]
-    rated = plain.mapInArrow(rate, ", ".join([*kept, "tokens bigint", "posteriors array<double>", "rate double"]))
+    rated = plain.mapInArrow(released(rate), ", ".join([*kept, "tokens bigint", "posteriors array<double>", "rate double"]))
     return rated.withColumn("copies", rounded(F.col("rate"), F.col(id_col)))
 
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitefacts.llm.batches import lists, ragged, text_chunks
+from sitefacts.llm.batches import lists, ragged, released, text_chunks
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
@@ -123,10 +123,12 @@ def decompose(
     text_col: str = "text",
     sequence_tokens: int = SEQUENCE_TOKENS,
     end_id: int = END_ID,
+    as_lists: bool = False,
 ) -> DataFrame:
     """One row per piece: ``id_col, start, length, doc_tokens, sequence_id, offset, ids``.
 
-    ``ids`` are unsigned 32-bit little-endian token ids. A piece is the sequence ``sequence_id`` from offset 0. A null
+    ``ids`` are unsigned 32-bit little-endian token ids, or with ``as_lists`` arrays of integers, as ``token_lists`` gives
+    them but without further workers. A piece is the sequence ``sequence_id`` from offset 0. A null
     or empty text is the end id alone. Repeated documents give repeated pieces with sequence ids of their own; null
     document ids pass through; other columns are left out. ``sequence_tokens`` must be a power of two. Narrow: no
     shuffle, and a task holds the tokens of a few megabytes of text, or of one document.
@@ -142,18 +144,21 @@ def decompose(
             ends = np.cumsum(lengths)
             row = np.repeat(np.arange(batch.num_rows), counts)
             starts = ends - lengths - (np.cumsum(tokens) - tokens)[row]
-            raw = pa.Array.from_buffers(
-                pa.binary(), len(lengths),
-                [None, pa.py_buffer(np.concatenate([[0], ends * 4]).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))],
-            )
+            if as_lists:
+                held = lists(pa.array(ids.astype(np.int32)), lengths)
+            else:
+                held = pa.Array.from_buffers(
+                    pa.binary(), len(lengths),
+                    [None, pa.py_buffer(np.concatenate([[0], ends * 4]).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))],
+                )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(row)), pa.array(starts), pa.array(lengths), pa.array(tokens[row]), raw],
+                [batch.column("id").take(pa.array(row)), pa.array(starts), pa.array(lengths), pa.array(tokens[row]), held],
                 names=["id", "start", "length", "doc_tokens", "ids"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        pieces, f"id {kind}, start bigint, length bigint, doc_tokens bigint, ids binary"
+        released(pieces), f"id {kind}, start bigint, length bigint, doc_tokens bigint, ids {'array<int>' if as_lists else 'binary'}"
     )
     return found.select(
         F.col("id").alias(id_col), "start", "length", "doc_tokens",

@@ -19,13 +19,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitefacts.llm.batches import ragged, text_chunks, unused
+from sitefacts.llm.batches import ragged, release, released, text_chunks, unused
 from sitefacts.plans.scratch import staged
 
 WINDOW, STRIDE = 64, 48  # words; neighbours share 16
 GRAM, BEGINNINGS = 4, (5, 6, 7, 8)  # characters
 LEAST_DOCS, LEAST_SHARE = 3, 0.006  # training documents that must hold a feature, so that none is learnt by heart
-KNOWN_WORDS = 200_000  # words a task keeps the features of; it starts anew beyond
+KNOWN_WORDS = 100_000  # words a task keeps the features of; it starts anew beyond
 EMBEDDING, HIDDEN, ATTENTION = 12, 8, 6
 TRAINING_DOCS, TRAINING_WORDS = 2000, 600_000  # bounds on the sampled documents of each label, and on their words
 TRAINING_SHARE = 3  # one label's training words are at most so many times the other's
@@ -343,7 +343,7 @@ def fit(
             sizes = pa.array([len(words_of(t)) for t in batch.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("label", "draw", "text")), sizes], names=["label", "draw", "text", "words"])
 
-    found = staged(texts.mapInArrow(count, "label int, draw bigint, text string, words bigint"), "toxicity-sample")
+    found = staged(texts.mapInArrow(released(count), "label int, draw bigint, text string, words bigint"), "toxicity-sample")
     in_order = Window.partitionBy("label").orderBy("draw", "words", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
     fitting = found.where(F.col("words") <= training_words).withColumn("sum", F.sum("words").over(in_order))
     rows = fitting.where(F.col("sum") <= training_words).select("label", "draw", "words", "text").collect()
@@ -355,7 +355,9 @@ def fit(
             taken[r["label"]] += r["words"]
             if taken[r["label"]] > TRAINING_SHARE * words[1 - r["label"]]:
                 rows.remove(r)
-    return train([r["text"] for r in rows], np.array([r["label"] for r in rows], np.float32))
+    model = train([r["text"] for r in rows], np.array([r["label"] for r in rows], np.float32))
+    release()  # the driver goes on to other stages
+    return model
 
 
 class Scorer:
@@ -422,7 +424,7 @@ def score(
 
     id_type = docs.schema[id_col].dataType.simpleString()
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {id_type}, score double, worst_word bigint, windows bigint"
+        released(run), f"id {id_type}, score double, worst_word bigint, windows bigint"
     )
     predicted = F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
     return found.select(F.col("id").alias(id_col), "score", predicted, "worst_word", "windows")
@@ -445,4 +447,4 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", thresho
                 yield part.filter(pc.or_(good, missing.slice(at, part.num_rows))).drop_columns([own])
                 at += part.num_rows
 
-    return scored.mapInArrow(run, docs.schema)
+    return scored.mapInArrow(released(run), docs.schema)

@@ -93,3 +93,12 @@ def test_buckets_hold_equal_lengths(spark, tmp_path):
     assert set(folders) == {f"length={1 << k}" for k in range(7)}
     for name, folder in folders.items():
         assert {len(r["ids"]) for r in spark.read.parquet(str(folder)).collect()} == {int(name[7:])}
+
+
+def test_pieces_with_lists_are_those_of_the_bytes(spark):
+    """In one pass: a second one would start a second worker for each task."""
+    docs = spark.createDataFrame([(1, "a quiet day by the sea"), (2, None), (None, ""), (2, "bread " * 300)], "doc_id int, text string").coalesce(1)
+    found = packing.decompose(docs, FILE, sequence_tokens=64, as_lists=True)
+    expected = packing.token_lists(packing.decompose(docs, FILE, sequence_tokens=64))
+    assert found.dtypes == expected.dtypes and found.collect() == expected.collect()
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
