@@ -28,8 +28,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from sitefacts.llm.batches import lists, ragged, text_chunks, utf8
+from sitefacts.llm.batches import lists, ragged, strings, text_chunks, utf8
 from sitefacts.plans.scratch import scratch_folder
 
 END_ID = 0
@@ -88,8 +89,11 @@ class PieceEncoder:
         self.ids, self.used = np.full(1 << 16, self.end_id, np.uint32), 1
         self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
 
-    def ids_of(self, pieces: pa.Array) -> list[list[int]]:
-        """Pieces of letters go to the vocabulary's merges directly, all others through the whole tokenizer."""
+    def ids_of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some pieces, one after the other, and how many each has.
+
+        Pieces of letters go to the vocabulary's merges directly, all others through the whole tokenizer.
+        """
         data, offsets = utf8(pieces)
         letter = latin_letters(data)
         letter[:-1] |= (data[:-1] == 0xC3) & letter[1:]  # with the first bytes of letters of two
@@ -98,20 +102,20 @@ class PieceEncoder:
         letter[spaced] = True  # a space before other characters is one unit with them
         single = np.logical_and.reduceat(letter, offsets[:-1])
         written = WRITTEN[data].tobytes().decode("utf-32-le")  # a character for each byte
-        places, tokenize, found = offsets.tolist(), self.model.tokenize, [None] * len(pieces)
-        for i in np.flatnonzero(single).tolist():
-            found[i] = list(map(ID, tokenize(written[places[i] : places[i + 1]])))
-        others = np.flatnonzero(~single)
-        for i, encoding in zip(others.tolist(), self.encode(pieces.take(pa.array(others)).to_pylist())):
-            found[i] = encoding.ids
-        return found
+        tokenize, sizes = self.model.tokenize, np.empty(len(pieces), np.int64)
+        merged = [tokenize(written[a:b]) for a, b in zip(offsets[:-1][single].tolist(), offsets[1:][single].tolist())]
+        others = [e.ids for e in self.encode(strings(pieces.filter(pa.array(~single))))]
+        sizes[single], sizes[~single] = list(map(len, merged)), list(map(len, others))
+        of_merged = np.repeat(single, sizes)
+        ids, n = np.empty(len(of_merged), np.uint32), int(of_merged.sum())
+        ids[of_merged] = np.fromiter(map(ID, itertools.chain.from_iterable(merged)), np.uint32, n)
+        ids[~of_merged] = np.fromiter(itertools.chain.from_iterable(others), np.uint32, len(ids) - n)
+        return ids, sizes
 
     def learn(self, words: list[str], pieces: pa.Array) -> None:
         for at in range(0, len(words), PIECES_AT_ONCE):
             some = words[at : at + PIECES_AT_ONCE]
-            found = self.ids_of(pieces.slice(at, PIECES_AT_ONCE))
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
+            ids, sizes = self.ids_of(pieces.slice(at, PIECES_AT_ONCE))
             if self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), np.uint32)])
             self.ids[self.used : self.used + len(ids)] = ids
@@ -144,10 +148,10 @@ class PieceEncoder:
         places = np.append(firsts, len(data)).astype(np.int32)
         found = pa.Array.from_buffers(pa.string(), len(firsts), [None, pa.py_buffer(places), pa.py_buffer(data)])
         coded = pc.dictionary_encode(found)
-        words = coded.dictionary.to_pylist()
+        words = strings(coded.dictionary)
         if len(self.known) + len(words) > CACHED_PIECES:
             self.clear()
-        numbers = np.fromiter((self.known.get(word, -1) for word in words), np.int64, len(words))
+        numbers = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(numbers < 0)
         if len(new):
             numbers[new] = len(self.starts) + np.arange(len(new))  # the numbers that they are given now
@@ -257,34 +261,52 @@ def id_type(tokenizer_file: str, end_id: int) -> str:
 
 
 def tokenized(texts: DataFrame, tokenizer_file: str, end_id: int, width: str) -> DataFrame:
-    """``(id, ids)`` of every text, in the order it is read."""
+    """``(id, ids)`` of every text, in the order it is read, and at the end of each task a row of ``used, counts`` instead.
+
+    Those are the ids that the task met, as 64-bit integers, and how often each occurred.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_file, end_id)
+        encoder, total = PieceEncoder(tokenizer_file, end_id), np.zeros(1 << 16, np.int64)
         for batch in text_chunks(batches, limit=TEXT_BYTES):
             ids, sizes = encoder(batch.column("text"))
+            total = added(total, np.bincount(ids))
             ids = ids.astype(width)
             places = np.concatenate([[0], np.cumsum(sizes) * ids.itemsize]).astype(np.int32)
             raw = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(places), pa.py_buffer(ids)])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), raw], names=["id", "ids"])
+            none = pa.nulls(len(sizes), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), raw, none, none], names=["id", "ids", "used", "counts"])
+        used = np.flatnonzero(total)
+        last = [pa.nulls(1, id_kind), pa.nulls(1, pa.binary()), *(pa.array([x.astype("<i8").tobytes()], pa.binary()) for x in (used, total[used]))]
+        yield pa.RecordBatch.from_arrays(last, names=["id", "ids", "used", "counts"])
+
+    id_kind = to_arrow_type(texts.schema["id"].dataType)
+    return texts.mapInArrow(encode, f"id {texts.schema['id'].dataType.simpleString()}, ids binary, used binary, counts binary")
+
 
-    return texts.mapInArrow(encode, f"id {texts.schema['id'].dataType.simpleString()}, ids binary")
+def added(total: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """The sum of two arrays of counts, as long as the longer one."""
+    if len(more) > len(total):
+        total = np.pad(total, (0, len(more) - len(total)))
+    total[: len(more)] += more
+    return total
 
 
-def count_ids(rows: DataFrame, width: str, end_id: int) -> np.ndarray:
-    """How often each id occurs; a task sums up before anything is shuffled, and a row for each id comes back."""
+def count_ids(rows: DataFrame, end_id: int) -> np.ndarray:
+    """How often each id occurs, from the rows ``(used, counts)`` of tasks; a row for each id comes back."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            found = np.bincount(utf8(batch.column("ids"))[0].view(width)) if batch.num_rows else total[:0]
-            if len(found) > len(total):
-                total = np.pad(total, (0, len(found) - len(total)))
-            total[: len(found)] += found
+            for used, counts in zip(batch.column("used").to_pylist(), batch.column("counts").to_pylist()):
+                ids = np.frombuffer(used, "<i8")
+                more = np.zeros(int(ids.max(initial=-1)) + 1, np.int64)
+                more[ids] = np.frombuffer(counts, "<i8")
+                total = added(total, more)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    found = rows.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    found = rows.mapInArrow(add, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in found), default=end_id) + 1, np.int64)
     for row in found:
         counts[row["id"]] = row["n"]
@@ -347,15 +369,16 @@ def write_tokens(
     Documents are in ascending order of ``id_col``, null ids first, rows of equal ids in the order they are read; the
     order is dealt out by id and row, so a single id may have any number of rows. Null texts are empty: the end id
     alone. An empty table gives empty files. Other columns are left out. ``tokenizer_file`` must be a byte-level
-    tokenizer without normalisation. Ids are written out as they come, counted, dealt out in order, and coded; a task
+    tokenizer without normalisation. Ids are counted and written out as they come, dealt out in order, and coded; a task
     holds a few megabytes of text and one block, or one document.
     """
     spark, texts, width = docs.sparkSession, sources(docs, id_col, text_col), id_type(tokenizer_file, end_id)
     plain = scratch_folder(spark, "plain-ids")
     numbered = tokenized(texts, tokenizer_file, end_id, width).withColumn("row", F.monotonically_increasing_id())
     numbered.write.option("compression", "zstd").parquet(plain)
-    rows = spark.read.schema(numbered.schema).parquet(plain)
-    counts = count_ids(rows, width, end_id)
+    written = spark.read.schema(numbered.schema).parquet(plain)
+    counts = count_ids(written.where("used is not null").select("used", "counts"), end_id)
+    rows = written.where("used is null").select("id", "ids", "row")
     lengths = code_lengths(counts, longest_code)
     used = np.flatnonzero(lengths).tolist()
     codes = spark.createDataFrame([(i, int(lengths[i])) for i in used], "id bigint, length int")

@@ -161,3 +161,15 @@ def test_query_on_the_given_table(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     found = sorted(tuple(r) for r in op12_huffman_tokens(spark, sf).select("doc_id", "start", "n_tokens", "ids_crc32").collect())
     assert found == [(d, s, n, zlib.crc32(i)) for d, s, n, i in expected(docs)]
+
+
+def test_ids_are_counted_as_they_are_written(spark):
+    """One pass over the texts; counts come from a short row of each task, and no ids are read again for them."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["bread and bread", None, "Zoë's naïve café, 42 x", "bread\n"] * 5)], "id int, text string")
+    rows = H.tokenized(docs.repartition(3), BYTE_TOKENIZER, H.END_ID, "<u2").cache()
+    counts = H.count_ids(rows.where("used is not null").select("used", "counts"), H.END_ID)
+    texts = rows.where("used is null")
+    assert texts.count() == 20 and texts.where("ids is null").count() == 0 and rows.count() - 20 <= 3
+    every = np.frombuffer(b"".join(r["ids"] for r in texts.collect()), "<u2")
+    assert counts.tolist() == np.bincount(every, minlength=len(counts)).tolist() and counts[H.END_ID] == 20
+    assert H.count_ids(rows.limit(0).select("used", "counts"), H.END_ID).tolist() == [0]
