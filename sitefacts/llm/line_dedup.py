@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash, in DataFrame functions only.
 
 Equal lines are merged; the distinct ones are sets of character shingles. MinHash values are cut into bands; lines that
-agree in most values of a band are candidates, whose Jaccard similarity is then computed exactly. Distributed union-find
-joins linked lines to components, and the first line of each component stays.
+agree in most values of a band are candidates, whose Jaccard similarity is then computed exactly, unless it cannot reach
+the limit by the rare shingles that two lines must share. Distributed union-find joins linked lines to components, and the first line of each component stays.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ PERCENT = 80  # least similarity
 # A band has one MinHash value more than a pair must share in it: with three bands of four values a pair at 80 % has three
 # equal values in some band with probability 1 - (1 - 4 * 0.8**3 * 0.2 - 0.8**4)**3 = 99.4 %.
 BANDS, BAND_ROWS = 3, 3
-FIRST_CENTRES, MORE_CENTRES = 1, 4
+FIRST_CENTRES, MORE_CENTRES = 1, 16
 AT_ONCE = 4  # shingles of a line that one row holds on the way to its signature
 BITMAP_BITS = 1 << 27  # most bits of the filter of wanted lines, 16 MB; 16 for each wanted line, if that is less
 
@@ -83,7 +83,7 @@ def signatures(lines: DataFrame, size: int, hashes: int) -> DataFrame:
 
 
 def bucket_members(lines: DataFrame, size: int, bands: int, band_rows: int) -> DataFrame:
-    """``(bucket, k1, rank)`` of the buckets with several lines, numbered from 1 within each, the most frequent first.
+    """``(bucket, k1, weight, rank)`` of the buckets with several lines, numbered from 1 within each, the most frequent first.
 
     A frequent line is what rarer ones are variants of, so it links most of them in the first round. A line is in one bucket for every choice of ``band_rows`` of the ``band_rows + 1`` values of a band.
     """
@@ -94,7 +94,7 @@ def bucket_members(lines: DataFrame, size: int, bands: int, band_rows: int) -> D
     placed = signed.select("k1", "weight", F.explode(F.array(*keys)).alias("bucket"))
     within = Window.partitionBy("bucket").orderBy(F.desc("weight"), F.asc("k1"))
     ranked = placed.withColumn("rank", F.row_number().over(within)).withColumn("next", F.lead("k1").over(within))
-    return ranked.where("rank > 1 or next is not null").select("bucket", "k1", "rank")
+    return ranked.where("rank > 1 or next is not null").select("bucket", "k1", "weight", "rank")
 
 
 def wanted_lines(lines: DataFrame, wanted: DataFrame, most_bits: int) -> DataFrame:
@@ -138,35 +138,83 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return met.where(similar).select("a", "b")
 
 
+def shared_shingles(rest: DataFrame, size: int, percent: int) -> DataFrame:
+    """``(bucket, k1, rank, n, after)``: the lines ``rest (k1, line, weight)`` by the shingles on which they may be alike.
+
+    All shingles have one order, the rarest among these lines first. Lines of ``n`` and ``m`` shingles that reach
+    ``percent`` have so many in common that their first ``n - ceil(n * percent / 100) + 1`` and as many by ``m`` share
+    one. So no linked pair is lost, while variants of one line, whose own shingles are the rare ones, do not meet by
+    what all of them hold. A shingle that occurs once has no other line; only its place in the order counts. ``after``
+    counts the line's shingles of several occurrences that come later than the shared one.
+    """
+    encoded = rest.select("k1", F.encode("line", "UTF-32").alias("units")).withColumn("last", last_shingle(F.col("units"), size))
+    hashed = encoded.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("last")))).select("k1", shingle(F.col("units"), F.col("at"), size).alias("bucket"))
+    often = hashed.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where("often > 1")
+    of_line = Window.partitionBy("k1")
+    placed = often.withColumn("place", F.dense_rank().over(of_line.orderBy("often", "bucket")))  # a repeat within a line has the place of the first
+    counted = placed.withColumn("found", F.count(F.lit(1)).over(of_line)).withColumn("kinds", F.max("place").over(of_line))
+    sizes = encoded.select("k1", (F.col("last") + 1).alias("total")).join(rest.select("k1", "weight"), "k1")
+    single = F.col("total") - F.col("found")
+    known = counted.join(sizes, "k1").withColumn("single", single).withColumn("n", F.col("single") + F.col("kinds"))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("single")
+    kept = known.where(F.col("place") <= first).select("bucket", "k1", "weight", F.col("n").cast("bigint").alias("n"), (F.col("kinds") - F.col("place")).alias("after")).distinct()
+    within = Window.partitionBy("bucket").orderBy(F.desc("weight"), F.asc("k1"))
+    ranked = kept.withColumn("rank", F.row_number().over(within)).withColumn("next", F.lead("k1").over(within))
+    return ranked.where("rank > 1 or next is not null").select("bucket", "k1", "rank", "n", "after")
+
+
+def may_reach(percent: int) -> str:
+    """Whether lines ``x`` and ``y`` may have ``percent`` in common if the shingle at hand is the first that they share.
+
+    Then they share it and no more than either has left after it. Linked lines fulfil this at the first of theirs.
+    """
+    return f"(1 + least(x.after, y.after)) * {100 + percent} >= (x.n + y.n) * {percent}"
+
+
+def still_open(members: DataFrame, roots: DataFrame, least: int) -> DataFrame:
+    """``members`` with the ``root`` of each, in the buckets of more than ``least`` lines that are not all of one component."""
+    labelled = members.join(roots.withColumnRenamed("node", "k1"), "k1", "left").withColumn("root", F.coalesce("root", "k1"))
+    span = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("rank").alias("most"))
+    buckets = span.where((F.col("x") != F.col("y")) & (F.col("most") > least)).select("bucket")
+    return staged(labelled.join(buckets, "bucket", "left_semi"), "line-open")
+
+
 def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows: int, bits: int) -> DataFrame:
     """``(k1, root)`` of the distinct lines that are linked to others.
 
-    Each bucket compares all pairs of its lines that are not in one component, in rounds: the most frequent line with the
-    others, then the next three with those after them, and so on by fours. The lines of a large group join one
-    component in the first rounds, so later rounds hold what differs only. Lines have the same order in all buckets, and
-    no pair is compared twice.
+    Linked are the lines that share a bucket and reach ``percent``. The most frequent line of each bucket is compared
+    with the others. Pairs that share a bucket and are not in one component after that are compared if they share one of
+    their rare shingles too, as all do that reach ``percent``: in rounds, the most frequent line of a shingle with the
+    others, then the next 15 with those after them, and so on. Lines have the same order everywhere, and no
+    pair is compared twice.
     """
     members = staged(bucket_members(lines, size, bands, band_rows), "line-buckets")
     texts = staged(wanted_lines(lines, members.select("k1").distinct(), bits), "line-texts")
-    links, roots, compared = None, None, None
+    centres = members.where("rank = 1").select("bucket", F.col("k1").alias("a"))
+    compared = staged(members.where("rank > 1").select("bucket", F.col("k1").alias("b")).join(centres, "bucket").select("a", "b").distinct(), "line-pairs")
+    links = staged(verified(compared, texts, size, percent), "line-links")
+    roots = connected(links, "line-components")
+    left = still_open(members, roots, 2)
+    if left.isEmpty():
+        return roots.withColumnRenamed("node", "k1")
+
+    own = staged(left.groupBy("k1").agg(F.first("weight").alias("weight"), F.collect_list("bucket").alias("buckets")), "line-rest")  # a few buckets each
+    shared = staged(shared_shingles(texts.join(own, "k1").select("k1", "line", "weight"), size, percent), "line-shingles")
     low, high = 0, FIRST_CENTRES
-    left = members.withColumn("root", F.col("k1"))
-    while True:
-        centres = left.where((F.col("rank") > low) & (F.col("rank") <= high)).select("bucket", F.col("k1").alias("a"), F.col("rank").alias("r"), F.col("root").alias("ra"))
-        others = left.where(F.col("rank") > low + 1).select("bucket", F.col("k1").alias("b"), "rank", F.col("root").alias("rb"))
-        pairs = others.join(centres, "bucket").where("rank > r and ra != rb").select("a", "b").distinct()
-        pairs = staged(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "line-pairs")
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        found = staged(verified(pairs, texts, size, percent), "line-links")
-        links = found if links is None else links.unionByName(found)
+    left = still_open(shared, roots, 1)
+    while not left.isEmpty():
+        centres = left.where((F.col("rank") > low) & (F.col("rank") <= high)).alias("x")
+        others = left.where(F.col("rank") > low + 1).alias("y")
+        pairs = others.join(centres, F.expr(f"x.bucket = y.bucket and y.rank > x.rank and x.root != y.root and {may_reach(percent)}"))
+        pairs = pairs.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b")).distinct().join(compared, ["a", "b"], "left_anti")
+        met = pairs.join(own.select(F.col("k1").alias("a"), F.col("buckets").alias("x")), "a").join(own.select(F.col("k1").alias("b"), F.col("buckets").alias("y")), "b")
+        pairs = staged(met.where(F.arrays_overlap("x", "y")).select("a", "b"), "line-pairs")
+        compared = compared.unionByName(pairs)
+        links = links.unionByName(staged(verified(pairs, texts, size, percent), "line-links"))
         roots = connected(links, "line-components")
-        labelled = members.join(roots.withColumnRenamed("node", "k1"), "k1", "left").withColumn("root", F.coalesce("root", "k1"))
         low, high = high, high * MORE_CENTRES
-        span = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("rank").alias("most"))
-        open_buckets = span.where((F.col("x") != F.col("y")) & (F.col("most") > low + 1)).select("bucket")
-        left = staged(labelled.join(open_buckets, "bucket", "left_semi"), "line-open")
-        if left.isEmpty():
-            return roots.withColumnRenamed("node", "k1")
+        left = still_open(shared, roots, low + 1)
+    return roots.withColumnRenamed("node", "k1")
 
 
 def deduplicate(
@@ -186,7 +234,7 @@ def deduplicate(
     component the line of the smallest ``(id, row, position)`` stays; null ids come first. Repeated rows are documents
     of their own. A null text stays null, an empty one empty; a text may become empty. A line shorter than a shingle
     is its own only shingle. Pairs at ``percent`` meet by their signatures with the probability stated above for 80, pairs
-    that are more alike more often; whatever their length, all that meet are compared in full. ``docs`` must give the same rows in the same partitions when it is read again, as a table
+    that are more alike more often; of all that meet, those are compared in full that an exact bound does not rule out. ``docs`` must give the same rows in the same partitions when it is read again, as a table
     in files does; ``dropped`` replaces a column of that name.
     """
     lines = lines_of(numbered(docs, id_col, text_col))

@@ -168,3 +168,29 @@ def test_one_line_of_most_rows_and_clashing_names(spark):
     found = ld.deduplicate(docs)
     assert sorted((r["doc_id"], r["text"], r["dropped"]) for r in found.collect()) == sorted(brute(rows))
     assert found.columns == ["doc_id", "text", "line_row", "line_gone", "k1", "pos", "dropped"]
+
+
+def test_variants_of_one_line_are_not_compared_in_pairs(spark, monkeypatch):
+    """Lines that differ from one another in a word each are alike but below the limit: pairs must not grow with their square."""
+    draw = random.Random(23)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(60)]
+    lines = []
+    for i in range(240):
+        own = list(words)
+        for at in draw.sample(range(60), 12):
+            own[at] = "".join(draw.choices("qrstuvwxyz", k=6))
+        lines.append(" ".join(own))
+        if i % 40 == 0:  # and one that is linked to it
+            lines.append(lines[-1][:-1] + "#")
+    counted, verified = [], ld.verified
+
+    def counting(pairs, *rest):
+        counted.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(ld, "verified", counting)
+    rows = list(enumerate(lines))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    found = ld.deduplicate(docs)
+    assert sorted((r["doc_id"], r["text"], r["dropped"]) for r in found.collect()) == sorted(brute(rows))
+    assert sum(counted) < 12 * len(lines)
