@@ -26,6 +26,7 @@ WINDOW, STRIDE = 64, 48  # words; neighbours share 16
 GRAM, BEGINNINGS = 4, (5, 6, 7, 8)  # characters
 LEAST_DOCS, LEAST_SHARE = 3, 0.006  # training documents that must hold a feature, so that none is learnt by heart
 KNOWN_WORDS = 100_000  # words a task keeps the features of; it starts anew beyond
+WORDS_AT_ONCE = 2048  # words whose features are added up together
 EMBEDDING, HIDDEN, ATTENTION = 12, 8, 6
 TRAINING_DOCS, TRAINING_WORDS = 2000, 600_000  # bounds on the sampled documents of each label, and on their words
 TRAINING_SHARE = 3  # one label's training words are at most so many times the other's
@@ -81,15 +82,18 @@ class Features:
 
 
 def vectors(table: np.ndarray, known: Features, since: int = 0) -> np.ndarray:
-    """The vectors of the distinct words from number ``since`` on."""
+    """The vectors of the distinct words from number ``since`` on, some words at a time, as each has many features."""
     sizes = np.array(known.sizes[since:])
-    begin = len(known.places) - int(sizes.sum())
-    place, weight = np.array(known.places[begin:], np.int64), np.array(known.weights[begin:], np.float32)
+    ends = np.cumsum(sizes) + (len(known.places) - int(sizes.sum()))
     out = np.zeros((len(sizes), table.shape[1]), np.float32)
-    some = np.flatnonzero(sizes)
-    if len(some):
-        firsts = (np.cumsum(sizes) - sizes)[some]
-        out[some] = np.add.reduceat(table[place] * weight[:, None], firsts, axis=0)
+    for low in range(0, len(sizes), WORDS_AT_ONCE):
+        own = sizes[low : low + WORDS_AT_ONCE]
+        begin, end = ends[low] - sizes[low], ends[low + len(own) - 1]
+        place, weight = np.array(known.places[begin:end], np.int64), np.array(known.weights[begin:end], np.float32)
+        some = np.flatnonzero(own)
+        if len(some):
+            firsts = (np.cumsum(own) - own)[some]
+            out[low + some] = np.add.reduceat(table[place] * weight[:, None], firsts, axis=0)
     return out
 
 

@@ -106,6 +106,26 @@ def test_scores_equal_reading_word_by_word(fitted):
     assert np.allclose(tx.Scorer(model)(texts)[0], [plain_score(model, t) for t in texts], atol=1e-4)
 
 
+def test_vectors_of_many_words_take_little_more_memory_than_themselves():
+    import tracemalloc
+
+    known = tx.Features({name: i for i, name in enumerate({f for i in range(30_000) for f in tx.features(f"longword{i}ending")})})
+    for i in range(30_000):
+        known.number(f"longword{i}ending")
+        if i % 1000 == 0:
+            known.number("α" * (i // 1000 + 1))  # a word without features
+    table = np.random.default_rng(1).standard_normal((len(known.vocabulary), tx.EMBEDDING)).astype(np.float32)
+    tracemalloc.start()
+    found = tx.vectors(table, known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < found.nbytes + (16 << 20)
+    word, place, weight = known.arrays()
+    expected = np.zeros_like(found)
+    np.add.at(expected, word, table[place] * weight[:, None])
+    assert np.allclose(found, expected, atol=1e-4) and np.array_equal(found[7:], tx.vectors(table, known, 7))
+
+
 def test_common_features_are_those_that_enough_texts_hold():
     rng = np.random.default_rng(3)
     words = [f"{a}{b}" for a in ("ab", "abcd", "xyzuvw") for b in range(40)]
