@@ -26,6 +26,7 @@ PERCENT = 80  # least similarity
 # equal values in some band with probability 1 - (1 - 4 * 0.8**3 * 0.2 - 0.8**4)**3 = 99.4 %.
 BANDS, BAND_ROWS = 3, 3
 FIRST_CENTRES, MORE_CENTRES = 1, 16
+FEW = 16  # lines of a bucket whose pairs are compared without asking for a rare shingle first
 AT_ONCE = 4  # shingles of a line that one row holds on the way to its signature
 BITMAP_BITS = 1 << 27  # most bits of the filter of wanted lines, 16 MB; 16 for each wanted line, if that is less
 
@@ -42,7 +43,8 @@ def last_shingle(units: Column, size: int) -> Column:
 
 def shingles(units: Column, size: int) -> Column:
     """All character shingles of an encoded line, as hashes."""
-    return F.transform(F.sequence(F.lit(0), last_shingle(units, size)), lambda at: shingle(units, at, size))
+    starts = F.sequence(F.lit(1), last_shingle(units, size) * 4 + 1, F.lit(4))
+    return F.transform(starts, lambda start: F.xxhash64(F.substring(units, start, F.lit(4 * size))))
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -56,36 +58,35 @@ def lines_of(rows: DataFrame) -> DataFrame:
     blank = F.lit(False)
     for c in (" ", "\t", "\r"):
         blank = blank | line.startswith(c) | line.endswith(c)
-    trimmed = every.withColumn("line", F.when(blank, F.btrim(line, F.lit(" \t\r"))).otherwise(line)).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
+    trimmed = every.where(line.rlike(r"[\p{L}\p{N}]")).withColumn("line", F.when(blank, F.btrim(line, F.lit(" \t\r"))).otherwise(line))
     return trimmed.select("id", "row", "pos", "line", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
 
 
 def signatures(lines: DataFrame, size: int, hashes: int) -> DataFrame:
     """MinHash values ``m0, m1, ...`` of each distinct line, and ``weight``, how often it occurs.
 
-    Lines are merged first, which deals them out by their names; all that follows stays in the tasks that this gives.
+    Equal lines have equal values, so lines are merged by their values, and no text is shuffled.
     Signatures are made of all the shingles that the exact comparison uses, in every line, some shingles to a row. One
     hash of each is computed; an exclusive-or and a product with random constants, modulo 2**32, give the permutations.
     """
     draw = random.Random(17)
     low = F.lit((1 << 32) - 1)
     draws = [(draw.randrange(1 << 32), draw.randrange(1, 1 << 31, 2)) for _ in range(hashes)]
-    distinct = lines.groupBy("k1", "k2").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("weight"))
-    encoded = distinct.select("k1", "k2", "weight", F.encode("line", "UTF-32").alias("units"))
+    encoded = lines.select("k1", "k2", F.encode("line", "UTF-32").alias("units"))
     spread = encoded.withColumn("last", last_shingle(F.col("units"), size)).withColumn("at", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(AT_ONCE))))
     some = [shingle(F.col("units"), F.least(F.col("at") + j, F.col("last")), size).bitwiseAND(low).alias(f"h{j}") for j in range(AT_ONCE)]
-    hashed = spread.select("k1", "k2", "weight", *some)
+    hashed = spread.select("k1", "k2", (F.col("at") == 0).cast("bigint").alias("weight"), *some)
 
     def permuted(mask: int, odd: int) -> list[Column]:
         return [(F.col(f"h{j}").bitwiseXOR(F.lit(mask)) * F.lit(odd).cast("bigint")).bitwiseAND(low) for j in range(AT_ONCE)]
 
-    return hashed.groupBy("k1", "k2").agg(F.first("weight").alias("weight"), *[F.min(F.least(*permuted(*d))).alias(f"m{i}") for i, d in enumerate(draws)])
+    return hashed.groupBy("k1", "k2").agg(F.sum("weight").alias("weight"), *[F.min(F.least(*permuted(*d))).alias(f"m{i}") for i, d in enumerate(draws)])
 
 
 def bucket_members(lines: DataFrame, size: int, bands: int, band_rows: int) -> DataFrame:
-    """``(bucket, k1, weight, rank)`` of the buckets with several lines, numbered from 1 within each, the most frequent first.
+    """``(bucket, k1, weight, rank, centre)`` of the buckets with several lines, numbered from 1 within each, the most frequent first.
 
-    A frequent line is what rarer ones are variants of, so it links most of them in the first round. A line is in one bucket for every choice of ``band_rows`` of the ``band_rows + 1`` values of a band.
+    That is the ``centre`` of its bucket. A frequent line is what rarer ones are variants of, so it links most of them in the first round. A line is in one bucket for every choice of ``band_rows`` of the ``band_rows + 1`` values of a band.
     """
     values = band_rows + 1
     signed = signatures(lines, size, bands * values)
@@ -93,8 +94,8 @@ def bucket_members(lines: DataFrame, size: int, bands: int, band_rows: int) -> D
     keys = [F.xxhash64(F.lit(k), *[F.col(f"m{b * values + i}") for i in c]) for k, (b, c) in enumerate(chosen)]
     placed = signed.select("k1", "weight", F.explode(F.array(*keys)).alias("bucket"))
     within = Window.partitionBy("bucket").orderBy(F.desc("weight"), F.asc("k1"))
-    ranked = placed.withColumn("rank", F.row_number().over(within)).withColumn("next", F.lead("k1").over(within))
-    return ranked.where("rank > 1 or next is not null").select("bucket", "k1", "weight", "rank")
+    ranked = placed.withColumn("rank", F.row_number().over(within)).withColumn("next", F.lead("k1").over(within)).withColumn("centre", F.first("k1").over(within))
+    return ranked.where("rank > 1 or next is not null").select("bucket", "k1", "weight", "rank", "centre")
 
 
 def wanted_lines(lines: DataFrame, wanted: DataFrame, most_bits: int) -> DataFrame:
@@ -123,7 +124,8 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     """The pairs ``(a, b)`` whose lines have at least ``percent`` per cent of their shingles in common.
 
     There are few lines ``a`` with many pairs each: their sets are made once, before the join that meets them. A line
-    ``b`` that is too short for any such set goes at once; its set is made once for each other pair.
+    ``b`` that is too short for any such set goes at once, and one that holds too little of it before its own repeats
+    are taken out; its shingles are made once for each other pair.
     """
     centres = texts.join(pairs.select(F.col("a").alias("k1")).distinct(), "k1", "left_semi")
     of_line = lambda line: bind(F.encode(line, "UTF-32"), lambda units: F.array_distinct(shingles(units, size)))
@@ -131,10 +133,12 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     met = pairs.join(texts.toDF("b", "line"), "b").join(sets, "a")
 
     def alike(y: Column) -> Column:
-        return F.size(F.array_intersect("x", y)) * (100 + percent) >= (F.size("x") + F.size(y)) * percent
+        """``y`` may hold repeats. All sets that reach the limit have that share of ``x`` in common at least."""
+        reach = lambda both: (both * 100 >= F.size("x") * percent) & (both * (100 + percent) >= (F.size("x") + F.size(F.array_distinct(y))) * percent)
+        return bind(F.size(F.array_intersect("x", y)), reach)
 
     long_enough = F.greatest(F.char_length("line") - (size - 1), F.lit(1)) * 100 >= F.size("x") * percent
-    similar = F.when(long_enough, bind(of_line("line"), alike)).otherwise(False)  # shared / (sizes - shared) >= percent / 100
+    similar = F.when(long_enough, bind(bind(F.encode("line", "UTF-32"), lambda units: shingles(units, size)), alike)).otherwise(False)  # shared / (sizes - shared) >= percent / 100
     return met.where(similar).select("a", "b")
 
 
@@ -179,25 +183,47 @@ def still_open(members: DataFrame, roots: DataFrame, least: int) -> DataFrame:
     return staged(labelled.join(buckets, "bucket", "left_semi"), "line-open")
 
 
+def with_links(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots (node, root)`` after more ``links (a, b)``: only the components that these join are looked at."""
+    if links.isEmpty():
+        return roots
+    of_a, of_b = roots.toDF("a", "ra"), roots.toDF("b", "rb")
+    moved = links.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    more = connected(moved, "line-components")
+    known = roots.join(more.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    return staged(known.unionByName(more.join(roots, "node", "left_anti")), "line-roots")
+
+
 def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows: int, bits: int) -> DataFrame:
     """``(k1, root)`` of the distinct lines that are linked to others.
 
     Linked are the lines that share a bucket and reach ``percent``. The most frequent line of each bucket is compared
-    with the others. Pairs that share a bucket and are not in one component after that are compared if they share one of
-    their rare shingles too, as all do that reach ``percent``: in rounds, the most frequent line of a shingle with the
-    others, then the next 15 with those after them, and so on. Lines have the same order everywhere, and no
-    pair is compared twice.
+    with the others. Then all pairs that are not in one component are compared in buckets of at most ``FEW`` lines. In
+    larger ones they are compared if they share one of their rare shingles too, as all do that reach ``percent``: in
+    rounds, the most frequent line of a shingle with the others, then the next 15 with those after them, and so on.
+    Lines have the same order everywhere, and no pair is compared twice. Components only grow, so what is not open in a
+    round is not looked at again.
     """
     members = staged(bucket_members(lines, size, bands, band_rows), "line-buckets")
-    texts = staged(wanted_lines(lines, members.select("k1").distinct(), bits), "line-texts")
-    centres = members.where("rank = 1").select("bucket", F.col("k1").alias("a"))
-    compared = staged(members.where("rank > 1").select("bucket", F.col("k1").alias("b")).join(centres, "bucket").select("a", "b").distinct(), "line-pairs")
-    links = staged(verified(compared, texts, size, percent), "line-links")
-    roots = connected(links, "line-components")
-    left = still_open(members, roots, 2)
+    texts = staged(wanted_lines(lines, staged(members.select("k1").distinct(), "line-wanted"), bits), "line-texts")
+    compared = staged(members.where("rank > 1").select(F.col("centre").alias("a"), F.col("k1").alias("b")).distinct(), "line-pairs")
+    roots = connected(staged(verified(compared, texts, size, percent), "line-links"), "line-components")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return with_links(roots, staged(verified(pairs, texts, size, percent), "line-links"))
+
+    left = still_open(members.drop("centre"), roots, 2)
     if left.isEmpty():
         return roots.withColumnRenamed("node", "k1")
+    few = left.join(left.groupBy("bucket").agg(F.max("rank").alias("most")).where(F.col("most") <= FEW), "bucket", "left_semi")
+    pairs = few.alias("x").join(few.alias("y"), F.expr("x.bucket = y.bucket and x.rank > 1 and y.rank > x.rank and x.root != y.root"))
+    pairs = staged(pairs.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b")).distinct().join(compared, ["a", "b"], "left_anti"), "line-pairs")
+    compared = compared.unionByName(pairs)
+    roots = linked(pairs)
 
+    left = still_open(left.drop("root"), roots, FEW)
+    if left.isEmpty():
+        return roots.withColumnRenamed("node", "k1")
     own = staged(left.groupBy("k1").agg(F.first("weight").alias("weight"), F.collect_list("bucket").alias("buckets")), "line-rest")  # a few buckets each
     shared = staged(shared_shingles(texts.join(own, "k1").select("k1", "line", "weight"), size, percent), "line-shingles")
     low, high = 0, FIRST_CENTRES
@@ -210,10 +236,9 @@ def line_links(lines: DataFrame, size: int, percent: int, bands: int, band_rows:
         met = pairs.join(own.select(F.col("k1").alias("a"), F.col("buckets").alias("x")), "a").join(own.select(F.col("k1").alias("b"), F.col("buckets").alias("y")), "b")
         pairs = staged(met.where(F.arrays_overlap("x", "y")).select("a", "b"), "line-pairs")
         compared = compared.unionByName(pairs)
-        links = links.unionByName(staged(verified(pairs, texts, size, percent), "line-links"))
-        roots = connected(links, "line-components")
+        roots = linked(pairs)
         low, high = high, high * MORE_CENTRES
-        left = still_open(shared, roots, low + 1)
+        left = still_open(left.drop("root"), roots, low + 1)
     return roots.withColumnRenamed("node", "k1")
 
 
@@ -248,8 +273,12 @@ def deduplicate(
 
     row, positions = unused("line_row", docs.columns), unused("line_gone", docs.columns)
     whole = docs.drop("dropped").withColumn(row, F.monotonically_increasing_id())
-    joined = whole.join(gone.toDF(row, positions), row, "left").drop(row)
-    parts = F.split(F.col(text_col).cast("string"), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(positions))
-    text = F.when(F.col(positions).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
+    joined = whole.join(gone.toDF(row, positions).hint("shuffle_hash"), row, "left").drop(row)  # texts need no sort: a task holds the positions of its rows
+
+    def remaining(parts: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(positions))
+        return F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+
+    cut = bind(F.split(F.col(text_col).cast("string"), "\n"), remaining)  # split once, not once for each line
+    text = F.when(F.col(positions).isNull(), F.col(text_col)).otherwise(cut)
     return joined.withColumn(text_col, text).withColumn("dropped", F.coalesce(positions, F.array().cast("array<int>"))).drop(positions)

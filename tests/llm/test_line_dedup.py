@@ -194,3 +194,41 @@ def test_variants_of_one_line_are_not_compared_in_pairs(spark, monkeypatch):
     found = ld.deduplicate(docs)
     assert sorted((r["doc_id"], r["text"], r["dropped"]) for r in found.collect()) == sorted(brute(rows))
     assert sum(counted) < 12 * len(lines)
+
+
+def test_lines_of_small_buckets_are_compared_without_rare_shingles(spark, monkeypatch):
+    """A few lines that are alike but mostly below the limit: their shingles are not dealt out and counted over all lines."""
+    draw = random.Random(31)
+    lines = []
+    for _ in range(25):
+        words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(30)]
+        for _ in range(5):
+            own = list(words)
+            for at in draw.sample(range(30), draw.choice([1, 4, 4])):
+                own[at] = "".join(draw.choices("qrstuvwxyz", k=6))
+            lines.append(" ".join(own))
+    counted, verified = [], ld.verified
+
+    def counting(pairs, *rest):
+        counted.append(pairs.count())
+        return verified(pairs, *rest)
+
+    def refused(*_):
+        raise AssertionError("shingles of small buckets are dealt out")
+
+    monkeypatch.setattr(ld, "verified", counting)
+    monkeypatch.setattr(ld, "shared_shingles", refused)
+    rows = list(enumerate(lines))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    found = ld.deduplicate(docs)
+    assert sorted((r["doc_id"], r["text"], r["dropped"]) for r in found.collect()) == sorted(brute(rows))
+    assert len(counted) == 2 and counted[1] > 0 and sum(counted) <= 25 * 10
+
+
+def test_signatures_shuffle_no_text(spark):
+    """Equal lines are merged by their values; a text among them would be sorted and shuffled as a whole."""
+    docs = spark.createDataFrame([(i, f"line of document {i % 5}\nthe same line") for i in range(20)], "doc_id bigint, text string").repartition(4)
+    signed = ld.signatures(ld.lines_of(ld.numbered(docs, "doc_id", "text")), ld.SHINGLE, 12)
+    plan = signed._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and not re.search(r"Exchange[^\n]*\bline\b", plan)
+    assert sorted(r["weight"] for r in signed.collect()) == [4] * 5 + [20]
