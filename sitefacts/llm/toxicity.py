@@ -12,6 +12,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,23 @@ def features(word: str) -> list[str]:
     return [" " + word, *{*(edged[i : i + GRAM] for i in range(max(1, len(edged) - GRAM + 1))), *(edged[:n] for n in BEGINNINGS)}]
 
 
+ODD = np.uint64(0x9E3779B97F4A7C15)
+PIECES_AT_ONCE = 16_384  # words whose pieces are looked up together
+
+
+def text_hashes(codes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit hash of the ``length`` characters from each of the places ``starts`` on."""
+    h = np.full(len(starts), length, np.uint64)
+    for j in range(length):
+        h = (h ^ codes[starts + j]) * ODD
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+
+
 class Features:
     """Places in the embedding table of the features of distinct words. Word 0 is padding and has none."""
 
@@ -61,6 +79,63 @@ class Features:
     def clear(self) -> None:
         self.places, self.weights, self.sizes = array("q"), array("f"), array("q", [0])
         self.known: dict[str, int] = {}
+        self.waiting: list[str] = []
+
+    def later(self, word: str) -> int:
+        """The number of a word that has none yet; ``look_up`` finds its features, many words at a time."""
+        found = self.known[word] = len(self.sizes) + len(self.waiting)
+        self.waiting.append(word)
+        return found
+
+    def look_up(self) -> None:
+        """The features of the words that wait, as ``number`` finds them but for the order of a word's pieces."""
+        words, self.waiting = self.waiting, []
+        for low in range(0, len(words), PIECES_AT_ONCE):
+            self.add(words[low : low + PIECES_AT_ONCE])
+
+    @cached_property
+    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the vocabulary's pieces of words, in order, and their places."""
+        by_length: dict[int, list[str]] = {}
+        for name in self.vocabulary:
+            if not name.startswith(" "):
+                by_length.setdefault(len(name), []).append(name)
+        hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for length, names in by_length.items():
+            hashes.append(text_hashes(code_points("".join(names)), np.arange(len(names)) * length, length))
+            places.append(np.array([self.vocabulary[name] for name in names], np.int64))
+        hashes, places = np.concatenate(hashes), np.concatenate(places)
+        order = np.argsort(hashes)
+        return hashes[order], places[order]
+
+    def add(self, words: list[str]) -> None:
+        n = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        codes = code_points("<" + "><".join(words) + ">")
+        starts, owner = np.cumsum(n) - n, np.repeat(np.arange(len(words)), n)
+        keys, owners = [], []
+        for length in range(1, max(BEGINNINGS) + 1):
+            if length == GRAM:
+                at = np.flatnonzero(np.arange(len(codes)) + length <= (starts + n)[owner])
+            else:  # beginnings, the last of which is the word itself if it is shorter
+                at = starts[n >= length if length in BEGINNINGS else n == length]
+            keys.append(text_hashes(codes, at, length))
+            owners.append(owner[at])
+        keys, owner = np.concatenate(keys), np.concatenate(owners)
+        once = np.unique((keys ^ (owner.astype(np.uint64) * ODD)) * ODD, return_index=True)[1]  # a piece counts once in its word
+        keys, owner = keys[once], owner[once]
+        share = (1 / np.bincount(owner, minlength=len(words))).astype(np.float32)
+        hashes, places = self.pieces
+        at = np.minimum(np.searchsorted(hashes, keys), max(0, len(hashes) - 1))
+        there = hashes[at] == keys if len(hashes) else np.zeros(len(keys), bool)
+        whole = np.array([self.vocabulary.get(" " + w, -1) for w in words], np.int64)
+        named = np.flatnonzero(whole >= 0)
+        owner = np.concatenate([named, owner[there]])
+        place = np.concatenate([whole[named], places[at[there]] if len(hashes) else places])
+        weight = np.concatenate([np.ones(len(named), np.float32), share[owner[len(named) :]]])
+        order = np.argsort(owner, kind="stable")
+        self.places.frombytes(place[order].tobytes())
+        self.weights.frombytes(weight[order].tobytes())
+        self.sizes.frombytes(np.bincount(owner, minlength=len(words)).astype(np.int64).tobytes())
 
     def number(self, word: str) -> int:
         found = self.known.get(word)
@@ -380,8 +455,9 @@ class Scorer:
         rows, lengths, since = [], [], len(known.sizes)
         for text in texts:
             own = words_of(text)
-            rows += [known.known.get(w) or known.number(w) for w in own]
+            rows += [known.known.get(w) or known.later(w) for w in own]
             lengths.append(len(own))
+        known.look_up()
         if len(known.sizes) > since:
             new = gate_inputs(vectors(p["E"], known, since), p)
             self.inputs = tuple(np.concatenate(pair) for pair in zip(self.inputs, new))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -180,3 +182,27 @@ def test_odd_rows(spark, fitted):
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 1)], "doc_id bigint, toxic int")
     assert all(r["predicted"] == 0 for r in tx.score(docs, tx.fit(docs, labels)).collect())
     assert tx.score(docs, tx.fit(docs, labels.limit(0))).count() == 4
+
+
+def test_words_looked_up_together_have_the_features_of_each():
+    """Short and long words, pieces that a word repeats, characters of all widths; words before and after others."""
+    rng = random.Random(3)
+    words = list(dict.fromkeys("".join(rng.choice("abeéß漢😀'") for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 7, 9, 14, 40]))) for _ in range(3000)))
+    names = sorted({f for w in words[::2] + ["haha" * 6] for f in tx.features(w)})
+    vocabulary = {name: i for i, name in enumerate(rng.sample(names, len(names) * 2 // 3))}
+    one, many = tx.Features(vocabulary), tx.Features(vocabulary)
+    for low in range(0, len(words), 700):
+        numbers = [many.later(w) for w in [*words[low : low + 700], "haha" * (7 + low)]]
+        many.look_up()
+        assert numbers == [one.number(w) for w in [*words[low : low + 700], "haha" * (7 + low)]]
+
+    def rows(known):
+        word, place, weight = known.arrays()
+        order = np.lexsort((place, word))
+        return [x[order].tolist() for x in (word, place, weight)]
+
+    assert rows(one) == rows(many) and len(one.places) > 3000
+    empty = tx.Features({})
+    empty.later("word")
+    empty.look_up()
+    assert list(empty.sizes) == [0, 0]
